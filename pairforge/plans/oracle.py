@@ -133,3 +133,142 @@ SELECT pair_key, to_json({{'messages': [{{'role': 'system', 'content': {SYS}}},
   {{'role': 'assistant', 'content': plain_summary}}]}}) AS value FROM union_all""",
     "split_roundtrip": f"WITH {SPLIT} " + _flat3("split", "split"),
 }
+
+
+# ---- validation ---------------------------------------------------------
+
+CHAT_RECORDS = """chat_records AS (
+  SELECT conv_id, start, list({'role': role, 'content': text} ORDER BY pos) AS messages
+  FROM (SELECT conv_id, turn - pos AS start, pos, role, text
+        FROM (SELECT conv_id, turn, role, text, unnest([0, 1, 2]) AS pos FROM conversations) e
+        WHERE turn - pos >= 0) x
+  GROUP BY conv_id, start)"""
+
+VALIDATED = CHAT_RECORDS + f""",
+validated AS (
+  SELECT conv_id, start, messages, list_concat(
+    CASE WHEN len(messages) = 3 AND struct_extract(messages[1], 'role') = 'system'
+              AND struct_extract(messages[2], 'role') = 'user' AND struct_extract(messages[3], 'role') = 'assistant'
+         THEN []::VARCHAR[]
+         ELSE ['unexpected role order: [' || array_to_string(list_transform(messages, lambda m: '''' || struct_extract(m, 'role') || ''''), ', ') || ']'] END,
+    list_transform(list_filter(messages, lambda m: {strip("struct_extract(m, 'content')")} = ''),
+                   lambda m: 'empty content for role ''' || struct_extract(m, 'role') || '''')) AS problems
+  FROM chat_records)"""
+
+
+def _stats(src: str, group: str | None) -> str:
+    """Per-role word stats over ``src(role, wc[, group])``."""
+    if group:
+        frame = f"(SELECT DISTINCT {group} FROM recs) f, (VALUES ('user'), ('assistant')) r(role)"
+        on = f"w.{group} = f.{group} AND w.role = r.role"
+        keys = f"f.{group}, r.role"
+    else:
+        frame = "(VALUES ('user'), ('assistant')) r(role)"
+        on = "w.role = r.role"
+        keys = "r.role"
+    return f"""SELECT {keys}, CAST(count(w.wc) AS BIGINT) AS n, min(w.wc) AS min_words,
+  CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY w.wc DESC) AS BIGINT) AS median_words, max(w.wc) AS max_words,
+  CAST(sum(w.wc) // count(w.wc) AS BIGINT) AS mean_words
+FROM {frame} LEFT JOIN {src} w ON {on} GROUP BY {keys}"""
+
+
+def _render3(a: str, b: str) -> str:
+    nl = "chr(10)"
+    return (
+        f"'<|im_start|>system' || {nl} || {SYS} || '<|im_end|>' || {nl} || '<|im_start|>user' || {nl} || {a}"
+        f" || '<|im_end|>' || {nl} || '<|im_start|>assistant' || {nl} || {b} || '<|im_end|>' || {nl}"
+    )
+
+
+WS_CLASS_SQL = "[" + NON_WS_RUN[2:-2] + "]"
+
+SQL.update({
+    "jsonl_parse": """SELECT event_id + 1 AS line_no, json_valid(props) AS valid,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+    "validate_records": f"""WITH {VALIDATED}
+SELECT conv_id, start, CAST(len(problems) AS BIGINT) AS n_problems, array_to_string(problems, ', ') AS problems FROM validated""",
+    "invalid_records": f"""WITH {VALIDATED}
+SELECT conv_id, start, array_to_string(problems, ', ') AS problems FROM validated WHERE len(problems) > 0""",
+    "problem_head": f"""WITH {VALIDATED},
+numbered AS (SELECT *, row_number() OVER (ORDER BY conv_id, start) - 1 AS idx FROM validated),
+bad AS (SELECT * FROM numbered WHERE len(problems) > 0)
+SELECT CAST(idx AS BIGINT) AS idx, array_to_string(problems, ', ') AS problems,
+  CAST(greatest((SELECT count(*) FROM bad) - 5, 0) AS BIGINT) AS more
+FROM bad ORDER BY idx LIMIT 5""",
+    "length_stats": f"""WITH {CHAT_RECORDS},
+m AS (SELECT unnest(messages) AS m FROM chat_records),
+words AS (SELECT struct_extract(m, 'role') AS role, {words("struct_extract(m, 'content')")} AS wc FROM m
+          WHERE struct_extract(m, 'role') IN ('user', 'assistant'))
+{_stats('words', None)}""",
+    "validation_summary": f"""WITH {SPLIT}, {VALIDATED},
+recs AS (
+  SELECT split AS file, 0 AS bad, [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},
+          {{'role': 'assistant', 'content': plain_summary}}] AS messages FROM split
+  UNION ALL
+  SELECT 'chat', CASE WHEN len(problems) > 0 THEN 1 ELSE 0 END, messages FROM validated),
+counts AS (SELECT file, CAST(count(*) AS BIGINT) AS records, CAST(sum(bad) AS BIGINT) AS invalid FROM recs GROUP BY file),
+m AS (SELECT file, unnest(messages) AS m FROM recs),
+words AS (SELECT file, struct_extract(m, 'role') AS role, {words("struct_extract(m, 'content')")} AS wc FROM m
+          WHERE struct_extract(m, 'role') IN ('user', 'assistant')),
+st AS ({_stats('words', 'file')}),
+txt AS (SELECT file,
+  max(CASE WHEN role = 'user' THEN CASE WHEN n = 0 THEN 'no data' ELSE 'min=' || min_words || ', median=' || median_words || ', max=' || max_words || ', mean=' || mean_words END END) AS user_words,
+  max(CASE WHEN role = 'assistant' THEN CASE WHEN n = 0 THEN 'no data' ELSE 'min=' || min_words || ', median=' || median_words || ', max=' || max_words || ', mean=' || mean_words END END) AS assistant_words
+  FROM st GROUP BY file)
+SELECT c.file, records, invalid,
+  CASE WHEN invalid > 0 THEN 'PROBLEMS found in ' || invalid || ' records' ELSE 'all records valid' END AS status,
+  user_words, assistant_words
+FROM counts c JOIN txt t ON t.file = c.file""",
+    "token_budget": f"""WITH {SPLIT},
+t AS (SELECT split, {words(_render3('abstract', 'plain_summary'))} AS tok FROM split)
+SELECT split, CAST(count(*) AS BIGINT) AS records, CAST(count_if(tok > 1536) AS BIGINT) AS over_budget,
+  CAST(max(tok) AS BIGINT) AS max_tokens, CAST(count_if(tok > 1536) AS DOUBLE) / count(*) AS share_over
+FROM t GROUP BY split""",
+})
+
+# ---- rewriting and evaluation ----------------------------------------------
+
+SQUEEZE = f"regexp_replace({strip('text')}, '{NON_WS_RUN.replace('[^', '[')}', ' ', 'g')"
+SENTENCES = f"regexp_replace({SQUEEZE}, '([.!?]) ', '\\1' || chr(10), 'g')"
+BLANK = f"coalesce({strip('text')}, '') = ''"
+CMP = f"""cmp AS (
+  SELECT doc_id, text,
+    CASE WHEN {BLANK} THEN '' ELSE {SQUEEZE} END AS before,
+    CASE WHEN {BLANK} THEN 'Please paste some medical text above to see the rewrite.' ELSE {SENTENCES} END AS after
+  FROM documents)"""
+NUM = "'\\d+(?:[.,]\\d+)*'"
+
+
+def _ratio(c: str) -> str:
+    return f"CAST({words(c)} AS DOUBLE) / {words('text')}"
+
+
+def _wps(c: str) -> str:
+    return f"CASE WHEN {words(c)} > 0 THEN {words(c)} / greatest(CAST(len(regexp_extract_all({c}, '[.!?]+')) AS BIGINT), 1) END"
+
+
+def _cpw(c: str) -> str:
+    return f"CASE WHEN {words(c)} > 0 THEN length(regexp_replace({c}, '{WS_CLASS_SQL}', '', 'g')) / {words(c)} END"
+
+
+def _unsupported(c: str) -> str:
+    return f"CAST(len(list_filter(list_distinct(regexp_extract_all({c}, {NUM})), lambda x: NOT list_contains(regexp_extract_all(text, {NUM}), x))) AS BIGINT)"
+
+
+SQL.update({
+    "guard_input": f"""SELECT doc_id, NOT ({BLANK}) AS needs_rewrite,
+  CASE WHEN {BLANK} THEN '' END AS before,
+  CASE WHEN {BLANK} THEN 'Please paste some medical text above to see the rewrite.' END AS after FROM documents""",
+    "batch_rewrite": f"SELECT doc_id, {SQUEEZE} AS rewrite FROM documents WHERE NOT ({BLANK})",
+    "compare_rewrites": f"WITH {CMP} SELECT doc_id, before, after FROM cmp",
+    "eval_length": f"""WITH {CMP}
+SELECT CAST(count(*) AS BIGINT) AS rows, round(avg({_ratio('before')}), 6) AS before_ratio,
+  round(avg({_ratio('after')}), 6) AS after_ratio FROM cmp WHERE {words('text')} > 0""",
+    "eval_numbers": f"""WITH {CMP}
+SELECT doc_id, CAST(len(list_distinct(regexp_extract_all(text, {NUM}))) AS BIGINT) AS source_numbers,
+  {_unsupported('before')} AS unsupported_before, {_unsupported('after')} AS unsupported_after FROM cmp""",
+    "eval_readability": f"""WITH {CMP}
+SELECT doc_id, {_wps('text')} AS source_words_per_sentence, {_cpw('text')} AS source_chars_per_word,
+  {_wps('before')} AS before_words_per_sentence, {_cpw('before')} AS before_chars_per_word,
+  {_wps('after')} AS after_words_per_sentence, {_cpw('after')} AS after_chars_per_word FROM cmp""",
+})

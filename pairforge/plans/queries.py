@@ -25,7 +25,20 @@ from pairforge.operators.pairs import (
 from pairforge.operators.sampling import shuffle_seeded, subsample_k, train_val_split
 from pairforge.operators.select import kth_key, le_key
 from pairforge.plans import build as B
-from pairforge.plans.views import pairs_doc, table
+from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
+from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input
+from pairforge.operators.validate import (
+    invalid_records,
+    length_stats,
+    problem_head,
+    problem_text,
+    token_budget,
+    typed_record,
+    validate_records,
+    validation_summary,
+)
+from pairforge.plans.views import chat_records, pairs_doc, table
+from pairforge.sources.jsonl import parse_lines
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
 from pairforge.sources.splits import read_splits, write_splits
@@ -187,6 +200,85 @@ def q_split_roundtrip(spark, sf):
     return _flat_messages(back, 3, ["split"])
 
 
+# ---- validation ---------------------------------------------------------
+
+def q_jsonl_parse(spark, sf):
+    """``events.props`` as the lines of a JSON-lines file (line = event_id + 1)."""
+    ev = table(spark, sf, "events")
+    lines = ev.select((F.col("event_id") + 1).alias("line_no"), F.col("props").alias("value"))
+    p = parse_lines(lines)
+    return p.select("line_no", "valid", F.try_variant_get("record", "$.k", "bigint").alias("k"))
+
+
+def _chat_validated(spark, sf):
+    """chat_records -> JSON lines -> strict parse -> problems (the reference's
+    validation path: records are read back from their JSON text)."""
+    lines = to_jsonl(chat_records(spark, sf), keep=("conv_id", "start"))
+    return validate_records(parse_lines(lines))
+
+
+def q_validate_records(spark, sf):
+    v = _chat_validated(spark, sf)
+    return v.select(
+        "conv_id", "start", F.size("problems").cast("bigint").alias("n_problems"), problem_text(F.col("problems")).alias("problems")
+    )
+
+
+def q_invalid_records(spark, sf):
+    v = invalid_records(_chat_validated(spark, sf))
+    return v.select("conv_id", "start", problem_text(F.col("problems")).alias("problems"))
+
+
+def q_problem_head(spark, sf):
+    return problem_head(_chat_validated(spark, sf), ["conv_id", "start"], 5).select("idx", "problems", "more")
+
+
+def q_length_stats(spark, sf):
+    return length_stats(_chat_validated(spark, sf))
+
+
+def q_validation_summary(spark, sf):
+    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    splits = res.records.select(F.col("split").alias("file"), typed_record(F.col("messages")).alias("record"))
+    chat = _chat_validated(spark, sf).select(F.lit("chat").alias("file"), "record")
+    return validation_summary(validate_records(splits.unionByName(chat)), "file")
+
+
+def q_token_budget(spark, sf):
+    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    return token_budget(res.records, 1536)
+
+
+# ---- rewriting and evaluation ----------------------------------------------
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "text")
+
+
+def q_guard_input(spark, sf):
+    return guard_input(_docs(spark, sf)).select("doc_id", "needs_rewrite", "before", "after")
+
+
+def q_batch_rewrite(spark, sf):
+    return batch_rewrite(_docs(spark, sf)).select("doc_id", "rewrite")
+
+
+def q_compare_rewrites(spark, sf):
+    return compare_rewrites(_docs(spark, sf)).select("doc_id", "before", "after")
+
+
+def q_eval_length(spark, sf):
+    return eval_length(compare_rewrites(_docs(spark, sf)))
+
+
+def q_eval_numbers(spark, sf):
+    return eval_numbers(compare_rewrites(_docs(spark, sf)))
+
+
+def q_eval_readability(spark, sf):
+    return eval_readability(compare_rewrites(_docs(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "strip_text": q_strip_text,
     "truncate_text": q_truncate_text,
@@ -208,4 +300,17 @@ QUERIES: dict[str, Query] = {
     "render_prompt": q_render_prompt,
     "to_jsonl": q_to_jsonl,
     "split_roundtrip": q_split_roundtrip,
+    "jsonl_parse": q_jsonl_parse,
+    "validate_records": q_validate_records,
+    "invalid_records": q_invalid_records,
+    "problem_head": q_problem_head,
+    "length_stats": q_length_stats,
+    "validation_summary": q_validation_summary,
+    "token_budget": q_token_budget,
+    "guard_input": q_guard_input,
+    "batch_rewrite": q_batch_rewrite,
+    "compare_rewrites": q_compare_rewrites,
+    "eval_length": q_eval_length,
+    "eval_numbers": q_eval_numbers,
+    "eval_readability": q_eval_readability,
 }
