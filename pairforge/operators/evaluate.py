@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.functions.text import WS_CLASS, word_count
+from pairforge.functions.text import non_ws_chars, word_count
 
 NUMBER = r"\d+(?:[.,]\d+)*"
 SENTENCE_END = r"[.!?]+"
@@ -34,14 +34,16 @@ def sentences(c: Column) -> Column:
 
 
 def word_chars(c: Column) -> Column:
-    return F.char_length(F.regexp_replace(c, WS_CLASS, ""))
+    return non_ws_chars(c)
 
 
 def eval_length(cmp: DataFrame, text_col: str = "text") -> DataFrame:
     """Mean word-count ratio of before and after against the source."""
-    src = word_count(text_col)
-    per = cmp.filter(src > 0).select(
-        (word_count("before") / src).alias("rb"), (word_count("after") / src).alias("ra")
+    counted = cmp.select(
+        word_count(text_col).alias("ws"), word_count("before").alias("wb"), word_count("after").alias("wa")
+    )
+    per = counted.filter(F.col("ws") > 0).select(
+        (F.col("wb") / F.col("ws")).alias("rb"), (F.col("wa") / F.col("ws")).alias("ra")
     )
     return per.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -60,9 +62,16 @@ def eval_numbers(cmp: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), text_c
 
 
 def eval_readability(cmp: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    names = (("source", text_col), ("before", "before"), ("after", "after"))
+    # counts first, ratios in a second projection (regex results are not recomputed)
+    counted = cmp.select(
+        *key_cols,
+        *[x for name, c in names for x in (
+            word_count(c).alias(f"{name}_w"), sentences(F.col(c)).alias(f"{name}_s"), word_chars(F.col(c)).alias(f"{name}_c"))],
+    )
     cols = []
-    for name, c in (("source", F.col(text_col)), ("before", F.col("before")), ("after", F.col("after"))):
-        w = word_count(c)
-        cols.append(F.when(w > 0, w / sentences(c)).alias(f"{name}_words_per_sentence"))
-        cols.append(F.when(w > 0, word_chars(c) / w).alias(f"{name}_chars_per_word"))
-    return cmp.select(*key_cols, *cols)
+    for name, _ in names:
+        w, s_, ch = F.col(f"{name}_w"), F.col(f"{name}_s"), F.col(f"{name}_c")
+        cols.append(F.when(w > 0, w / s_).alias(f"{name}_words_per_sentence"))
+        cols.append(F.when(w > 0, ch / w).alias(f"{name}_chars_per_word"))
+    return counted.select(*key_cols, *cols)

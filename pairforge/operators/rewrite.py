@@ -20,23 +20,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.functions.text import WS, is_blank
+from pairforge.functions.text import is_blank
 
 # Fixed value: the notice shown instead of a rewrite when the input is blank.
 EMPTY_NOTICE = "Please paste some medical text above to see the rewrite."
 
 RewriterFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 
-_WS_RE = "[" + re.escape(WS) + "]+"
 _SENTENCE_END = r"([.!?]) "
 
 
 def squeeze_factory() -> Callable[[pd.Series], pd.Series]:
     """``" ".join(text.split())``: one space between words, none at the ends."""
-    ws = re.compile(_WS_RE)
 
     def run(s: pd.Series) -> pd.Series:
-        return s.str.replace(ws, " ", regex=True).str.strip(WS)
+        return pd.Series([" ".join(x.split()) for x in s], index=s.index, dtype=object)
 
     return run
 
@@ -47,7 +45,7 @@ def sentence_lines_factory() -> Callable[[pd.Series], pd.Series]:
     end = re.compile(_SENTENCE_END)
 
     def run(s: pd.Series) -> pd.Series:
-        return squeeze(s).str.replace(end, "\\1\n", regex=True)
+        return pd.Series([end.sub("\\1\n", x) for x in squeeze(s)], index=s.index, dtype=object)
 
     return run
 

@@ -24,12 +24,33 @@ from pyspark.sql import functions as F
 from pairforge.session import sf_table
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster's cores.
+
+    A file with one large row group is read by one task; the per-row text work
+    after it (regexes over whole documents) would then use one core. Only when
+    the scan has fewer splits than the cluster has cores is a round-robin
+    exchange added; a large input (many splits) is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Plain scan; for inputs that go straight into a join or grouping, whose
+    exchange already spreads the work."""
     return spark.read.parquet(sf_table(sf_dir, name))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan for per-row work: balanced when under-partitioned."""
+    return balanced(read_table(spark, sf_dir, name))
+
+
 def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
+    conv = read_table(spark, sf_dir, "conversations")
     u = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("query"))
     a = conv.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
@@ -38,14 +59,14 @@ def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents")
     s = docs.select("doc_id", F.col("text").alias("Source"))
     t = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("Target"))
     return s.join(t, "doc_id", "inner").select("doc_id", "Source", "Target")
 
 
 def chat_records(spark: SparkSession, sf_dir: str, width: int = 3) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
+    conv = read_table(spark, sf_dir, "conversations")
     spread = conv.select(
         "conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("pos")
     ).withColumn("start", F.col("turn") - F.col("pos")).filter(F.col("start") >= 0)
