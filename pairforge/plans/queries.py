@@ -128,8 +128,9 @@ def q_cap_pairs(spark, sf):
     return parts[0].unionByName(parts[1]).select("source", "pair_key", "o_part", "o_row")
 
 
-def _union(spark, sf):
-    return union_sources(B.default_sources(spark, sf))
+def _union(spark, sf, checkpoint: bool = False):
+    u = union_sources(B.default_sources(spark, sf))
+    return B.materialize(u) if checkpoint else u
 
 
 def q_union_sources(spark, sf):
@@ -146,16 +147,16 @@ def q_shuffle_seeded(spark, sf):
 
 
 def q_train_val_split(spark, sf):
-    return train_val_split(_union(spark, sf), B.VAL_RATIO, B.SEED).select("pair_key", "split")
+    return train_val_split(_union(spark, sf, checkpoint=True), B.VAL_RATIO, B.SEED).select("pair_key", "split")
 
 
 def q_split_counts(spark, sf):
-    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    res = B.build_records(B.default_sources(spark, sf))
     return B.split_counts(res.records)
 
 
 def q_subsample_k(spark, sf):
-    split = train_val_split(_union(spark, sf), B.VAL_RATIO, B.SEED)
+    split = train_val_split(_union(spark, sf, checkpoint=True), B.VAL_RATIO, B.SEED)
     return subsample_k(split, SUBSAMPLE_SIZES, B.SEED).select("pair_key", "split")
 
 
@@ -193,7 +194,7 @@ def q_to_jsonl(spark, sf):
 
 
 def q_split_roundtrip(spark, sf):
-    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
     write_splits(res.records, out)
     back = read_splits(spark, out)
@@ -238,14 +239,14 @@ def q_length_stats(spark, sf):
 
 
 def q_validation_summary(spark, sf):
-    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    res = B.build_records(B.default_sources(spark, sf))
     splits = res.records.select(F.col("split").alias("file"), typed_record(F.col("messages")).alias("record"))
     chat = _chat_validated(spark, sf).select(F.lit("chat").alias("file"), "record")
     return validation_summary(validate_records(splits.unionByName(chat)), "file")
 
 
 def q_token_budget(spark, sf):
-    res = B.build_records(B.default_sources(spark, sf), checkpoint=False)
+    res = B.build_records(B.default_sources(spark, sf))
     return token_budget(res.records, 1536)
 
 
