@@ -105,12 +105,50 @@ def record_problems(record: Column) -> Column:
     )
 
 
+def typed_problems(messages: Column) -> Column:
+    """``record_problems`` for records already typed as
+    ``array<struct<role string, content string>>`` (no VARIANT round trip)."""
+    roles_ok = F.size(messages) == F.lit(len(EXPECTED_ROLES))
+    for i, role in enumerate(EXPECTED_ROLES):
+        roles_ok = roles_ok & F.coalesce(messages[i]["role"] == F.lit(role), F.lit(False))
+
+    def role_repr(m: Column) -> Column:
+        return F.when(m["role"].isNull(), F.lit("None")).otherwise(py_str_repr(m["role"]))
+
+    def role_text(m: Column) -> Column:
+        return F.coalesce(m["role"], F.lit("None"))
+
+    order_problem = F.when(
+        ~roles_ok,
+        F.concat(F.lit("unexpected role order: ["), F.array_join(F.transform(messages, role_repr), ", "), F.lit("]")),
+    )
+    content = F.transform(
+        messages,
+        lambda m: F.when(
+            F.coalesce(py_strip(m["content"]), F.lit("")) == F.lit(""),
+            F.concat(F.lit("empty content for role '"), role_text(m), F.lit("'")),
+        ),
+    )
+    checked = F.array_compact(F.concat(F.array(order_problem), content))
+    return F.when(messages.isNull(), F.array(F.lit(NOT_A_LIST))).otherwise(checked)
+
+
+def _is_typed(df: DataFrame, col: str) -> bool:
+    from pyspark.sql.types import VariantType
+
+    return not isinstance(df.schema[col].dataType, VariantType)
+
+
 def typed_record(messages: Column) -> Column:
     """VARIANT record ``{"messages": [...]}`` from a typed messages column."""
     return F.to_variant_object(F.struct(messages.alias("messages")))
 
 
 def validate_records(df: DataFrame, record_col: str = "record") -> DataFrame:
+    """Adds ``problems``. ``record_col`` is a VARIANT record or a typed
+    ``messages`` array."""
+    if _is_typed(df, record_col):
+        return df.withColumn("problems", typed_problems(F.col(record_col)))
     return df.withColumn("problems", record_problems(F.col(record_col)))
 
 
@@ -161,10 +199,15 @@ def message_words(records: DataFrame, record_col: str = "record", group_cols: Se
     Missing or JSON-null content counts 0 words (``msg.get('content', '')``);
     non-string content is skipped.
     """
-    m = records.select(*group_cols, F.explode(messages_of(F.col(record_col))).alias("m"))
-    role = _as_string(_field(F.col("m"), "role"))
-    c = _field(F.col("m"), "content")
-    wc = F.when(_is_none(c), F.lit(0)).when(_is_string(c), word_count(_as_string(c)))
+    if _is_typed(records, record_col):
+        m = records.select(*group_cols, F.explode(F.col(record_col)).alias("m"))
+        role = F.col("m")["role"]
+        wc = F.coalesce(word_count(F.col("m")["content"]), F.lit(0))
+    else:
+        m = records.select(*group_cols, F.explode(messages_of(F.col(record_col))).alias("m"))
+        role = _as_string(_field(F.col("m"), "role"))
+        c = _field(F.col("m"), "content")
+        wc = F.when(_is_none(c), F.lit(0)).when(_is_string(c), word_count(_as_string(c)))
     return (
         m.select(*group_cols, role.alias("role"), wc.cast("bigint").alias("wc"))
         .filter(F.col("role").isin(STAT_ROLES) & F.col("wc").isNotNull())
@@ -181,25 +224,31 @@ def _stats_aggs() -> list[Column]:
     ]
 
 
-def length_stats(records: DataFrame, record_col: str = "record", group_cols: Sequence[str] = ()) -> DataFrame:
+def length_stats(
+    records: DataFrame,
+    record_col: str = "record",
+    group_cols: Sequence[str] = (),
+    groups: DataFrame | None = None,
+) -> DataFrame:
     """Per role (user, assistant): n, min, upper median ``sorted[n//2]``, max,
     floor mean. A role with no messages has n 0 and NULL stats.
 
     min/max/sum/count aggregate partially map-side; the exact median keeps one
     count per distinct word count (``percentile_disc``), so a role holding most
-    rows does not pull them into one task.
+    rows does not pull them into one task. With ``group_cols`` the stats are per
+    group; ``groups`` (one row per group) may be passed to reuse a frame the
+    caller already has instead of a distinct over the records.
     """
     wc = message_words(records, record_col, group_cols)
     stats = wc.groupBy(*group_cols, "role").agg(*_stats_aggs())
-    spark = records.sparkSession
-    roles = spark.createDataFrame([(r,) for r in STAT_ROLES], "role string")
+    roles = F.explode(F.array(*[F.lit(r) for r in STAT_ROLES])).alias("role")
     if group_cols:
+        if groups is None:
+            groups = records.select(*group_cols).distinct()
         # every group x the two stats roles: explode a 2-element literal per group
-        frame = records.select(*group_cols).distinct().select(
-            *group_cols, F.explode(F.array(*[F.lit(r) for r in STAT_ROLES])).alias("role")
-        )
+        frame = groups.select(*group_cols, roles)
     else:
-        frame = roles
+        frame = records.sparkSession.range(1).select(roles)
     return frame.join(stats, [*group_cols, "role"], "left").select(
         *group_cols,
         "role",
@@ -223,7 +272,7 @@ def validation_summary(validated: DataFrame, file_col: str = "file", record_col:
     counts = validated.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("records"), F.count_if(F.size("problems") > 0).alias("invalid")
     )
-    stats = length_stats(validated, record_col, [file_col])
+    stats = length_stats(validated, record_col, [file_col], groups=counts.select(file_col))
     per_role = stats.groupBy(file_col).agg(
         *[
             F.max(

@@ -240,9 +240,10 @@ def q_length_stats(spark, sf):
 
 def q_validation_summary(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
-    splits = res.records.select(F.col("split").alias("file"), typed_record(F.col("messages")).alias("record"))
-    chat = _chat_validated(spark, sf).select(F.lit("chat").alias("file"), "record")
-    return validation_summary(validate_records(splits.unionByName(chat)), "file")
+    # typed records (as built) and parsed JSON lines are checked in their own form
+    splits = validate_records(res.records.select(F.col("split").alias("file"), F.col("messages").alias("record")))
+    chat = _chat_validated(spark, sf).select(F.lit("chat").alias("file"), "record", "problems")
+    return validation_summary(splits, "file").unionByName(validation_summary(chat, "file"))
 
 
 def q_token_budget(spark, sf):

@@ -27,15 +27,22 @@ def apply_required_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "pairforge") -> SparkSession:
-    """Session for tests and the bench (local mode, UI off, AQE on)."""
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "pairforge", event_log_dir: str | None = None
+) -> SparkSession:
+    """Session for tests and the bench (local mode, UI off, AQE on). With
+    ``event_log_dir`` Spark writes its event log there (stage and task times)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")

@@ -88,3 +88,22 @@ def test_validation_summary(spark):
     assert out["train"]["user_words"] == "min=3, median=3, max=3, mean=3"
     assert out["val"]["status"] == "PROBLEMS found in 1 records"
     assert out["val"]["user_words"] == "no data"
+
+
+def test_typed_and_variant_paths_agree(spark):
+    from pairforge.operators.validate import typed_record
+
+    rows = [
+        (1, [("system", "s"), ("user", "u"), ("assistant", "a")]),
+        (2, [("user", "u"), ("system", " ")]),
+        (3, [(None, "x"), ("user", None), ("assistant", "a b")]),
+        (4, []),
+    ]
+    df = spark.createDataFrame(rows, "i int, messages array<struct<role:string,content:string>>")
+    typed = {r["i"]: list(r["problems"]) for r in validate_records(df, "messages").collect()}
+    var = {r["i"]: list(r["problems"]) for r in validate_records(df.select("i", typed_record(F.col("messages")).alias("record"))).collect()}
+    assert typed == var
+    assert typed[3] == ["unexpected role order: [None, 'user', 'assistant']", "empty content for role 'user'"]
+    st_t = sorted(tuple(r) for r in length_stats(df, "messages").collect())
+    st_v = sorted(tuple(r) for r in length_stats(df.select(typed_record(F.col("messages")).alias("record"))).collect())
+    assert st_t == st_v
