@@ -68,10 +68,12 @@ def _dtypes(df: DataFrame, cols: Sequence[str]) -> list:
     return [fields[c] for c in cols]
 
 
-def _fetch_sorted(df: DataFrame, cols: Sequence[str], limit: int) -> list[tuple]:
-    rows = [tuple(r) for r in df.select(*cols).limit(limit + 1).collect()]
-    if len(rows) > limit:
-        raise RuntimeError("selection window larger than its bound")
+def _fetch_sorted(df: DataFrame, cols: Sequence[str], expected: int) -> list[tuple]:
+    """All keys of a candidate set whose size is already known to be at most the
+    window bound (from a count or a histogram), sorted on the driver."""
+    rows = [tuple(r) for r in df.select(*cols).collect()]
+    if len(rows) != expected:
+        raise RuntimeError(f"selection window changed size: {len(rows)} != {expected}")
     rows.sort()
     return rows
 
@@ -100,12 +102,6 @@ def kth_key(
         # The smallest key: one partial aggregate; None when there are no rows.
         row = keys.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("m")).first()
         return None if row["n"] <= 1 else tuple(row["m"])
-    if total is None:
-        # Small inputs: one bounded fetch answers directly.
-        few = [tuple(x) for x in keys.limit(window_rows + 1).collect()]
-        if len(few) <= window_rows:
-            few.sort()
-            return few[k - 1] if k < len(few) else None
     n = keys.count() if total is None else total
     if k >= n:
         return None
@@ -119,7 +115,7 @@ def kth_key(
         if hi is not None:
             cand = cand.filter(lex_cmp(cols, hi, dtypes, "<="))
         if c <= window_rows:
-            return _fetch_sorted(cand, cols, window_rows)[r - 1]
+            return _fetch_sorted(cand, cols, c)[r - 1]
         frac = min(1.0, sample_rows / c)
         sample = sorted(tuple(x) for x in cand.sample(False, frac, seed).collect())
         seed += 1
@@ -176,7 +172,7 @@ def kth_hex_key(
     while True:
         cand = keys if not prefix else keys.filter(F.startswith(F.col(hex_col), F.lit(prefix)))
         if c <= window_rows:
-            return _fetch_sorted(cand, cols, window_rows)[r - 1]
+            return _fetch_sorted(cand, cols, c)[r - 1]
         if width is None:
             width = len(keys.select(hex_col).first()[0])
         if len(prefix) >= width:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,8 +171,11 @@ def problem_head(validated: DataFrame, order_cols: Sequence[str], n: int = 5) ->
     """
     cols = list(order_cols)
     bad = invalid_records(validated)
-    keys = bad.select(*cols)
-    t = kth_key(keys, cols, n) if n > 0 else None
+    keys = bad.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        t = kth_key(keys, cols, n) if n > 0 else None
+    finally:
+        keys.unpersist()
     head = bad if t is None else bad.filter(lex_cmp(cols, t, _dtypes(bad, cols), "<="))
     head_keys = [tuple(r) for r in head.select(*cols).collect()]  # at most n
     dtypes = _dtypes(validated, cols)

@@ -272,3 +272,7 @@ SELECT doc_id, {_wps('text')} AS source_words_per_sentence, {_cpw('text')} AS so
   {_wps('before')} AS before_words_per_sentence, {_cpw('before')} AS before_chars_per_word,
   {_wps('after')} AS after_words_per_sentence, {_cpw('after')} AS after_chars_per_word FROM cmp""",
 })
+
+SQL["validate_files"] = SQL["validation_summary"].replace(
+    "FROM counts c JOIN txt t ON t.file = c.file", "FROM counts c JOIN txt t ON t.file = c.file WHERE c.file <> 'chat'"
+)

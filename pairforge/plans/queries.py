@@ -37,6 +37,7 @@ from pairforge.operators.validate import (
     validate_records,
     validation_summary,
 )
+from pairforge.plans.check import check_split_files
 from pairforge.plans.views import chat_records, pairs_doc, table
 from pairforge.sources.jsonl import parse_lines
 from pairforge.session import scratch_path
@@ -246,6 +247,14 @@ def q_validation_summary(spark, sf):
     return validation_summary(splits, "file").unionByName(validation_summary(chat, "file"))
 
 
+def q_validate_files(spark, sf):
+    """Build, write the split JSON lines, and validate the written files."""
+    res = B.build_records(B.default_sources(spark, sf))
+    out = scratch_path(spark, "splits")
+    write_splits(res.records, out)
+    return check_split_files(spark, out)
+
+
 def q_token_budget(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
     return token_budget(res.records, 1536)
@@ -308,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "problem_head": q_problem_head,
     "length_stats": q_length_stats,
     "validation_summary": q_validation_summary,
+    "validate_files": q_validate_files,
     "token_budget": q_token_budget,
     "guard_input": q_guard_input,
     "batch_rewrite": q_batch_rewrite,

@@ -27,11 +27,12 @@ LINE_ORDER = ["file_path", "block_start", "lid"]
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.text(paths)
+    # partition columns of a partitioned directory (e.g. split=train) are kept
     return df.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("lid"),
-        F.col("value"),
+        *df.columns,
     )
 
 
