@@ -13,8 +13,9 @@ A prepared pair row has the columns of ``PAIR_COLUMNS``:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
+from itertools import groupby
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.text import char_length, py_strip, stringify, truncate
 from pairforge.operators.select import kth_key, le_key
-from pairforge.sources.parquet import pick_columns, scan_ordered, select_by_position
+from pairforge.sources.parquet import ordered_files, pick_columns, scan_ordered, select_by_position
 
 ORDER_COLS = ["o_part", "o_file", "o_row"]
 PAIR_COLUMNS = ["source", "source_ord", *ORDER_COLS, "pair_key", "abstract", "plain_summary"]
@@ -47,6 +48,8 @@ class PairSource:
     truncate: int | None = None
     enabled: bool = True
     columns: tuple[str, str] | None = field(default=None)
+    # file sources: (path_ord, file) in scan order, for the early-stopping cap
+    files: list[tuple[int, str]] | None = field(default=None, repr=False)
 
 
 def parquet_source(
@@ -60,21 +63,30 @@ def parquet_source(
     """Pair source over Parquet files in list order; text columns are resolved
     once, from the first path."""
     cols = pick_columns(spark.read.parquet(paths[0]).columns)
-    frame = scan_ordered(spark, paths, columns=list(cols)).withColumn(
-        "file_name", F.regexp_extract(F.col("file_path"), r"([^/]*)$", 1)
-    )
     return PairSource(
         name=name,
-        frame=frame,
+        frame=_file_frame(spark, scan_ordered(spark, paths, columns=list(cols))),
         order=("path_ord", "file_path", "row_index"),
         key_cols=("path_ord", "file_name", "row_index"),
         cap=cap,
         truncate=truncate_input,
         enabled=enabled,
         columns=cols,
+        files=ordered_files(spark, paths) if cap is not None else None,
     )
 
 
+def _file_frame(spark: SparkSession, scanned: DataFrame) -> DataFrame:
+    return scanned.withColumn("file_name", F.regexp_extract(F.col("file_path"), r"([^/]*)$", 1))
+
+
+def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], columns: tuple[str, str]) -> DataFrame:
+    """The scan of a prefix of the ordered file list (same order key)."""
+    groups = [(o, [f for _, f in g]) for o, g in groupby(files, key=lambda x: x[0])]
+    scanned = scan_ordered(spark, [g for _, g in groups], columns=list(columns), ordinals=[o for o, _ in groups])
+    return _file_frame(spark, scanned)
+
+
 def clean_pair_columns(frame: DataFrame, columns: tuple[str, str] | None = None, truncate_input: int | None = None):
     """(abstract, plain_summary) expressions: stringify, strip, truncate input."""
     inp, out = columns or pick_columns(frame.columns)
@@ -135,14 +147,48 @@ def cap_pairs(pairs: DataFrame, cap: int | None, order_cols: Sequence[str] = ORD
     return pairs.filter(le_key(order_cols, t, pairs))
 
 
+def cap_file_source(src: PairSource, source_ord: int = 0, min_chars: int = MIN_CHARS, growth: int = 4) -> DataFrame:
+    """Cap a file source without reading files past the cap.
+
+    Accepted pairs are counted over a growing prefix of the ordered file list
+    (1, growth, growth^2, ... files) until the prefix holds ``cap`` pairs or all
+    files; the threshold is then selected inside that prefix only. Files after
+    it are never opened, and the work stays within growth/(growth-1) of the
+    prefix that is needed.
+    """
+    files = src.files or []
+    cap = src.cap
+    if cap is None or not files or cap <= 0:
+        return cap_pairs(prepare_pairs(src, source_ord, min_chars), cap)
+    take = 1
+    while True:
+        sub = replace(src, frame=_prefix_frame(src.frame.sparkSession, files[:take], src.columns), files=None)
+        prepared = prepare_pairs(sub, source_ord, min_chars)
+        keys = prepared.select(*ORDER_COLS).persist(StorageLevel.MEMORY_AND_DISK)
+        n = keys.count()
+        if n >= cap or take >= len(files):
+            break
+        keys.unpersist()
+        take = min(len(files), take * growth)
+    try:
+        t = kth_key(keys, ORDER_COLS, cap, total=n)
+    finally:
+        keys.unpersist()
+    return prepared if t is None else prepared.filter(le_key(ORDER_COLS, t, prepared))
+
+
 def union_sources(sources: Sequence[PairSource], min_chars: int = MIN_CHARS) -> DataFrame:
     """Prepared and capped pairs of all enabled sources, in list order
-    (``source_ord``), duplicates kept."""
+    (``source_ord``), duplicates kept. File sources with a cap stop opening
+    files once the cap is met (``cap_file_source``)."""
     parts = []
     for i, s in enumerate(sources):
         if not s.enabled:
             continue
-        parts.append(cap_pairs(prepare_pairs(s, i, min_chars), s.cap))
+        if s.files and s.cap is not None:
+            parts.append(cap_file_source(s, i, min_chars))
+        else:
+            parts.append(cap_pairs(prepare_pairs(s, i, min_chars), s.cap))
     if not parts:
         raise ValueError("no enabled source")
     return reduce(lambda x, y: x.unionByName(y), parts)

@@ -97,3 +97,22 @@ def test_union_order_and_counts(spark):
     assert sorted((r["source_ord"], r["pair_key"]) for r in u.collect()) == [(0, "one:1"), (1, "two:1")]
     counts = {(r["source"], r["is_total"]): r["pairs"] for r in source_counts(u, srcs).collect()}
     assert counts == {("one", False): 1, ("two", False): 1, ("three", False): 0, (None, True): 2}
+
+
+def test_file_cap_stops_opening_files(spark, tmp_dir):
+    paths = []
+    for j in range(6):
+        p = f"{tmp_dir}/part{j}.parquet"
+        rows = [(f"{L51}-{j}-{i}", L51) for i in range(5)] + [("short", L51)]
+        spark.createDataFrame(rows, "abstract string, target string").coalesce(1).write.parquet(p)
+        paths.append(p)
+    src = parquet_source(spark, "c", paths, cap=7)
+    out = union_sources([src])
+    got = [r["abstract"] for r in out.orderBy("o_part", "o_file", "o_row").collect()]
+    assert got == [f"{L51}-0-{i}" for i in range(5)] + [f"{L51}-1-{i}" for i in range(2)]
+    # the cap is met inside the first 4 files (prefixes of 1, then 4 files), so the
+    # last two are never opened; in the final plan the threshold's bound on the
+    # constant path_ord also prunes the union branches of files 3 and 4
+    assert len(out.inputFiles()) == 2
+    # a cap beyond all rows reads everything and keeps every accepted pair
+    assert union_sources([parquet_source(spark, "c", paths, cap=1000)]).count() == 30
