@@ -34,11 +34,9 @@ def _class_body(codes: tuple[int, ...]) -> str:
     return "".join(parts)
 
 
-# Regex character classes; ``\x{..}`` is understood by Java regex and RE2 alike,
-# so the same pattern text is used by the Spark code and the SQL oracle.
-WS_CLASS = f"[{_class_body(WS_CODEPOINTS)}]"
+# A run of non-whitespace as a regex; ``\x{..}`` is understood by Java regex and
+# RE2 alike (the SQL oracle uses this pattern text).
 NON_WS_RUN = f"[^{_class_body(WS_CODEPOINTS)}]+"
-WS_RUN = f"[{_class_body(WS_CODEPOINTS)}]+"
 
 
 # Python whitespace outside Java's ASCII ``\s`` ([ \t\n\x0B\f\r]). Folding these to a

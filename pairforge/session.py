@@ -83,9 +83,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def sf_table(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
