@@ -76,6 +76,23 @@ def parquet_source(
     )
 
 
+def json_array_source(spark: SparkSession, name: str, path: str, cap: int | None = None) -> PairSource | None:
+    """Pair source over a file holding one JSON array of pair objects
+    (``abstract``, ``plain_summary``); None when the file is missing (skipped).
+
+    Such a file is read by one task, so ``monotonically_increasing_id`` follows
+    the array order and serves as the row order.
+    """
+    from pairforge.sources.splits import read_json_array
+
+    df = read_json_array(spark, path)
+    if df is None:
+        return None
+    frame = df.select("abstract", "plain_summary", F.monotonically_increasing_id().alias("row"))
+    return PairSource(name=name, frame=frame, order=(None, None, "row"), key_cols=("row",), cap=cap,
+                      columns=("abstract", "plain_summary"))
+
+
 def _file_frame(spark: SparkSession, scanned: DataFrame) -> DataFrame:
     return scanned.withColumn("file_name", F.regexp_extract(F.col("file_path"), r"([^/]*)$", 1))
 

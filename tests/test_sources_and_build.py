@@ -42,3 +42,20 @@ def test_entry_smoke(spark):
     rows = E.entry(spark).collect()
     assert {r["split"] for r in rows} == {"train", "val"}
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_pair_files_feed_the_build(spark, tmp_dir):
+    from pairforge.operators.pairs import json_array_source, union_sources
+
+    a = f"{tmp_dir}/first_pairs.json"
+    pairs = [{"abstract": f"technical text number {i} " + "t" * 40, "plain_summary": f"plain {i} " + "p" * 50} for i in range(12)]
+    with open(a, "w", encoding="utf-8") as f:
+        json.dump(pairs, f, indent=2, ensure_ascii=False)
+    srcs = [json_array_source(spark, "first", a), json_array_source(spark, "second", f"{tmp_dir}/missing.json")]
+    assert srcs[1] is None  # missing file skipped
+    u = union_sources([s for s in srcs if s is not None])
+    got = [r["abstract"] for r in u.orderBy("o_row").collect()]
+    assert got == [p["abstract"] for p in pairs]
+    res = B.build_records([s for s in srcs if s is not None], checkpoint=True)
+    counts = {r["split"]: r["records"] for r in B.split_counts(res.records).collect()}
+    assert counts == {"train": 11, "val": 1}
