@@ -129,8 +129,8 @@ FROM union_all ORDER BY source_ord, o_part, o_file, o_row LIMIT 1""",
   || '<|im_start|>user' || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt
 FROM documents""",
     "to_jsonl": f"""WITH {UNION}
-SELECT pair_key, to_json({{'messages': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},
-  {{'role': 'assistant', 'content': plain_summary}}]}}) AS value FROM union_all""",
+SELECT pair_key, CAST(to_json({{'messages': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},
+  {{'role': 'assistant', 'content': plain_summary}}]}}) AS VARCHAR) AS value FROM union_all""",
     "split_roundtrip": f"WITH {SPLIT} " + _flat3("split", "split"),
 }
 
