@@ -4,11 +4,11 @@ sources -> column pick -> strip -> truncate -> length filter -> cap per source
 -> union in source order -> chat record -> seeded exact split -> JSON lines.
 
 Actions: one count and a few bounded histogram/sample passes for every cap and
-for the split (see ``operators.select``), then the write. The union is
-checkpointed into the shared checkpoint folder before the split, so the split's
-passes and the write read the small checkpoint instead of re-scanning and
-re-filtering every source, and a lost executor costs a re-read, not a re-run of
-the whole chain.
+for the split (see ``operators.select``), then the write. The union is written
+as a Parquet table into the shared folder named by ``spark.checkpoint.dir``
+before the split: the split's passes read only its key column, the write reads
+the table instead of re-scanning and re-filtering every source, and a lost
+executor costs a re-read, not a re-run of the whole chain.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pairforge.operators.chat import SYSTEM_PROMPT, format_chat
 from pairforge.operators.pairs import PairSource, source_counts, union_sources
 from pairforge.operators.sampling import train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
-from pairforge.session import checkpoint_root
+from pairforge.session import scratch_path
 from pairforge.sources.splits import write_splits
 
 # Defaults of the reference build: first source capped at 4,500 pairs; second
@@ -62,15 +62,23 @@ def default_sources(spark: SparkSession, sf_dir: str) -> list[PairSource]:
     return [conv_source(spark, sf_dir), doc_source(spark, sf_dir)]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir``."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "pairs") -> DataFrame:
+    """Cut the lineage: write ``df`` as a Parquet table into the shared folder
+    named by ``spark.checkpoint.dir`` and read it back.
+
+    Unlike ``DataFrame.checkpoint()`` (row-serialized blocks), later passes read
+    the table columnar and pruned: the split's selection passes read only the
+    row key, not the texts.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @dataclass
 class BuildResult:
-    pairs: DataFrame  # union of prepared, capped pairs (checkpointed)
+    pairs: DataFrame  # union of prepared, capped pairs (written table when checkpointed)
     records: DataFrame  # pair_key, shuffle_hash, split, messages
     counts: DataFrame  # source counts
     status: str
