@@ -21,6 +21,22 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested settings for a large cluster (applied by the cluster's own session
+# setup, not by this library): AQE sizes shuffle partitions from the data and
+# splits skewed ones; 256 MB input splits and shuffle partitions keep tasks
+# well inside executor memory for text rows of up to a few MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    **REQUIRED_CONF,
+}
+
+
 def apply_required_conf(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:

@@ -27,3 +27,12 @@ def test_kth_hex_key_with_colliding_digests(spark):
     # 400 rows share one digest: the tie column decides
     df = spark.range(400).select(F.lit("ab" * 16).alias("h"), F.format_string("%05d", F.col("id")).alias("k"))
     assert kth_hex_key(df, "h", ["k"], 123, window_rows=30) == ("ab" * 16, "00122")
+
+
+def test_kth_key_with_a_hot_prefix(spark):
+    # one file (o_part 1) holds two thirds of all rows; selection stays exact
+    rows = [(0, "a", i) for i in range(300)] + [(1, "b", i) for i in range(2000)] + [(2, "c", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "p int, f string, r long").repartition(9)
+    ordered = sorted(rows)
+    for k in (299, 300, 301, 1234, 2300, 2301, 2999):
+        assert kth_key(df, ["p", "f", "r"], k, window_rows=40, sample_rows=150) == ordered[k - 1], k
