@@ -101,6 +101,7 @@ SELECT pair_key, CAST(length(a) AS BIGINT) AS abstract_chars, CAST(length(b) AS
        length(a) > 50 AND length(b) > 50 AS keep FROM c""",
     "prepare_pairs": f"""WITH {PAIRS_CONV}, {PAIRS_DOC}, {PREP_CONV}, {PREP_DOC}
 SELECT * FROM prep_conv UNION ALL SELECT * FROM prep_doc""",
+    # doc_id equals the row position inside documents.parquet at every scale factor
     "scan_ordered": "SELECT CAST(0 AS INTEGER) AS path_ord, CAST(doc_id AS BIGINT) AS row_index, doc_id, lang FROM documents",
     "cap_pairs": f"""WITH {PAIRS_CONV}, {PAIRS_DOC}, {PREP_CONV}, {PREP_DOC}, {_cap('conv', 100)}, {_cap('doc', 200)}
 SELECT source, pair_key, o_part, o_row FROM cap_conv UNION ALL SELECT source, pair_key, o_part, o_row FROM cap_doc""",
@@ -159,9 +160,9 @@ validated AS (
 def _stats(src: str, group: str | None) -> str:
     """Per-role word stats over ``src(role, wc[, group])``."""
     if group:
-        frame = f"(SELECT DISTINCT {group} FROM recs) f, (VALUES ('user'), ('assistant')) r(role)"
-        on = f"w.{group} = f.{group} AND w.role = r.role"
-        keys = f"f.{group}, r.role"
+        frame = f"(SELECT {group}, unnest(['user', 'assistant']) AS role FROM (SELECT DISTINCT {group} FROM recs) g) r"
+        on = f"w.{group} = r.{group} AND w.role = r.role"
+        keys = f"r.{group}, r.role"
     else:
         frame = "(VALUES ('user'), ('assistant')) r(role)"
         on = "w.role = r.role"
