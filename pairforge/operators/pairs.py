@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.text import char_length, py_strip, stringify, truncate
 from pairforge.operators.select import kth_key, le_key
+from pairforge.session import literal_frame
 from pairforge.sources.parquet import ordered_files, pick_columns, scan_ordered, select_by_position
 
 ORDER_COLS = ["o_part", "o_file", "o_row"]
@@ -218,8 +219,8 @@ def source_counts(pairs: DataFrame, sources: Sequence[PairSource]) -> DataFrame:
     joined to the source list, whose size is the number of sources.
     """
     spark = pairs.sparkSession
-    names = spark.createDataFrame(
-        [(s.name, i) for i, s in enumerate(sources) if s.enabled], "source string, source_ord int"
+    names = literal_frame(
+        spark, [(s.name, i) for i, s in enumerate(sources) if s.enabled], "source string, source_ord int"
     )
     per = pairs.groupBy("source").agg(F.count(F.lit(1)).alias("pairs"))
     by_source = names.join(F.broadcast(per), "source", "left").select(

@@ -23,7 +23,7 @@ from pairforge.operators.chat import SYSTEM_PROMPT, format_chat
 from pairforge.operators.pairs import PairSource, source_counts, union_sources
 from pairforge.operators.sampling import train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
-from pairforge.session import scratch_path
+from pairforge.session import literal_frame, scratch_path
 from pairforge.sources.splits import write_splits
 
 # Defaults of the reference build: first source capped at 4,500 pairs; second
@@ -104,7 +104,7 @@ def build_records(
 def split_counts(records: DataFrame) -> DataFrame:
     """Records per split; both splits always present (0 when empty)."""
     spark = records.sparkSession
-    names = spark.createDataFrame([("train",), ("val",)], "split string")
+    names = literal_frame(spark, [("train",), ("val",)], "split string")
     per = records.groupBy("split").agg(F.count(F.lit(1)).alias("records"))
     return names.join(F.broadcast(per), "split", "left").select(
         "split", F.coalesce("records", F.lit(0)).cast("bigint").alias("records")

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from pairforge.operators.validate import validate_records, validation_summary
 from pairforge.sources.jsonl import load_jsonl
-from pairforge.sources.splits import path_report
+from pairforge.session import literal_frame, path_exists
 
 
 def check_split_files(spark: SparkSession, out_dir: str) -> DataFrame:
     """Summary per split directory below ``out_dir`` (``split=<name>``)."""
-    if path_report(spark, [out_dir]).first()["status"] == "missing":
-        return spark.createDataFrame([], "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string")
+    if not path_exists(spark, out_dir):
+        return literal_frame(
+            spark, [], "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string"
+        )
     records = load_jsonl(spark, out_dir, mode="failfast").withColumnRenamed("split", "file")
     return validation_summary(validate_records(records), "file")

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on (all runtime SQL confs).
 REQUIRED_CONF = {
@@ -99,5 +99,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small frame of driver-side literals built JVM-side (no Python worker
+    round trip, unlike ``createDataFrame`` from a list)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def sf_table(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

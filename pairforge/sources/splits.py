@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.operators.chat import MESSAGE_TYPE
-from pairforge.session import path_exists
+from pairforge.session import literal_frame, path_exists
 
 RECORD_SCHEMA = f"messages {MESSAGE_TYPE}"
 PAIR_SCHEMA = "abstract string, plain_summary string"
@@ -62,4 +62,4 @@ def read_json_array(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -
 def path_report(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """One row per path: ``path, status`` with status 'ok' or 'missing'."""
     rows = [(p, "ok" if path_exists(spark, p) else "missing") for p in paths]
-    return spark.createDataFrame(rows, "path string, status string")
+    return literal_frame(spark, rows, "path string, status string")
