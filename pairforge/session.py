@@ -103,9 +103,9 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     """A small frame of driver-side literals built JVM-side (no Python worker
     round trip, unlike ``createDataFrame`` from a list)."""
     from pyspark.sql import functions as F
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import DataType
 
-    st = _parse_datatype_string(schema)
+    st = DataType.fromDDL(schema)
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
     structs = [
