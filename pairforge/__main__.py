@@ -1,10 +1,12 @@
-"""Command line: ``python -m pairforge build|check|rewrite ...`` (or spark-submit).
+"""Command line: ``python -m pairforge build|check|subsample|rewrite ...`` (or spark-submit).
 
 * ``build``: pair sources -> chat records -> exact seeded split -> JSON lines
   under ``--out/split=train|val``; prints records per split.
 * ``check``: validates the written split files; prints per split the record
   count, problems (first 5 with their index, and how many more) and word
   statistics of user and assistant messages.
+* ``subsample``: exact seeded subsample of the written split files into a new
+  directory (300 train / 50 validation lines by default).
 * ``rewrite``: before/after rewrites of a Parquet text table, written as
   Parquet; rewriters are factories given as ``module:function``.
 
@@ -74,6 +76,17 @@ def cmd_check(spark: SparkSession, args) -> None:
         print(f"  Assistant (plain) word counts:    {s['assistant_words']}")
 
 
+def cmd_subsample(spark: SparkSession, args) -> None:
+    from pairforge.plans.subsample import subsample_files
+
+    from pairforge.plans.subsample import SUBSAMPLE_SIZES
+
+    sizes = dict(SUBSAMPLE_SIZES)
+    sizes.update((k, int(v)) for k, v in (x.split("=") for x in args.size or []))
+    for r in sorted(subsample_files(spark, args.dir, args.out, sizes, args.seed).collect()):
+        print(f"{r['split']}: {r['records']} records")
+
+
 def cmd_rewrite(spark: SparkSession, args) -> None:
     from pairforge.operators.rewrite import compare_rewrites
 
@@ -93,6 +106,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     b.add_argument("--seed", type=int, default=42)
     c = sub.add_parser("check", help="validate written split files")
     c.add_argument("dir")
+    ss = sub.add_parser("subsample", help="exact seeded subsample of written split files into a new directory")
+    ss.add_argument("dir")
+    ss.add_argument("--out", required=True)
+    ss.add_argument("--size", action="append", default=None, help="split=N (repeatable; default train=300, val=50)")
+    ss.add_argument("--seed", type=int, default=42)
     r = sub.add_parser("rewrite", help="before/after rewrites of a text table")
     r.add_argument("--input", nargs="+", required=True)
     r.add_argument("--out", required=True)
@@ -106,7 +124,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     spark = spark or SparkSession.builder.getOrCreate()
     apply_required_conf(spark)
-    {"build": cmd_build, "check": cmd_check, "rewrite": cmd_rewrite}[args.cmd](spark, args)
+    {"build": cmd_build, "check": cmd_check, "subsample": cmd_subsample, "rewrite": cmd_rewrite}[args.cmd](spark, args)
     return 0
 
 
