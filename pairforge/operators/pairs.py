@@ -106,8 +106,17 @@ def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], columns: tu
 
 
 def clean_pair_columns(frame: DataFrame, columns: tuple[str, str] | None = None, truncate_input: int | None = None):
-    """(abstract, plain_summary) expressions: stringify, strip, truncate input."""
+    """(abstract, plain_summary) expressions: stringify, strip, truncate input.
+
+    Scalar columns are stringified; a list, map or struct text column is an
+    error (its text form would be engine-specific)."""
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
     inp, out = columns or pick_columns(frame.columns)
+    for c in (inp, out):
+        dt = next(f.dataType for f in frame.schema.fields if f.name == c)
+        if isinstance(dt, (ArrayType, MapType, StructType)):
+            raise TypeError(f"text column {c!r} is not a scalar: {dt.simpleString()}")
     a = truncate(py_strip(stringify(F.col(f"`{inp}`"))), truncate_input)
     b = py_strip(stringify(F.col(f"`{out}`")))
     return a.alias("abstract"), b.alias("plain_summary")

@@ -116,3 +116,13 @@ def test_file_cap_stops_opening_files(spark, tmp_dir):
     assert len(out.inputFiles()) == 2
     # a cap beyond all rows reads everything and keeps every accepted pair
     assert union_sources([parquet_source(spark, "c", paths, cap=1000)]).count() == 30
+
+
+def test_non_scalar_text_column_is_an_error(spark):
+    df = spark.createDataFrame([(1, ["a"], L51)], "id long, input array<string>, output string")
+    src = PairSource(name="s", frame=df, order=(None, None, "id"), key_cols=("id",))
+    with pytest.raises(TypeError, match="input"):
+        prepare_pairs(src)
+    nums = spark.createDataFrame([(1, 12345, L51)], "id long, input long, output string")
+    src = PairSource(name="s", frame=nums, order=(None, None, "id"), key_cols=("id",))
+    assert prepare_pairs(src).count() == 0  # '12345' is too short, but not an error
