@@ -64,21 +64,27 @@ def subsample_k(
     seed: int = 42,
     key_col: str = "pair_key",
     group_col: str = "split",
+    tie_col: str | None = None,
 ) -> DataFrame:
     """Exactly ``sizes[g]`` rows of each group ``g`` (all rows when fewer): the
-    first ones of the seeded permutation. Groups not named are dropped."""
+    first ones of the seeded permutation. Groups not named are dropped.
+
+    The permutation hashes ``key_col``; ``tie_col`` (default ``key_col``) orders
+    rows with equal hashes and must be unique. Hashing content and breaking ties
+    by position makes the kept multiset a function of the content alone."""
+    tie = tie_col or key_col
     h = df if HASH_COL in df.columns else shuffle_key(df, seed, key_col)
     cond: Column | None = None
     for g, n in sizes.items():
         in_g = F.col(group_col) == F.lit(g)
         if n <= 0:
             continue
-        part = h.filter(in_g).select(HASH_COL, key_col).persist(StorageLevel.MEMORY_AND_DISK)
+        part = h.filter(in_g).select(HASH_COL, tie).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            t = kth_hex_key(part, HASH_COL, [key_col], n)
+            t = kth_hex_key(part, HASH_COL, [tie], n)
         finally:
             part.unpersist()
-        c = in_g if t is None else in_g & le_key([HASH_COL, key_col], t, h)
+        c = in_g if t is None else in_g & le_key([HASH_COL, tie], t, h)
         cond = c if cond is None else cond | c
     if cond is None:
         return h.limit(0)

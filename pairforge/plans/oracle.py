@@ -277,3 +277,10 @@ SELECT doc_id, {_wps('text')} AS source_words_per_sentence, {_cpw('text')} AS so
 SQL["validate_files"] = SQL["validation_summary"].replace(
     "FROM counts c JOIN txt t ON t.file = c.file", "FROM counts c JOIN txt t ON t.file = c.file WHERE c.file <> 'chat'"
 )
+
+SQL["subsample_files"] = f"""WITH {SPLIT},
+lines AS (
+  SELECT split, CAST(to_json({{'messages': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},
+    {{'role': 'assistant', 'content': plain_summary}}]}}) AS VARCHAR) AS value FROM split)
+SELECT split, value FROM lines
+QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42|' || value)) <= CASE split WHEN 'train' THEN 300 ELSE 50 END"""

@@ -38,6 +38,7 @@ from pairforge.operators.validate import (
     validation_summary,
 )
 from pairforge.plans.check import check_split_files
+from pairforge.plans.subsample import subsample_files
 from pairforge.plans.views import chat_records, pairs_doc, table
 from pairforge.sources.jsonl import parse_lines
 from pairforge.session import scratch_path
@@ -255,6 +256,17 @@ def q_validate_files(spark, sf):
     return check_split_files(spark, out)
 
 
+def q_subsample_files(spark, sf):
+    """Build, write the split JSON lines, keep 300 train / 50 val lines of the
+    files (seeded, by content), and read the sample back."""
+    res = B.build_records(B.default_sources(spark, sf))
+    out = scratch_path(spark, "splits")
+    write_splits(res.records, out)
+    small = scratch_path(spark, "splits-sample")
+    subsample_files(spark, out, small, SUBSAMPLE_SIZES, B.SEED)
+    return spark.read.text(small).select("split", "value")
+
+
 def q_token_budget(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
     return token_budget(res.records, 1536)
@@ -318,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "length_stats": q_length_stats,
     "validation_summary": q_validation_summary,
     "validate_files": q_validate_files,
+    "subsample_files": q_subsample_files,
     "token_budget": q_token_budget,
     "guard_input": q_guard_input,
     "batch_rewrite": q_batch_rewrite,

@@ -1,10 +1,11 @@
 """Exact, seeded subsample of written split files (the notebook's step).
 
-Every line of the split JSON-lines files gets a key that does not depend on
-how Spark splits the files: the file name and the physical line number (from
-per-split line counts, see ``sources.jsonl.line_numbers``). Each split keeps
-the first ``n`` lines of the seeded permutation ``md5('<seed>|<key>')``
-(all lines when fewer) and is written to a new directory; the input is never
+Each split keeps the first ``n`` lines (all when fewer) of the seeded
+permutation ``order by md5('<seed>|<line text>')``. Identical lines are ordered
+by a position key that does not depend on how Spark splits the files (file name
+and physical line number, from per-split line counts, see
+``sources.jsonl.line_numbers``), so the kept lines are a function of the file
+contents alone. The sample is written to a new directory; the input is never
 overwritten, because Spark reads it lazily while writing.
 """
 
@@ -42,7 +43,7 @@ def subsample_files(
 ) -> DataFrame:
     """Write the subsample as ``out_dir/split=<name>`` text files; returns the
     lines kept per split."""
-    picked = subsample_k(keyed_lines(spark, in_dir), sizes, seed=seed, key_col="line_key")
+    picked = subsample_k(keyed_lines(spark, in_dir), sizes, seed=seed, key_col="value", tie_col="line_key")
     picked.select("split", "value").write.mode("overwrite").partitionBy("split").text(out_dir)
     kept = spark.read.text(out_dir).groupBy("split").agg(F.count(F.lit(1)).alias("records"))
     return kept

@@ -65,7 +65,7 @@ def test_subsample_files_exact_and_stable(spark, tmp_dir, capsys):
     assert a == b and len(a) == 120
     # the kept val lines are the first 5 of the seeded permutation
     lines = keyed_lines(spark, out).filter("split = 'val'").collect()
-    first = sorted(lines, key=lambda r: (hashlib.md5(f"42|{r['line_key']}".encode()).hexdigest(), r["line_key"]))[:5]
+    first = sorted(lines, key=lambda r: (hashlib.md5(f"42|{r['value']}".encode()).hexdigest(), r["line_key"]))[:5]
     got = {r["value"] for r in spark.read.text(f"{tmp_dir}/sub").filter("split = 'val'").collect()}
     assert got == {r["value"] for r in first}
     main(["subsample", out, "--out", f"{tmp_dir}/sub2", "--size", "train=7"], spark=spark)
