@@ -206,19 +206,47 @@ def cap_file_source(src: PairSource, source_ord: int = 0, min_chars: int = MIN_C
 
 def union_sources(sources: Sequence[PairSource], min_chars: int = MIN_CHARS) -> DataFrame:
     """Prepared and capped pairs of all enabled sources, in list order
-    (``source_ord``), duplicates kept. File sources with a cap stop opening
-    files once the cap is met (``cap_file_source``)."""
-    parts = []
+    (``source_ord``), duplicates kept.
+
+    File sources with a cap stop opening files once the cap is met
+    (``cap_file_source``). The other capped sources are counted together: their
+    key-only frames are unioned and persisted, one aggregation counts accepted
+    pairs per source (a row per source), and only sources over their cap get a
+    threshold, selected from the persisted keys.
+    """
+    prepared: dict[int, DataFrame] = {}
+    table_capped: list[tuple[int, int]] = []
     for i, s in enumerate(sources):
         if not s.enabled:
             continue
         if s.files and s.cap is not None:
-            parts.append(cap_file_source(s, i, min_chars))
-        else:
-            parts.append(cap_pairs(prepare_pairs(s, i, min_chars), s.cap))
-    if not parts:
+            prepared[i] = cap_file_source(s, i, min_chars)
+            continue
+        p = prepare_pairs(s, i, min_chars)
+        if s.cap is not None and s.cap <= 0:
+            p = p.limit(0)
+        elif s.cap is not None:
+            table_capped.append((i, s.cap))
+        prepared[i] = p
+    if not prepared:
         raise ValueError("no enabled source")
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    if table_capped:
+        keys = reduce(
+            lambda x, y: x.unionByName(y),
+            [prepared[i].select("source_ord", *ORDER_COLS) for i, _ in table_capped],
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            counts = {r["source_ord"]: r["n"] for r in keys.groupBy("source_ord").agg(F.count(F.lit(1)).alias("n")).collect()}
+            for i, cap in table_capped:
+                n = counts.get(i, 0)
+                if n <= cap:
+                    continue
+                t = kth_key(keys.filter(F.col("source_ord") == i), ORDER_COLS, cap, total=n)
+                if t is not None:
+                    prepared[i] = prepared[i].filter(le_key(ORDER_COLS, t, prepared[i]))
+        finally:
+            keys.unpersist()
+    return reduce(lambda x, y: x.unionByName(y), [prepared[i] for i in sorted(prepared)])
 
 
 def source_counts(pairs: DataFrame, sources: Sequence[PairSource]) -> DataFrame:
