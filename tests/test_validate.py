@@ -107,3 +107,22 @@ def test_typed_and_variant_paths_agree(spark):
     st_t = sorted(tuple(r) for r in length_stats(df, "messages").collect())
     st_v = sorted(tuple(r) for r in length_stats(df.select(typed_record(F.col("messages")).alias("record"))).collect())
     assert st_t == st_v
+
+
+def test_token_budget_with_a_tokenizer_file(spark, tmp_dir):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from pairforge.operators.chat import ChatTemplate
+    from pairforge.operators.validate import token_budget, tokenizer_counter
+
+    vocab = {"[UNK]": 0, "a": 1, "b": 2, "c": 3}
+    tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
+    tok.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = f"{tmp_dir}/tokenizer.json"
+    tok.save(path)
+    rows = [("train", [("user", "a b c"), ("assistant", "a")]), ("train", [("user", "a")]), ("val", [("user", "a b")])]
+    df = spark.createDataFrame(rows, "split string, messages array<struct<role:string,content:string>>")
+    plain = ChatTemplate(message="{content}\n", generation_cue="")
+    out = {r["split"]: r for r in token_budget(df, 2, counter=tokenizer_counter(path, plain)).collect()}
+    assert (out["train"]["records"], out["train"]["over_budget"], out["train"]["max_tokens"]) == (2, 1, 4)
+    assert (out["val"]["over_budget"], out["val"]["max_tokens"]) == (0, 2)
