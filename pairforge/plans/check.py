@@ -9,7 +9,6 @@ word statistics of user and assistant messages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairforge.operators.validate import validate_records, validation_summary
 from pairforge.sources.jsonl import load_jsonl

@@ -33,7 +33,6 @@ from pairforge.operators.validate import (
     problem_head,
     problem_text,
     token_budget,
-    typed_record,
     validate_records,
     validation_summary,
 )
