@@ -9,6 +9,11 @@ rewriter over the same batch in one pass, base first.
 The core ships two deterministic rule rewriters for tests and for pipelines
 without a model; a model-backed factory plugs in the same way. The blank-input
 guard runs JVM-side before any Python: blank rows never reach a rewriter.
+
+A model that samples is not reproducible: a task re-run after an executor loss,
+or a second action on the same frame, gets different text. Write the comparison
+once (a table in the shared folder) and evaluate that table, rather than
+evaluating the lazy frame several times.
 """
 
 from __future__ import annotations
