@@ -166,36 +166,31 @@ def problem_head(validated: DataFrame, order_cols: Sequence[str], n: int = 5) ->
     """First ``n`` invalid records in record order with their 0-based index
     among *all* records, and how many invalid records follow (``more``).
 
-    The n-th invalid key comes from a bounded selection; the indexes of the at
-    most ``n`` head records are ``n`` conditional counts in one aggregation
-    pass. No global row numbering.
+    Only ``(order key, problems)`` is persisted, so the validation runs once.
+    The n-th invalid key comes from a bounded selection, and the indexes of the
+    at most ``n`` head records are ``n`` conditional counts in one aggregation
+    pass; there is no global row numbering. The result has at most ``n`` rows and
+    is returned as a literal frame, so the cache is released before returning.
     """
+    from pairforge.session import literal_frame
+
     cols = list(order_cols)
-    bad = invalid_records(validated)
-    keys = bad.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    dtypes = _dtypes(validated, cols)
+    v = validated.select(*cols, "problems").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        t = kth_key(keys, cols, n) if n > 0 else None
+        bad = v.filter(F.size("problems") > 0)
+        t = kth_key(bad, cols, n) if n > 0 else None
+        head = bad if t is None else bad.filter(lex_cmp(cols, t, dtypes, "<="))
+        head_rows = [tuple(r) for r in head.select(*cols, problem_text(F.col("problems"))).collect()] if n > 0 else []
+        aggs = [F.count_if(F.size("problems") > 0).alias("bad")]
+        aggs += [F.count_if(lex_cmp(cols, r[: len(cols)], dtypes, "<")).alias(f"i{j}") for j, r in enumerate(head_rows)]
+        stats = v.agg(*aggs).first()
     finally:
-        keys.unpersist()
-    head = bad if t is None else bad.filter(lex_cmp(cols, t, _dtypes(bad, cols), "<="))
-    head_keys = [tuple(r) for r in head.select(*cols).collect()]  # at most n
-    dtypes = _dtypes(validated, cols)
-    aggs = [F.count_if(F.size("problems") > 0).alias("bad")]
-    aggs += [F.count_if(lex_cmp(cols, k, dtypes, "<")).alias(f"i{j}") for j, k in enumerate(head_keys)]
-    stats = validated.agg(*aggs).first()
-    more = max(int(stats["bad"]) - len(head_keys), 0)
-    idx: Column = F.lit(None).cast("bigint")
-    for j, k in enumerate(head_keys):
-        eq = F.lit(True)
-        for c, v, dt in zip(cols, k, dtypes):
-            eq = eq & (F.col(c) == F.lit(v).cast(dt))
-        idx = F.when(eq, F.lit(int(stats[f"i{j}"]))).otherwise(idx)
-    return head.select(
-        *cols,
-        idx.cast("bigint").alias("idx"),
-        problem_text(F.col("problems")).alias("problems"),
-        F.lit(more).cast("bigint").alias("more"),
-    )
+        v.unpersist()
+    more = max(int(stats["bad"]) - len(head_rows), 0)
+    rows = [(*r[: len(cols)], int(stats[f"i{j}"]), r[len(cols)], more) for j, r in enumerate(head_rows)]
+    ddl = ", ".join([f"`{c}` {dt.simpleString()}" for c, dt in zip(cols, dtypes)] + ["idx bigint", "problems string", "more bigint"])
+    return literal_frame(validated.sparkSession, rows, ddl)
 
 
 def message_words(records: DataFrame, record_col: str = "record", group_cols: Sequence[str] = ()) -> DataFrame:
