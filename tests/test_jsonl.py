@@ -65,3 +65,57 @@ def test_line_numbers_across_splits(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == bad
+
+
+def test_strictness_matches_python_on_fuzzed_lines(spark):
+    import json
+    import random
+
+    from pairforge.functions.text import py_strip
+    from pairforge.sources.jsonl import strict_json
+
+    rnd = random.Random(5)
+
+    def val(d=0):
+        k = rnd.randint(0, 7 if d < 3 else 5)
+        if k == 0:
+            return None
+        if k == 1:
+            return rnd.random() < 0.5
+        if k == 2:
+            return rnd.randint(-10**6, 10**6)
+        if k == 3:
+            return rnd.uniform(-1e5, 1e5)
+        if k in (4, 5):
+            return 'sé"\\x'
+        if k == 6:
+            return [val(d + 1) for _ in range(rnd.randint(0, 3))]
+        return {f"k{i}": val(d + 1) for i in range(rnd.randint(0, 3))}
+
+    alphabet = list("{}[]\":,0123456789.-+eEtrufalsn \t\\/'xé") + ["\u0001"]
+    lines = []
+    for _ in range(1500):
+        s = json.dumps(val(), ensure_ascii=rnd.random() < 0.5)
+        for _ in range(rnd.choice([0, 0, 1, 1, 2, 3])):
+            op, i = rnd.random(), rnd.randint(0, len(s))
+            if op < 0.4:
+                s = s[:i] + rnd.choice(alphabet) + s[i:]
+            elif op < 0.7:
+                s = s[:i] + s[i + 1:]
+            else:
+                s = s[:i] + rnd.choice(alphabet) + s[i + 1:]
+        lines.append(s)
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, v string")
+    valid, _ = strict_json(py_strip("v"))
+    got = {r["i"]: r["ok"] for r in df.select("i", valid.alias("ok")).collect()}
+
+    def py_valid(s):
+        try:
+            json.loads(s)
+            return True
+        except ValueError:
+            return False
+
+    mismatches = [s for i, s in enumerate(lines) if s.strip() and got[i] != py_valid(s.strip())]
+    assert mismatches == []
+    assert 0 < sum(got.values()) < len(lines)
