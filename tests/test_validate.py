@@ -126,3 +126,61 @@ def test_token_budget_with_a_tokenizer_file(spark, tmp_dir):
     out = {r["split"]: r for r in token_budget(df, 2, counter=tokenizer_counter(path, plain)).collect()}
     assert (out["train"]["records"], out["train"]["over_budget"], out["train"]["max_tokens"]) == (2, 1, 4)
     assert (out["val"]["over_budget"], out["val"]["max_tokens"]) == (0, 2)
+
+
+def test_validator_matches_rules_on_random_records(spark):
+    import json
+    import random
+
+    rnd = random.Random(9)
+    absent = object()
+    roles = ["system", "user", "assistant", "tool", absent, None, 7, True, "it's"]
+    contents = ["some text", " \n", "", absent, None, 5, ["x"]]
+
+    def message():
+        if rnd.random() < 0.05:
+            return "not an object"
+        m = {}
+        r, c = rnd.choice(roles), rnd.choice(contents)
+        if r is not absent:
+            m["role"] = r
+        if c is not absent:
+            m["content"] = c
+        return m
+
+    def record():
+        x = rnd.random()
+        if x < 0.05:
+            return [1]
+        if x < 0.1:
+            return {"other": 1}
+        if x < 0.15:
+            return {"messages": rnd.choice([None, 5, "abc", {"a": 1}])}
+        if x < 0.5:
+            return {"messages": [{"role": r, "content": "c"} for r in ("system", "user", "assistant")]}
+        return {"messages": [message() for _ in range(rnd.randint(0, 4))]}
+
+    def expected(rec):
+        # the rules as stated in operators/validate.py
+        if not isinstance(rec, dict) or "messages" not in rec:
+            return ["missing 'messages' key"]
+        msgs = rec["messages"]
+        if not isinstance(msgs, list):
+            return ["'messages' is not a list"]
+        get = lambda m, k: m.get(k) if isinstance(m, dict) else None
+        found = [get(m, "role") for m in msgs]
+        out = [] if found == ["system", "user", "assistant"] else [f"unexpected role order: {found}"]
+        for m in msgs:
+            c = m.get("content", "") if isinstance(m, dict) else ""
+            role = get(m, "role")
+            if c is None or (isinstance(c, str) and not c.strip()):
+                out.append(f"empty content for role '{role}'")
+            elif not isinstance(c, str):
+                out.append(f"non-string content for role '{role}'")
+        return out
+
+    recs = [record() for _ in range(600)]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(recs)], "i int, value string")
+    got = {r["i"]: list(r["problems"]) for r in validate_records(parse_lines(df)).collect()}
+    bad = [(recs[i], got[i], expected(recs[i])) for i in range(len(recs)) if got[i] != expected(recs[i])]
+    assert bad == []
