@@ -184,3 +184,29 @@ def test_validator_matches_rules_on_random_records(spark):
     got = {r["i"]: list(r["problems"]) for r in validate_records(parse_lines(df)).collect()}
     bad = [(recs[i], got[i], expected(recs[i])) for i in range(len(recs)) if got[i] != expected(recs[i])]
     assert bad == []
+
+
+def test_length_stats_match_python_on_random_records(spark):
+    import json
+    import random
+
+    rnd = random.Random(21)
+    words = ["a", "bb", "ccc", "　", " ", "\n", "é"]
+    recs = []
+    for _ in range(400):
+        msgs = []
+        for _ in range(rnd.randint(0, 4)):
+            m = {"role": rnd.choice(["system", "user", "assistant", "tool"])}
+            if rnd.random() < 0.9:
+                m["content"] = "".join(rnd.choice(words) for _ in range(rnd.randint(0, 30)))
+            msgs.append(m)
+        recs.append({"messages": msgs} if rnd.random() < 0.95 else {})
+    df = spark.createDataFrame([(json.dumps(r, ensure_ascii=False),) for r in recs], "value string")
+    got = {r["role"]: tuple(r)[1:] for r in length_stats(parse_lines(df)).collect()}
+    for role in ("user", "assistant"):
+        vals = sorted(
+            len(m.get("content", "").split()) for r in recs for m in r.get("messages", []) if m["role"] == role
+        )
+        n = len(vals)
+        want = (n, vals[0], vals[n // 2], vals[-1], sum(vals) // n) if n else (0, None, None, None, None)
+        assert got[role] == want, role
