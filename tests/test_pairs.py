@@ -126,3 +126,50 @@ def test_non_scalar_text_column_is_an_error(spark):
     nums = spark.createDataFrame([(1, 12345, L51)], "id long, input long, output string")
     src = PairSource(name="s", frame=nums, order=(None, None, "id"), key_cols=("id",))
     assert prepare_pairs(src).count() == 0  # '12345' is too short, but not an error
+
+
+def test_union_matches_brute_force_loop(spark, tmp_dir):
+    import os
+    import random
+
+    rnd = random.Random(13)
+    pieces = ["word", " ", "　", "x" * 20, "y" * 30, "é", "\n"]
+
+    def text():
+        r = rnd.random()
+        if r < 0.1:
+            return None
+        return "".join(rnd.choice(pieces) for _ in range(rnd.randint(2, 10)))
+
+    specs = {"a": (3, rnd.randint(2, 6), None), "b": (2, rnd.randint(2, 6), 60)}
+    sources, expected = [], []
+    for name, (n_files, cap, trunc) in specs.items():
+        paths = []
+        for j in range(n_files):
+            rows = [(text(), text()) for _ in range(rnd.randint(5, 30))]
+            p = f"{tmp_dir}/{name}{j}"
+            spark.createDataFrame(rows, "input string, output string").coalesce(1).write.parquet(p)
+            paths.append(p)
+            # Spark stores one file per directory here; read back in its row order
+            f = next(x for x in sorted(os.listdir(p)) if x.endswith(".parquet"))
+            stored = [tuple(r) for r in spark.read.parquet(os.path.join(p, f)).collect()]
+            for src_text, tgt in stored:
+                s = "" if src_text is None else src_text.strip()
+                t = "" if tgt is None else tgt.strip()
+                if trunc:
+                    s = s[:trunc]
+                if s and t and len(s) > 50 and len(t) > 50:
+                    expected.append((name, s, t))
+        sources.append((name, paths, cap, trunc))
+    # the reference's loop: per source, first `cap` accepted pairs in file/row order
+    want = []
+    for name, _, cap, _ in sources:
+        want += [e for e in expected if e[0] == name][:cap]
+    srcs = [parquet_source(spark, name, paths, cap=cap, truncate_input=trunc) for name, paths, cap, trunc in sources]
+    got = [
+        (r["source"], r["abstract"], r["plain_summary"])
+        for r in union_sources(srcs).orderBy("source_ord", "o_part", "o_file", "o_row").collect()
+    ]
+    assert got == want
+    # non-trivial: pairs pass the filter, and at least one cap cuts
+    assert want and len(want) < len(expected)
