@@ -266,36 +266,84 @@ def stats_text(n: Column, mn: Column, md: Column, mx: Column, mean: Column) -> C
     )
 
 
+def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataFrame:
+    """One row per message (one row for a record without messages):
+    ``file, first, bad, role, wc`` where ``first`` marks one row per record and
+    ``wc`` is set only for the stats roles."""
+    bad = F.size("problems") > 0
+    if _is_typed(validated, record_col):
+        m = validated.select(file_col, bad.alias("bad"), F.posexplode_outer(F.col(record_col)).alias("pos", "m"))
+        role = F.col("m")["role"]
+        wc = F.coalesce(word_count(F.col("m")["content"]), F.lit(0))
+    else:
+        m = validated.select(
+            file_col, bad.alias("bad"), F.posexplode_outer(messages_of(F.col(record_col))).alias("pos", "m")
+        )
+        role = _as_string(_field(F.col("m"), "role"))
+        c = _field(F.col("m"), "content")
+        wc = F.when(_is_none(c), F.lit(0)).when(_is_string(c), word_count(_as_string(c)))
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    return m.select(
+        file_col,
+        first.alias("first"),
+        "bad",
+        role.alias("role"),
+        F.when(role.isin(STAT_ROLES), wc).cast("bigint").alias("wc"),
+    )
+
+
 def validation_summary(validated: DataFrame, file_col: str = "file", record_col: str = "record") -> DataFrame:
     """One row per file: records, invalid records, status, and the word-count
-    line per stats role ('no data' when empty)."""
-    counts = validated.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(F.size("problems") > 0).alias("invalid")
+    line per stats role ('no data' when empty).
+
+    One pass: the messages of every record feed a single aggregation with the
+    grouping sets ``(file)`` (record counts, from one row per record) and
+    ``(file, role)`` (word statistics); a small second aggregation puts each
+    file's levels side by side.
+    """
+    rows = _message_rows(validated, file_col, record_col)
+    levels = rows.groupingSets([[file_col], [file_col, "role"]], file_col, "role").agg(
+        F.grouping_id().alias("level"),
+        F.count_if(F.col("first")).alias("records"),
+        F.count_if(F.col("first") & F.col("bad")).alias("invalid"),
+        *_stats_aggs_nullable(),
     )
-    stats = length_stats(validated, record_col, [file_col], groups=counts.select(file_col))
-    per_role = stats.groupBy(file_col).agg(
+    per_file = levels.groupBy(file_col).agg(
+        F.max(F.when(F.col("level") == 1, F.col("records"))).alias("records"),
+        F.max(F.when(F.col("level") == 1, F.col("invalid"))).alias("invalid"),
         *[
             F.max(
                 F.when(
-                    F.col("role") == r,
+                    (F.col("level") == 0) & (F.col("role") == r),
                     stats_text(F.col("n"), F.col("min_words"), F.col("median_words"), F.col("max_words"), F.col("mean_words")),
                 )
             ).alias(f"{r}_words")
             for r in STAT_ROLES
-        ]
+        ],
     )
     status = F.when(
         F.col("invalid") > 0, F.format_string("PROBLEMS found in %d records", F.col("invalid"))
     ).otherwise(F.lit("all records valid"))
-    return counts.join(per_role, file_col, "left").select(
+    return per_file.select(
         file_col,
         F.col("records").cast("bigint"),
         F.col("invalid").cast("bigint"),
         status.alias("status"),
-        *[f"{r}_words" for r in STAT_ROLES],
+        *[F.coalesce(F.col(f"{r}_words"), F.lit("no data")).alias(f"{r}_words") for r in STAT_ROLES],
     )
 
 
+def _stats_aggs_nullable() -> list[Column]:
+    """Word statistics over ``wc`` ignoring NULLs (rows outside the stats roles)."""
+    return [
+        F.count("wc").alias("n"),
+        F.min("wc").alias("min_words"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY wc DESC)").cast("bigint").alias("median_words"),
+        F.max("wc").alias("max_words"),
+        F.expr("sum(wc) div count(wc)").cast("bigint").alias("mean_words"),
+    ]
+
+
 def default_token_count(messages: Column) -> Column:
     """Words of the rendered conversation (the template's markers included)."""
     return word_count(render_prompt(messages, add_generation_prompt=False))
