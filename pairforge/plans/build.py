@@ -23,7 +23,7 @@ from pairforge.operators.chat import SYSTEM_PROMPT, format_chat
 from pairforge.operators.pairs import PairSource, source_counts, union_sources
 from pairforge.operators.sampling import train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
-from pairforge.session import literal_frame, scratch_path
+from pairforge.session import drop_scratch, literal_frame, scratch_path
 from pairforge.sources.splits import write_splits
 
 # Defaults of the reference build: first source capped at 4,500 pairs; second
@@ -76,6 +76,16 @@ def materialize(df: DataFrame, name: str = "pairs") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_path(df: DataFrame) -> str | None:
+    """The scratch table a materialized frame reads, if any."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    first = files[0]
+    cut = first.rfind("/")
+    return first[:cut] if cut > 0 else None
+
+
 @dataclass
 class BuildResult:
     pairs: DataFrame  # union of prepared, capped pairs (written table when checkpointed)
@@ -121,9 +131,22 @@ def run_build(
     """Build and write ``out_dir/split=train|val`` JSON lines; returns the split
     counts. Empty input writes nothing and reports 'no data'."""
     res = build_records(sources, val_ratio, seed)
-    counts = split_counts(res.records)
-    total = counts.agg(F.sum("records")).first()[0] or 0
-    if total == 0:
-        return counts.withColumn("status", F.lit("no data"))
-    write_splits(res.records, out_dir)
-    return counts.withColumn("status", F.lit("written"))
+    try:
+        rows = split_counts(res.records).collect()  # two rows
+        total = sum(r["records"] for r in rows)
+        if total > 0:
+            write_splits(res.records, out_dir)
+    finally:
+        # the intermediate union table is not needed once the splits are written
+        tmp = table_path(res.pairs)
+        if tmp is not None and "/pairforge/pairs-" in tmp:
+            drop_scratch(spark, _scratch_form(spark, tmp))
+    status = "written" if total > 0 else "no data"
+    return literal_frame(spark, [(r["split"], r["records"], status) for r in rows], "split string, records bigint, status string")
+
+
+def _scratch_form(spark: SparkSession, path: str) -> str:
+    """Map a file URI from ``inputFiles`` back to the checkpoint-root form."""
+    root = scratch_path(spark, "x").rsplit("/pairforge/", 1)[0]
+    tail = path.split("/pairforge/", 1)[1]
+    return f"{root}/pairforge/{tail}"

@@ -91,6 +91,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/pairforge/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a table this library wrote with ``scratch_path``; refuses any other
+    path. Returns whether something was deleted."""
+    root = checkpoint_root(spark).rstrip("/") + "/pairforge/"
+    if not path.startswith(root):
+        raise ValueError(f"not a pairforge scratch path: {path}")
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark._jvm

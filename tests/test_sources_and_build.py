@@ -25,8 +25,16 @@ def test_json_array_source(spark, tmp_dir):
 
 
 def test_build_writes_valid_splits(spark, tmp_dir):
+    import glob
+
+    from pairforge.session import checkpoint_root
+
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(root + "/pairforge/pairs-*"))
     out = f"{tmp_dir}/splits"
     counts = {r["split"]: (r["records"], r["status"]) for r in B.run_build(spark, B.default_sources(spark, SF_SMALL), out).collect()}
+    # the intermediate union table is removed once the splits are written
+    assert set(glob.glob(root + "/pairforge/pairs-*")) - before == set()
     back = read_splits(spark, out)
     got = {r["split"]: r["count"] for r in back.groupBy("split").count().collect()}
     assert got == {k: v[0] for k, v in counts.items() if v[0]}
