@@ -271,13 +271,17 @@ def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataF
     ``file, first, bad, role, wc`` where ``first`` marks one row per record and
     ``wc`` is set only for the stats roles."""
     bad = F.size("problems") > 0
+    # lines that are not JSON (a ``valid`` column from ``parse_lines``) are
+    # counted apart and never as records
+    ok = F.col("valid") if "valid" in validated.columns else F.lit(True)
+    validated = validated.select(file_col, record_col, "problems", ok.alias("ok"))
     if _is_typed(validated, record_col):
-        m = validated.select(file_col, bad.alias("bad"), F.posexplode_outer(F.col(record_col)).alias("pos", "m"))
+        m = validated.select(file_col, "ok", bad.alias("bad"), F.posexplode_outer(F.col(record_col)).alias("pos", "m"))
         role = F.col("m")["role"]
         wc = F.coalesce(word_count(F.col("m")["content"]), F.lit(0))
     else:
         m = validated.select(
-            file_col, bad.alias("bad"), F.posexplode_outer(messages_of(F.col(record_col))).alias("pos", "m")
+            file_col, "ok", bad.alias("bad"), F.posexplode_outer(messages_of(F.col(record_col))).alias("pos", "m")
         )
         role = _as_string(_field(F.col("m"), "role"))
         c = _field(F.col("m"), "content")
@@ -286,13 +290,16 @@ def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataF
     return m.select(
         file_col,
         first.alias("first"),
+        "ok",
         "bad",
         role.alias("role"),
         F.when(role.isin(STAT_ROLES), wc).cast("bigint").alias("wc"),
     )
 
 
-def validation_summary(validated: DataFrame, file_col: str = "file", record_col: str = "record") -> DataFrame:
+def validation_summary(
+    validated: DataFrame, file_col: str = "file", record_col: str = "record", with_bad_json: bool = False
+) -> DataFrame:
     """One row per file: records, invalid records, status, and the word-count
     line per stats role ('no data' when empty).
 
@@ -304,13 +311,15 @@ def validation_summary(validated: DataFrame, file_col: str = "file", record_col:
     rows = _message_rows(validated, file_col, record_col)
     levels = rows.groupingSets([[file_col], [file_col, "role"]], file_col, "role").agg(
         F.grouping_id().alias("level"),
-        F.count_if(F.col("first")).alias("records"),
-        F.count_if(F.col("first") & F.col("bad")).alias("invalid"),
+        F.count_if(F.col("first") & F.col("ok")).alias("records"),
+        F.count_if(F.col("first") & F.col("ok") & F.col("bad")).alias("invalid"),
+        F.count_if(F.col("first") & ~F.col("ok")).alias("bad_json"),
         *_stats_aggs_nullable(),
     )
     per_file = levels.groupBy(file_col).agg(
         F.max(F.when(F.col("level") == 1, F.col("records"))).alias("records"),
         F.max(F.when(F.col("level") == 1, F.col("invalid"))).alias("invalid"),
+        F.max(F.when(F.col("level") == 1, F.col("bad_json"))).alias("bad_json"),
         *[
             F.max(
                 F.when(
@@ -330,6 +339,7 @@ def validation_summary(validated: DataFrame, file_col: str = "file", record_col:
         F.col("invalid").cast("bigint"),
         status.alias("status"),
         *[F.coalesce(F.col(f"{r}_words"), F.lit("no data")).alias(f"{r}_words") for r in STAT_ROLES],
+        *([F.col("bad_json").cast("bigint")] if with_bad_json else []),
     )
 
 

@@ -21,5 +21,14 @@ def check_split_files(spark: SparkSession, out_dir: str) -> DataFrame:
         return literal_frame(
             spark, [], "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string"
         )
-    records = load_jsonl(spark, out_dir, mode="failfast").withColumnRenamed("split", "file")
-    return validation_summary(validate_records(records), "file")
+    # one pass: the summary also counts lines that are not JSON; only when there
+    # are any is the first one located (with its line number) and raised
+    parsed = load_jsonl(spark, out_dir, mode="collect").withColumnRenamed("split", "file")
+    rows = validation_summary(validate_records(parsed), "file", with_bad_json=True).collect()
+    if any(r["bad_json"] for r in rows):
+        load_jsonl(spark, out_dir, mode="failfast")  # raises JsonLinesError naming file and line
+    return literal_frame(
+        spark,
+        [tuple(r)[:-1] for r in rows],
+        "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string",
+    )

@@ -70,3 +70,18 @@ def test_subsample_files_exact_and_stable(spark, tmp_dir, capsys):
     assert got == {r["value"] for r in first}
     main(["subsample", out, "--out", f"{tmp_dir}/sub2", "--size", "train=7"], spark=spark)
     assert "train: 7 records" in capsys.readouterr().out
+
+
+def test_check_raises_on_a_line_that_is_not_json(spark, tmp_dir, capsys):
+    import pytest
+
+    from pairforge.sources.jsonl import JsonLinesError
+
+    src = f"{tmp_dir}/src.parquet"
+    spark.createDataFrame([(f"{L51} {i}", f"{L51} p {i}") for i in range(12)], "abstract string, target string").write.parquet(src)
+    out = f"{tmp_dir}/splits"
+    main(["build", "--source", f"one={src}", "--out", out], spark=spark)
+    with open(os.path.join(out, "split=val", "a-extra.json"), "w", encoding="utf-8") as f:
+        f.write('{"messages": []}\n\n{broken\n')
+    with pytest.raises(JsonLinesError, match=r"line 3 of .*a-extra\.json"):
+        main(["check", out], spark=spark)
