@@ -58,7 +58,8 @@ def cmd_check(spark: SparkSession, args) -> None:
     if not summary:
         print(f"MISSING: {args.dir}")
         return
-    records = validate_records(load_jsonl(spark, args.dir))
+    # every line is JSON here (check_split_files raised otherwise)
+    records = validate_records(load_jsonl(spark, args.dir, mode="collect").filter("valid"))
     for s in sorted(summary, key=lambda r: r["file"]):
         print(f"\n{args.dir} split={s['file']}")
         print(f"  Records: {s['records']}")
