@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pairforge.functions import text as T
 from pairforge.operators.chat import CHATML, format_chat, prompt_messages, render_prompt, to_jsonl
 from pairforge.operators.pairs import (
-    cap_pairs,
     clean_pair_columns,
     prepare_pairs,
     source_counts,
@@ -123,10 +122,10 @@ def q_scan_ordered(spark, sf):
 # ---- order-dependent ----------------------------------------------------
 
 def q_cap_pairs(spark, sf):
-    parts = []
-    for i, src in enumerate((B.conv_source(spark, sf), B.doc_source(spark, sf))):
-        parts.append(cap_pairs(prepare_pairs(src, i), CAP_TEST[src.name]))
-    return parts[0].unionByName(parts[1]).select("source", "pair_key", "o_part", "o_row")
+    """Both sources capped below their size (100 and 200 pairs): counted in one
+    job, thresholds selected from the persisted keys."""
+    srcs = [B.conv_source(spark, sf, cap=CAP_TEST["conv"]), B.doc_source(spark, sf, cap=CAP_TEST["doc"])]
+    return union_sources(srcs).select("source", "pair_key", "o_part", "o_row")
 
 
 def _union(spark, sf, checkpoint: bool = False):
