@@ -284,3 +284,6 @@ lines AS (
     {{'role': 'assistant', 'content': plain_summary}}]}}) AS VARCHAR) AS value FROM split)
 SELECT split, value FROM lines
 QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42|' || value)) <= CASE split WHEN 'train' THEN 300 ELSE 50 END"""
+
+SQL["stream_validate"] = f"""WITH {SPLIT}
+SELECT split, CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS invalid FROM split GROUP BY split"""

@@ -39,6 +39,7 @@ from pairforge.plans.check import check_split_files
 from pairforge.plans.subsample import subsample_files
 from pairforge.plans.views import chat_records, pairs_doc, table
 from pairforge.sources.jsonl import parse_lines
+from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
 from pairforge.sources.splits import read_splits, write_splits
@@ -265,6 +266,17 @@ def q_subsample_files(spark, sf):
     return spark.read.text(small).select("split", "value")
 
 
+def q_stream_validate(spark, sf):
+    """Build and write the split JSON lines, then check them with the streaming
+    validator (every file once) and count records and invalid records per split."""
+    res = B.build_records(B.default_sources(spark, sf))
+    out = scratch_path(spark, "splits")
+    write_splits(res.records, out)
+    return validate_files_once(spark, out, scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")).select(
+        "split", F.col("records").cast("bigint"), F.col("invalid").cast("bigint")
+    )
+
+
 def q_token_budget(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
     return token_budget(res.records, 1536)
@@ -329,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "validation_summary": q_validation_summary,
     "validate_files": q_validate_files,
     "subsample_files": q_subsample_files,
+    "stream_validate": q_stream_validate,
     "token_budget": q_token_budget,
     "guard_input": q_guard_input,
     "batch_rewrite": q_batch_rewrite,
