@@ -36,3 +36,15 @@ def test_subsample_exact(spark):
     assert dict((r[0], r[1]) for r in out) == {"train": 300, "val": 50}
     small = subsample_k(split, {"train": 5000, "val": 0}).groupBy("split").count().collect()
     assert dict((r[0], r[1]) for r in small) == {"train": 900}
+
+
+def test_split_exact_for_random_sizes_and_ratios(spark):
+    import random
+
+    rnd = random.Random(3)
+    cases = [(0, 0.1), (1, 0.5)] + [(rnd.randint(2, 700), rnd.choice([0.05, 0.1, 0.29, 0.33, 0.5, 0.99])) for _ in range(4)]
+    for n, ratio in cases:
+        got = train_val_split(keyed(spark, n, rnd.randint(1, 9)), ratio).groupBy("split").count().collect()
+        counts = {r[0]: r[1] for r in got}
+        assert counts.get("val", 0) == int(n * ratio), (n, ratio)
+        assert counts.get("train", 0) == n - int(n * ratio), (n, ratio)
