@@ -1,8 +1,7 @@
 import pytest
-from pyspark.sql import functions as F
 
 from pairforge.operators.pairs import PairSource, cap_pairs, parquet_source, prepare_pairs, union_sources, source_counts
-from pairforge.sources.parquet import ColumnPickError, pick_columns, scan_ordered
+from pairforge.sources.parquet import ColumnPickError, pick_columns
 
 L50, L51 = "a" * 50, "b" * 51
 
