@@ -121,10 +121,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     r.add_argument("--tuned", default="pairforge.operators.rewrite:sentence_lines_factory")
     args = p.parse_args(argv)
 
-    from pairforge.session import apply_required_conf
+    from pairforge.session import apply_required_conf, ship_by_value
 
     spark = spark or SparkSession.builder.getOrCreate()
     apply_required_conf(spark)
+    ship_by_value()
     {"build": cmd_build, "check": cmd_check, "subsample": cmd_subsample, "rewrite": cmd_rewrite}[args.cmd](spark, args)
     return 0
 

@@ -37,6 +37,16 @@ CLUSTER_CONF = {
 }
 
 
+def ship_by_value() -> None:
+    """Pickle this package's functions by value when Spark sends them to Python
+    workers (``mapInPandas`` rewriters, pandas UDFs), so executors need no
+    installed copy of the package; the alternative is ``--py-files``."""
+    import pairforge
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(pairforge)
+
+
 def apply_required_conf(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
