@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pairforge.operators.select import kth_hex_key, le_key
 
 HASH_COL = "shuffle_hash"
+MD5_WIDTH = 32  # hex characters of an md5 digest
 
 
 def seeded_hash(key: Column, seed: int = 42) -> Column:
@@ -46,7 +47,7 @@ def train_val_split(df: DataFrame, val_ratio: float = 0.1, seed: int = 42, key_c
     try:
         n = keys.count()
         k = val_size(n, val_ratio)
-        t = kth_hex_key(keys, HASH_COL, [key_col], k, total=n) if k > 0 else None
+        t = kth_hex_key(keys, HASH_COL, [key_col], k, total=n, width=MD5_WIDTH) if k > 0 else None
     finally:
         keys.unpersist()
     if k <= 0:
@@ -81,7 +82,7 @@ def subsample_k(
             continue
         part = h.filter(in_g).select(HASH_COL, tie).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            t = kth_hex_key(part, HASH_COL, [tie], n)
+            t = kth_hex_key(part, HASH_COL, [tie], n, width=MD5_WIDTH)
         finally:
             part.unpersist()
         c = in_g if t is None else in_g & le_key([HASH_COL, tie], t, h)

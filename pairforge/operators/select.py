@@ -157,9 +157,11 @@ def kth_hex_key(
     *,
     total: int | None = None,
     window_rows: int = WINDOW_ROWS,
+    width: int | None = None,
 ) -> tuple | None:
     """Like ``kth_key`` for the order ``(hex_col, *tie_cols)`` where ``hex_col``
-    is a uniform lowercase hex digest, using prefix histograms."""
+    is a uniform lowercase hex digest (``width`` characters; looked up when not
+    given), using prefix histograms."""
     if k <= 0:
         raise ValueError("k must be positive")
     cols = [hex_col, *tie_cols]
@@ -168,7 +170,6 @@ def kth_hex_key(
     if k >= n:
         return None
     prefix, c, r = "", n, k
-    width = None
     while True:
         cand = keys if not prefix else keys.filter(F.startswith(F.col(hex_col), F.lit(prefix)))
         if c <= window_rows:
