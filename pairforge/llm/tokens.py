@@ -1,9 +1,9 @@
 """Token-ID files: frequency-ranked ids in byte-aligned variable-length code.
 
 Every text is encoded once with a public tokenizer; the ids go to a scratch
-table. One pass counts them, ids are replaced by their rank in descending
-frequency (so that most take one byte), and the ranked documents are range
-partitioned and sorted by ``doc_id``. Each partition becomes one file.
+table. One pass counts them; then the documents are range partitioned and sorted
+by ``doc_id``, ids are replaced by their rank in descending frequency (so that
+most take one byte), and each partition becomes one file.
 
 File format (little endian): records of ``doc_id`` (int64), flags (uint32, bit 0:
 the doc_id is null), number of values (uint32), number of data bytes (uint32),
@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +37,7 @@ from pairforge.session import scratch_path
 
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
-MAX_CACHED = 400_000
+MAX_CACHED = 900_000
 JOINED = 32
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -137,21 +138,22 @@ class Encoder:
         if len(self.index) > MAX_CACHED:
             self._clear()
         out: list[np.ndarray | None] = [None] * len(texts)
-        at: list[int] = []
+        at: list[np.ndarray] = [np.zeros(0, np.int32)]
         bounds, where = [0], []
         for i, text in enumerate(texts):
             if not text:
                 out[i] = np.array([END_ID], np.uint32)
             elif "<|" not in text and PLAIN.fullmatch(text):
-                at += map(self.index.__getitem__, PIECES.findall(text.lower()))
-                bounds.append(len(at))
+                found = PIECES.findall(text.lower())
+                at.append(np.fromiter(map(self.index.__getitem__, found), np.int32, len(found)))
+                bounds.append(bounds[-1] + len(found))
                 where.append(i)
             else:
                 ids = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
                 out[i] = np.array([*ids, END_ID], np.uint32)
         if self.index.pending:
             self._learn()
-        pieces = np.array(at, np.int64)
+        pieces = np.concatenate(at)
         length = self.length[pieces]
         ends = np.concatenate([[0], np.cumsum(length)])
         step = np.arange(ends[-1]) + np.repeat(self.offset[pieces] - ends[:-1], length)
@@ -161,9 +163,18 @@ class Encoder:
         return out
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The Python worker's encoder, kept for its later tasks. (Functions shipped
+    by value get new globals with each task, so ``sys`` holds it.)"""
+    kept = sys.__dict__.setdefault("_pairforge_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path)
+        enc = worker_encoder(path)
         for b in batches:
             ids = enc.encode(column(b, "text").to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -214,31 +225,19 @@ def id_ranks(ids: DataFrame) -> np.ndarray:
 # ---- files ---------------------------------------------------------------
 
 
-def _recode(by_rank: np.ndarray):
+def _write(root: str, by_rank: np.ndarray):
     rank = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = column(b, "n_tokens").to_pylist()
-            coded = [vbyte_encode(rank[_raw(x, k)]) for x, k in zip(column(b, "ids").to_pylist(), n)]
-            yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id"), column(b, "tie"), column(b, "n_tokens"), pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                ["doc_id", "tie", "n_tokens", "control", "data"],
-            )
-
-    return run
-
-
-def _write(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         name, out, docs, values, crc = f"part-{part:06d}.tok", None, 0, 0, 0
         for b in batches:
-            for doc, n, control, data in zip(*(column(b, c).to_pylist() for c in ("doc_id", "n_tokens", "control", "data"))):
+            for doc, n, ids in zip(*(column(b, c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
                 out = out or CommittedFile(root, name)
+                control, data = vbyte_encode(rank[_raw(ids, n)])
                 rec = struct.pack(HEAD, doc or 0, doc is None, n, len(data)) + control + data
                 out.write(rec)
                 crc = zlib.crc32(rec, crc)
@@ -264,10 +263,9 @@ def write_token_files(docs: DataFrame, root: str, path: str | None = None, token
     spark.createDataFrame(
         [(r, int(i)) for r, i in enumerate(by_rank)], "rank bigint, id bigint"
     ).coalesce(1).write.mode("overwrite").parquet(f"{root}/ranks.parquet")
-    coded = ids.mapInArrow(_recode(by_rank), "doc_id bigint, tie bigint, n_tokens bigint, control binary, data binary")
-    ordered = coded.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    rows = ordered.select("doc_id", "n_tokens", "control", "data").mapInArrow(
-        _write(root), "part bigint, file string, docs bigint, n_values bigint, bytes bigint, crc bigint"
+    ordered = ids.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = ordered.select("doc_id", "n_tokens", "ids").mapInArrow(
+        _write(root, by_rank), "part bigint, file string, docs bigint, n_values bigint, bytes bigint, crc bigint"
     )
     rows.write.mode("overwrite").parquet(f"{root}/manifest")
     drop_temporary(root)
