@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pairforge.session import scratch_path
 
 WS = " \t\n\x0b\x0c\r"  # the white space of the word contracts: \x20 and \x09-\x0D
-NOT_WS = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 512  # rows of an Arrow batch: some MB of text in a Python worker
 BROADCAST_ROWS = 400_000
 BROADCAST_BYTES = 24 << 20

@@ -29,7 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import NOT_WS, pick, saved, small, table
+from pairforge.llm.common import pick, saved, small, table
+from pairforge.llm.quality import split_words
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -40,7 +41,7 @@ _UNIT = "doc_id bigint, tie bigint, skey string, size bigint, base bigint, frac
 
 
 def n_words(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(NOT_WS)), F.lit(0)).cast("bigint")
+    return F.size(split_words(F.coalesce(F.col(text), F.lit("")))).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: float = MAX_COPIES) -> DataFrame:
