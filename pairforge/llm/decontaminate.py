@@ -31,7 +31,7 @@ from pairforge.llm.quality import gram_hashes, hashes, let, split_words
 SPAN = 10
 GRAM = 4
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
+RAW_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 PLACE_BITS = 24
 PLACE = (1 << PLACE_BITS) - 1
 
@@ -134,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFr
     windows = saved(item_windows(items, span), "bench-windows")
     spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # 1 to ``span``
     rows = _keyed(docs)
-    n_words = F.regexp_count("text", F.lit(WORD)).cast("bigint")
+    n_words = F.size(split_words(F.col("text"), RAW_SEPARATOR)).cast("bigint")
     none = F.sha2(F.lit("").cast("binary"), 256)
     if not spans:
         zero = F.lit(0).cast("bigint")
