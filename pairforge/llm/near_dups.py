@@ -193,22 +193,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes with edges (a, b): the label is the smallest
-    node of the component. Large-star and small-star steps until nothing moves;
-    every step is a grouping and a join, written to the shared folder."""
+    node of the component. Large-star and small-star steps until all edges lead
+    from a node straight to its one label; every step is a grouping and a join,
+    written to the shared folder."""
     e = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "near-edges")
-    before = None
     for _ in range(MAX_ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = saved(star.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "near-edges")
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+        labels = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        ends = e.select(F.col("v").alias("u")).distinct()
+        if not labels.filter("n > 1").limit(1).count() and not labels.join(ends, "u", "left_semi").limit(1).count():
+            return e.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(ends.select(F.col("u").alias("node"), F.col("u").alias("label")))
+    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
 class _Links:
@@ -273,7 +273,10 @@ class _Links:
         full = pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set", "a_n", "b_n")
         found = saved(full.mapInArrow(_verify, "a binary, b binary, sim double").filter(F.col("sim") >= self.min), "near-links")
         self.edges = found if self.edges is None else self.edges.unionByName(found)
-        self.label = saved(components(self.edges), "near-labels")
+        links = found.select("a", "b")
+        if self.label is not None:  # go on from the components so far
+            links = links.unionByName(self.label.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        self.label = saved(components(links), "near-labels")
         return n
 
     def run(self) -> None:
