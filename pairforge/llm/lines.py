@@ -2,9 +2,10 @@
 
 A run is a Parquet table sorted by key within its hash partitions: per line key
 the number of documents that hold it and the largest doc_id among them. Each
-new batch of documents is reduced to one run; a merge anti-join against the
-runs so far tells which of its keys are new, and the run joins level 0. When a
-level holds ``FANOUT`` runs they are merged (counts summed, largest doc_id kept)
+new batch of documents is reduced to one run; a merge join against the keys of
+the runs so far marks those that are new (the anti-join's rows: ``fresh``), and
+the run joins level 0. A key is fresh in one run only, so that side of the merge
+has each key once. When a level holds ``FANOUT`` runs they are merged (counts summed, largest doc_id kept)
 into one run of the next level, so a key is rewritten once per level, and there
 are few runs to merge at any time. The list of runs is a small committed file,
 so a later session can go on.
@@ -37,7 +38,7 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 FANOUT = 4
 BATCHES = 4
-RUN_SCHEMA = "key binary, n_docs bigint, max_doc bigint"
+RUN_SCHEMA = "key binary, n_docs bigint, max_doc bigint, fresh boolean"
 
 
 def line_key(line: bytes) -> bytes | None:
@@ -98,32 +99,34 @@ class LineRuns:
     def merged(self, names: list[str] | None = None) -> DataFrame:
         """One row per key over the given runs (all runs)."""
         runs = self._read(self.runs() if names is None else names)
-        return runs.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
-
-    def fresh(self, run: DataFrame) -> DataFrame:
-        """The rows of a batch's run whose key no earlier run holds."""
-        return run.join(self._read(self.runs()).select("key"), "key", "left_anti")
-
-    def add(self, keys: DataFrame) -> None:
-        """Add a batch of (key, doc_id); a document belongs to one batch only."""
+        return runs.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"), F.max("fresh").alias("fresh"))
+
+    def mark(self, run: DataFrame) -> DataFrame:
+        """A batch's run with ``fresh``: no earlier run holds the key."""
+        if not self.runs():
+            return run.withColumn("fresh", F.lit(True))
+        known = self._read(self.runs()).filter("fresh").select("key", F.lit(False).alias("new")).hint("merge")
+        return run.join(known, "key", "left").select(*run.columns, F.coalesce("new", F.lit(True)).alias("fresh"))
+
+    def add(self, keys: DataFrame) -> str:
+        """Add a batch of (key, doc_id); a document belongs to one batch only.
+        Returns the folder of the batch's run (which a merge may supersede)."""
         run = keys.groupBy("key").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("max_doc"))
-        self._write(run, 0)
-        level = 0
+        self._write(self.mark(run), 0)
+        own, level = f"{self.root}/{self.levels[0][-1]}", 0
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
             self._write(self.merged(full), level + 1)
             level += 1
         self._commit()
+        return own
 
 
 def new_lines(runs: LineRuns, docs: DataFrame) -> DataFrame:
-    """Incremental use: (key, doc_id) of the batch's lines that no run holds yet
-    (of each key the largest doc_id), then the batch is added."""
-    keys = saved(line_keys(docs), "line-keys")
-    run = keys.groupBy("key").agg(F.max("doc_id").alias("doc_id"))
-    out = saved(runs.fresh(run).select("key", "doc_id"), "line-new")
-    runs.add(keys)
-    return out
+    """Incremental use: add a batch; (key, doc_id) of its lines that no earlier
+    run holds (of each key the largest doc_id)."""
+    own = runs.add(saved(line_keys(docs), "line-keys"))
+    return runs.spark.read.parquet(own).filter("fresh").select("key", F.col("max_doc").alias("doc_id"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
