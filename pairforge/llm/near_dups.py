@@ -12,9 +12,11 @@ about as many darts as there are coordinates, whatever its length.
 Texts of equal words are one node. Nodes that share a band are candidates. Not
 all pairs of a band are made: each bucket names a pivot, the pairs (member,
 pivot) are checked exactly, and linked nodes become one component. Buckets whose
-members are still in several components get further pivots, and in the end their
-pairs across components are looked at, so that no link is lost between texts
-that share a band.
+members are still in several components get further pivots. In the end all pairs
+across components are compared by signatures of ``FINE`` coordinates, block by
+block and each pair in its first common band only; those that may reach the
+threshold are checked exactly. So no link is lost between texts that share a
+band, but for an estimate that is ``DEVIATIONS`` standard deviations off.
 
 Weights are 1 (plain Jaccard, the similarity meant by ``MIN_SIMILARITY``) or the
 shingles' counts. Texts of fewer than five words are near copies of equal words
@@ -41,8 +43,10 @@ MIN_SIMILARITY = 0.8
 BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares no band once in 14,000 times
 COORDINATES = BANDS * ROWS
 BASE = 0.125  # the first cell of ranks; the next ones double up to 1
-PIVOTS = (1, 2, 4)
-LIKELY = 0.62  # share of equal coordinates below which a pair at 0.8 is 5 deviations off
+PIVOTS = (1, 2)
+FINE = 1024  # coordinates of the longer signatures that thin out the last pairs
+DEVIATIONS = 4.5  # a pair is dropped when its estimate is so far below the threshold
+BLOCK = 1024  # members of a bucket that one step compares with each other
 MAX_ROUNDS = 50
 _GOLD, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -134,20 +138,17 @@ def _sign(counts: bool):
         for b in batches:
             texts = column(b, "text")
             seq = [xxhash.xxh3_128_digest(b" ".join(x.encode().split())) for x in texts.to_pylist()]
-            bands: list[bytes | None] = []
-            low: list[bytes | None] = []
+            bands: list[list[int] | None] = []
             for i, j, text, h, n, words in shingle_sets(texts, tables, powers, counts):
                 sig = dart_signatures(text, h, n, j - i)
                 rows = sig.reshape(j - i, BANDS, ROWS)
                 band = np.full((j - i, BANDS), 1, np.uint64) * np.arange(1, BANDS + 1, dtype=np.uint64)
                 for r in range(ROWS):
                     band = mix64(band * _GOLD + rows[:, :, r])
-                short = (sig & np.uint64(0xFFFF)).astype("<u2")
                 bands += [band[r].astype(np.int64).tolist() if words[r] >= SHINGLE else None for r in range(j - i)]
-                low += [short[r].tobytes() if words[r] >= SHINGLE else None for r in range(j - i)]
             yield pa.RecordBatch.from_arrays(
-                [column(b, "doc"), column(b, "tie"), pa.array(seq, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())],
-                ["doc", "tie", "seq", "bands", "low"],
+                [column(b, "doc"), column(b, "tie"), pa.array(seq, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc", "tie", "seq", "bands"],
             )
 
     return run
@@ -243,12 +244,27 @@ class _Links:
         got = members.join(top, "band").filter("seq <> pivot AND label <> plabel")
         return got.select(F.least("seq", "pivot").alias("a"), F.greatest("seq", "pivot").alias("b"))
 
-    def cross(self, members: DataFrame) -> DataFrame:
-        other = members.select("band", F.col("seq").alias("seq2"), F.col("label").alias("label2"))
-        got = members.join(other, "band").filter("label < label2")
-        return got.select(F.least("seq", "seq2").alias("a"), F.greatest("seq", "seq2").alias("b"))
+    def texts(self, seqs: DataFrame) -> DataFrame:
+        """(seq, text) of the given nodes, one row or more each."""
+        keys = saved(self.nodes.select("seq", "doc", "tie").join(seqs, "seq", "left_semi"), "near-wanted")
+        keys = keys.withColumnsRenamed({"doc": "__doc", "tie": "__tie"})
+        at = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tie") == F.col("__tie"))
+        return self.docs.join(small(keys), at).select("seq", "text")
 
-    def check(self, pairs: DataFrame, prefilter: bool) -> int:
+    def cross(self, members: DataFrame) -> DataFrame:
+        """(a, b): pairs of a bucket across components that may be similar."""
+        fine = self.texts(members.select("seq").distinct()).mapInArrow(_fine(self.counts), "seq binary, fine binary")
+        fine = saved(fine.dropDuplicates(["seq"]), "near-fine").join(self.nodes.select("seq", "bands"), "seq")
+        blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+        m = members.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("seq"), F.col("blocks")).cast("int"))
+        m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        m = m.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "seq")
+        m = m.join(fine, "seq").select("band", "i", "j", "block", "label", "seq", "fine", "bands")
+        n = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        m = m.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+        return m.mapInArrow(_across(self.min), "a binary, b binary")
+
+    def check(self, pairs: DataFrame) -> int:
         """Check the pairs not seen before; returns how many."""
         pairs = pairs.distinct()
         if self.tested is not None:
@@ -258,16 +274,9 @@ class _Links:
         n = pairs.count()
         if not n:
             return 0
-        if prefilter:
-            low = self.nodes.select("seq", "low")
-            p = pairs.join(low.withColumnsRenamed({"seq": "a", "low": "la"}), "a").join(low.withColumnsRenamed({"seq": "b", "low": "lb"}), "b")
-            pairs = saved(p.select("a", "b", "la", "lb").mapInArrow(_agree, "a binary, b binary"), "near-likely")
         wanted = pairs.select(F.col("a").alias("seq")).unionByName(pairs.select(F.col("b").alias("seq"))).distinct()
-        keys = saved(self.nodes.select("seq", "doc", "tie").join(wanted, "seq", "left_semi"), "near-wanted")
-        keys = keys.withColumnsRenamed({"doc": "__doc", "tie": "__tie"})
-        at = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tie") == F.col("__tie"))
-        texts = self.docs.join(small(keys), at).select("seq", "text").filter("text IS NOT NULL")
-        sets = saved(texts.mapInArrow(_set_of(self.counts), "seq binary, shingles binary, counts binary").dropDuplicates(["seq"]), "near-sets")
+        sets = self.texts(wanted).mapInArrow(_set_of(self.counts), "seq binary, shingles binary, counts binary")
+        sets = saved(sets.dropDuplicates(["seq"]), "near-sets")
         a = sets.withColumnsRenamed({"seq": "a", "shingles": "a_set", "counts": "a_n"})
         b = sets.withColumnsRenamed({"seq": "b", "shingles": "b_set", "counts": "b_n"})
         full = pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set", "a_n", "b_n")
@@ -281,18 +290,66 @@ class _Links:
 
     def run(self) -> None:
         for turn, pivots in enumerate(PIVOTS):
-            if not self.check(self.pairs(self.members(), pivots, turn), turn > 0):
+            if not self.check(self.pairs(self.members(), pivots, turn)):
                 return
-        self.check(self.cross(self.members()), True)
+        self.check(self.cross(self.members()))
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(column(b, c).to_pylist()), "<u2").reshape(b.num_rows, -1) for c in ("la", "lb"))
-        keep = pa.array((x == y).mean(axis=1) >= LIKELY)
-        yield pa.RecordBatch.from_arrays([column(b, "a").filter(keep), column(b, "b").filter(keep)], ["a", "b"])
+def _fine(counts: bool):
+    tables = lut(WS.encode())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = powers_pair()
+        for b in batches:
+            out: list[bytes] = []
+            for i, j, text, h, n, _ in shingle_sets(column(b, "text"), tables, powers, counts):
+                sig = dart_signatures(text, h, n, j - i, FINE)
+                out += [x.tobytes() for x in (sig & np.uint64(0xFF)).astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([column(b, "seq"), pa.array(out, pa.binary())], ["seq", "fine"])
+
+    return run
+
+
+def _across(min_similarity: float):
+    """Streams sorted rows and compares the members of each (band, i, j) group."""
+    equal = min_similarity + (1 - min_similarity) / 256  # expected share of equal bytes
+    least = FINE * (equal - DEVIATIONS * math.sqrt(equal * (1 - equal) / FINE))
+
+    def compare(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+        if len(group) < 2 or len({g[4] for g in group}) < 2:
+            return []
+        band, i, j = group[0][:3]
+        _, label = np.unique([g[4] for g in group], return_inverse=True)
+        block = np.array([g[3] for g in group])
+        fine = np.frombuffer(b"".join(g[6] for g in group), np.uint8).reshape(len(group), FINE)
+        bands = np.array([g[7] for g in group])
+        out = []
+        for r in range(len(group) - 1):
+            rest = np.flatnonzero((label[r + 1 :] != label[r]) & ((block[r + 1 :] != block[r]) | (i == j))) + r + 1
+            rest = rest[(fine[rest] == fine[r]).sum(axis=1) >= least]
+            if len(rest):
+                common = bands[rest] == bands[r]
+                rest = rest[bands[rest, common.argmax(axis=1)] == band]
+                out += [(min(group[r][5], group[q][5]), max(group[r][5], group[q][5])) for q in rest]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for b in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if group and group[0][:3] != row[:3]:
+                    found += compare(group)
+                    group = []
+                group.append(row)
+            yield _pair_batch(found)
+        yield _pair_batch(compare(group))
+
+    return run
+
+
+def _pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
 def near_links(docs: DataFrame, counts: bool = False, min_similarity: float = MIN_SIMILARITY) -> tuple[DataFrame, _Links]:
@@ -300,7 +357,7 @@ def near_links(docs: DataFrame, counts: bool = False, min_similarity: float = MI
     spark = docs.sparkSession
     tune(spark)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = saved(rows.mapInArrow(_sign(counts), "doc bigint, tie bigint, seq binary, bands array<bigint>, low binary"), "near-signed")
+    signed = saved(rows.mapInArrow(_sign(counts), "doc bigint, tie bigint, seq binary, bands array<bigint>"), "near-signed")
     links = _Links(rows, signed, counts, min_similarity)
     links.run()
     return signed.select("doc", "tie", "seq"), links
