@@ -3,7 +3,8 @@ vectorised word hashing over Arrow string buffers."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,20 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADC
     return df
 
 
+def frugal(task: Callable) -> Callable:
+    """A batch function that gives its freed memory back when its task is done:
+    Python workers live on, and several share an executor's memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 # ---- vectorised words ----------------------------------------------------
 
 _U = np.uint64

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import column, pick, table, tune
+from pairforge.llm.common import column, frugal, pick, table, tune
 
 TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?)", re.S
@@ -279,7 +279,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     tune(pages.sparkSession)
     rows = pick(pages, "page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("bigint"))
-    return rows.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    return rows.mapInArrow(frugal(_extract), "page_id bigint, url string, text string, n_chars bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

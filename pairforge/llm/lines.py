@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import column, pick, saved, small, table, tune
+from pairforge.llm.common import column, frugal, pick, saved, small, table, tune
 from pairforge.llm.shared_files import CommittedFile, locate
 from pairforge.session import scratch_path
 
@@ -63,7 +63,7 @@ def line_keys(docs: DataFrame) -> DataFrame:
     """(key, doc_id), once per row and key."""
     tune(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInArrow(_keys, "key binary, doc_id bigint")
+    return rows.mapInArrow(frugal(_keys), "key binary, doc_id bigint")
 
 
 class LineRuns:
@@ -161,7 +161,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHE
     drop = saved(hits.groupBy("doc_id").agg(F.collect_set("key").alias("drop")), "line-drop")
     rows = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     rows = rows.join(small(drop), "doc_id", "left").select("doc_id", "text", "drop")
-    return rows.mapInArrow(_apply, "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string")
+    return rows.mapInArrow(frugal(_apply), "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import WS, Words, chunks, column, lut, mix64, pick, powers_pair, saved, small, table, tune
+from pairforge.llm.common import WS, Words, chunks, column, frugal, lut, mix64, pick, powers_pair, saved, small, table, tune
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
@@ -253,7 +253,7 @@ class _Links:
 
     def cross(self, members: DataFrame) -> DataFrame:
         """(a, b): pairs of a bucket across components that may be similar."""
-        fine = self.texts(members.select("seq").distinct()).mapInArrow(_fine(self.counts), "seq binary, fine binary")
+        fine = self.texts(members.select("seq").distinct()).mapInArrow(frugal(_fine(self.counts)), "seq binary, fine binary")
         fine = saved(fine.dropDuplicates(["seq"]), "near-fine").join(self.nodes.select("seq", "bands"), "seq")
         blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
         m = members.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("seq"), F.col("blocks")).cast("int"))
@@ -262,7 +262,7 @@ class _Links:
         m = m.join(fine, "seq").select("band", "i", "j", "block", "label", "seq", "fine", "bands")
         n = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         m = m.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        return m.mapInArrow(_across(self.min), "a binary, b binary")
+        return m.mapInArrow(frugal(_across(self.min)), "a binary, b binary")
 
     def check(self, pairs: DataFrame) -> int:
         """Check the pairs not seen before; returns how many."""
@@ -275,12 +275,12 @@ class _Links:
         if not n:
             return 0
         wanted = pairs.select(F.col("a").alias("seq")).unionByName(pairs.select(F.col("b").alias("seq"))).distinct()
-        sets = self.texts(wanted).mapInArrow(_set_of(self.counts), "seq binary, shingles binary, counts binary")
+        sets = self.texts(wanted).mapInArrow(frugal(_set_of(self.counts)), "seq binary, shingles binary, counts binary")
         sets = saved(sets.dropDuplicates(["seq"]), "near-sets")
         a = sets.withColumnsRenamed({"seq": "a", "shingles": "a_set", "counts": "a_n"})
         b = sets.withColumnsRenamed({"seq": "b", "shingles": "b_set", "counts": "b_n"})
         full = pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set", "a_n", "b_n")
-        found = saved(full.mapInArrow(_verify, "a binary, b binary, sim double").filter(F.col("sim") >= self.min), "near-links")
+        found = saved(full.mapInArrow(frugal(_verify), "a binary, b binary, sim double").filter(F.col("sim") >= self.min), "near-links")
         self.edges = found if self.edges is None else self.edges.unionByName(found)
         links = found.select("a", "b")
         if self.label is not None:  # go on from the components so far
@@ -357,7 +357,7 @@ def near_links(docs: DataFrame, counts: bool = False, min_similarity: float = MI
     spark = docs.sparkSession
     tune(spark)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = saved(rows.mapInArrow(_sign(counts), "doc bigint, tie bigint, seq binary, bands array<bigint>"), "near-signed")
+    signed = saved(rows.mapInArrow(frugal(_sign(counts)), "doc bigint, tie bigint, seq binary, bands array<bigint>"), "near-signed")
     links = _Links(rows, signed, counts, min_similarity)
     links.run()
     return signed.select("doc", "tie", "seq"), links

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import WS, Words, chunks, column, lut, mix64, pick, powers_pair, saved, sliding_argmin, small, table, tune
+from pairforge.llm.common import WS, Words, chunks, column, frugal, lut, mix64, pick, powers_pair, saved, sliding_argmin, small, table, tune
 
 WINDOW = 35
 GRAM = 12
@@ -220,8 +220,8 @@ def raw_factors(docs: DataFrame, hot_runs: int = HOT_RUNS, sample: int = SAMPLE)
     hot = np.sort(np.array([r["anchor"] for r in counts.filter(F.col("runs") >= max(2, hot_runs // sample)).select("anchor").collect()], np.int64).astype(np.uint64))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows // TASK_WINDOWS))
     blocks = tasks * BLOCKS_PER_TASK
-    runs = rows.mapInArrow(_map_runs(blocks, hot), _RUNS).repartition(tasks, "part")
-    found = saved(runs.mapInArrow(_find(hot, False), _FOUND), "rlz-found")
+    runs = rows.mapInArrow(frugal(_map_runs(blocks, hot)), _RUNS).repartition(tasks, "part")
+    found = saved(runs.mapInArrow(frugal(_find(hot, False)), _FOUND), "rlz-found")
     out = found.filter("kind = 0")
     if len(hot):
         again = found.filter("kind = 1").mapInArrow(_repack(blocks), _RUNS).repartition(tasks, "part")
@@ -272,7 +272,7 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row."""
     spans = saved(duplicate_spans(raw_factors(docs, **options)), "rlz-spans")
     rows = _keyed(docs).join(small(spans), ["doc", "tie"], "left").select("doc_id", "text", "spans")
-    return rows.mapInArrow(_remove, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    return rows.mapInArrow(frugal(_remove), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import column, pick, saved, table, tune
+from pairforge.llm.common import column, frugal, pick, saved, table, tune
 from pairforge.llm.shared_files import CommittedFile, drop_temporary, open_stream
 from pairforge.session import scratch_path
 
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
-MAX_CACHED = 900_000
+MAX_CACHED = 350_000
 JOINED = 32
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -108,7 +108,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
 
-        self.tok = Tokenizer.from_file(path)
+        self.path, self.whole = path, None
         # pieces are in lower case and of PLAIN characters: nothing to normalize
         self.piece_tok = Tokenizer.from_file(path)
         self.piece_tok.normalizer = normalizers.Sequence([])
@@ -118,6 +118,13 @@ class Encoder:
         self.index, self.ids = _Index(), np.zeros(0, np.uint32)
         self.offset, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _encode_whole(self, text: str) -> list[int]:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        return self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _learn(self) -> None:
         """Encode the new pieces, some in a string; word_ids tells them apart."""
         new, step = self.index.pending, JOINED
@@ -149,8 +156,7 @@ class Encoder:
                 bounds.append(bounds[-1] + len(found))
                 where.append(i)
             else:
-                ids = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
-                out[i] = np.array([*ids, END_ID], np.uint32)
+                out[i] = np.array([*self._encode_whole(text), END_ID], np.uint32)
         if self.index.pending:
             self._learn()
         pieces = np.concatenate(at)
@@ -211,13 +217,13 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Scratch table (doc_id, tie, n_tokens, ids) of all rows of ``docs``."""
     tune(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("tie"), "text")
-    return saved(rows.mapInArrow(_tokenize(path or tokenizer_path()), "doc_id bigint, tie bigint, n_tokens bigint, ids binary"), "token-ids")
+    return saved(rows.mapInArrow(frugal(_tokenize(path or tokenizer_path())), "doc_id bigint, tie bigint, n_tokens bigint, ids binary"), "token-ids")
 
 
 def id_ranks(ids: DataFrame) -> np.ndarray:
     """Ids in descending corpus frequency, then ascending id. One entry per id
     in use: at most the tokenizer's vocabulary."""
-    counts = ids.select("n_tokens", "ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = ids.select("n_tokens", "ids").mapInArrow(frugal(_count), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     rows = sorted((-r["n"], r["id"]) for r in counts.collect())
     return np.array([i for _, i in rows], np.uint32)
 
@@ -265,7 +271,7 @@ def write_token_files(docs: DataFrame, root: str, path: str | None = None, token
     ).coalesce(1).write.mode("overwrite").parquet(f"{root}/ranks.parquet")
     ordered = ids.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     rows = ordered.select("doc_id", "n_tokens", "ids").mapInArrow(
-        _write(root, by_rank), "part bigint, file string, docs bigint, n_values bigint, bytes bigint, crc bigint"
+        frugal(_write(root, by_rank)), "part bigint, file string, docs bigint, n_values bigint, bytes bigint, crc bigint"
     )
     rows.write.mode("overwrite").parquet(f"{root}/manifest")
     drop_temporary(root)
@@ -313,7 +319,7 @@ def read_token_files(spark: SparkSession, root: str) -> DataFrame:
     before = F.sum("n_values").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("file", "crc", F.coalesce(before, F.lit(0)).alias("start"))  # a row per file
     return files.repartition(max(1, manifest.count())).mapInArrow(
-        _read(root, by_rank), "doc_id bigint, start bigint, n_tokens bigint, ids binary"
+        frugal(_read(root, by_rank)), "doc_id bigint, start bigint, n_tokens bigint, ids binary"
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pairforge.llm.common import Words, chunks, column, lut, mix64, pick, powers_pair, table, tune
+from pairforge.llm.common import Words, chunks, column, frugal, lut, mix64, pick, powers_pair, table, tune
 
 BITS = 18
 DIMS = 1 << BITS
@@ -150,7 +150,7 @@ def scored(docs: DataFrame, labels: DataFrame, column_name: str = "score") -> Da
     plain = docs.toDF(*[f"_c{i}" for i in range(len(cols))])
     plain = plain.withColumn("__text", F.coalesce(F.col(f"_c{cols.index('text')}"), F.lit("")))
     schema = StructType([*plain.schema.fields[:-1], StructField("__score", DoubleType())])
-    return plain.mapInArrow(_score(at, w, plain.columns), schema).toDF(*cols, column_name)
+    return plain.mapInArrow(frugal(_score(at, w, plain.columns)), schema).toDF(*cols, column_name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import column, pick, saved, small, table, tune
+from pairforge.llm.common import column, frugal, pick, saved, small, table, tune
 from pairforge.llm.shared_files import CommittedFile, drop_temporary, open_stream
 from pairforge.session import scratch_path
 
@@ -143,7 +143,7 @@ def write_warc(pages: DataFrame, root: str, min_bytes: int = 0, file_bytes: int
     rows, total = with_leaders(pages, min_bytes)
     order = ["page_id", "digest", "url"]
     ranged = rows.repartitionByRange(max(1, -(-total // range_bytes)), *order).sortWithinPartitions(*order)
-    files = ranged.drop("digest").mapInArrow(_write(root, file_bytes), "file string, records bigint, bytes bigint, crc bigint")
+    files = ranged.drop("digest").mapInArrow(frugal(_write(root, file_bytes)), "file string, records bigint, bytes bigint, crc bigint")
     files.write.mode("overwrite").parquet(f"{root}/manifest")
     drop_temporary(root)
     return spark.read.parquet(f"{root}/manifest")
@@ -205,7 +205,7 @@ def read_warc(spark: SparkSession, root: str) -> DataFrame:
     """A row per page record of the archives that the manifest names."""
     manifest = spark.read.parquet(f"{root}/manifest")
     return manifest.select("file", "crc").repartition(max(1, manifest.count())).mapInArrow(
-        _read(root), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
+        frugal(_read(root)), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
     )
 
 
