@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import re
 import sys
 
 from pyspark.sql import SparkSession
@@ -25,15 +26,35 @@ from pyspark.sql import functions as F
 
 
 def _source(spark: SparkSession, spec: str):
-    """``name=path[,path...]`` with optional ``:cap=N`` and ``:truncate=N``."""
+    """``name=path[,path...]`` with optional trailing ``:cap=N``, ``:truncate=N``
+    and ``:enabled=no``. Paths may be URIs; only these options end a spec."""
     from pairforge.operators.pairs import parquet_source
 
-    head, *opts = spec.split(":")
+    head, kv = split_spec(spec)
     name, _, paths = head.partition("=")
-    kv = dict(o.split("=", 1) for o in opts)
-    cap = int(kv["cap"]) if "cap" in kv else None
-    trunc = int(kv["truncate"]) if "truncate" in kv else None
-    return parquet_source(spark, name, paths.split(","), cap=cap, truncate_input=trunc)
+    return parquet_source(
+        spark, name, paths.split(","), cap=kv.get("cap"), truncate_input=kv.get("truncate"), enabled=kv.get("enabled", True)
+    )
+
+
+def split_spec(spec: str) -> tuple[str, dict]:
+    """The part before the trailing options, and the options."""
+    opts: dict = {}
+    while m := re.search(r":(?:(cap|truncate)=(\d+)|(enabled)=(yes|no))$", spec):
+        opts[m[1] or m[3]] = int(m[2]) if m[1] else m[4] == "yes"
+        spec = spec[: m.start()]
+    return spec, opts
+
+
+def _json_source(spark: SparkSession, spec: str):
+    from pairforge.operators.pairs import json_array_source
+
+    head, kv = split_spec(spec)
+    name, _, path = head.partition("=")
+    src = json_array_source(spark, name, path, cap=kv.get("cap"))
+    if src is None:
+        print(f"skipped, not found: {path}")
+    return src
 
 
 def _factory(ref: str):
@@ -45,36 +66,32 @@ def cmd_build(spark: SparkSession, args) -> None:
     from pairforge.plans.build import run_build
 
     sources = [_source(spark, s) for s in args.source]
+    sources += [s for s in (_json_source(spark, x) for x in args.json_source) if s is not None]
     for r in run_build(spark, sources, args.out, args.val_ratio, args.seed).collect():
         print(f"{r['split']}: {r['records']} records ({r['status']})")
 
 
 def cmd_check(spark: SparkSession, args) -> None:
     from pairforge.operators.validate import problem_head, validate_records
-    from pairforge.plans.check import check_split_files
+    from pairforge.plans.check import check_split_files, first_record
     from pairforge.sources.jsonl import LINE_ORDER, load_jsonl
 
-    summary = check_split_files(spark, args.dir).collect()
-    if not summary:
-        print(f"MISSING: {args.dir}")
-        return
-    # every line is JSON here (check_split_files raised otherwise)
-    records = validate_records(load_jsonl(spark, args.dir, mode="collect").filter("valid"))
-    for s in sorted(summary, key=lambda r: r["file"]):
-        print(f"\n{args.dir} split={s['file']}")
-        print(f"  Records: {s['records']}")
+    summary = sorted(check_split_files(spark, args.dir).collect(), key=lambda r: r["file"])
+    for s in summary:
+        print(f"\nsplit {s['file']}: {s['records']} records, {s['invalid']} with problems ({s['status']})")
         if s["invalid"]:
-            print(f"  PROBLEMS found in {s['invalid']} records:")
-            head = problem_head(records.filter(F.col("split") == s["file"]), LINE_ORDER, 5)
-            rows = sorted(head.collect(), key=lambda r: r["idx"])
+            # every line is JSON here (check_split_files raised otherwise); the
+            # split's folder alone is read
+            part = load_jsonl(spark, f"{args.dir}/split={s['file']}", mode="collect").filter("valid")
+            rows = sorted(problem_head(validate_records(part), LINE_ORDER, 5).collect(), key=lambda r: r["idx"])
             for r in rows:
-                print(f"    record {r['idx']}: {r['problems']}")
+                print(f"  at {r['idx']}: {r['problems']}")
             if rows and rows[0]["more"]:
-                print(f"    ... and {rows[0]['more']} more")
-        else:
-            print("  Structure: all records valid")
-        print(f"  User (technical) word counts:     {s['user_words']}")
-        print(f"  Assistant (plain) word counts:    {s['assistant_words']}")
+                print(f"  and {rows[0]['more']} others")
+        print(f"  words of user turns: {s['user_words']}")
+        print(f"  words of assistant turns: {s['assistant_words']}")
+    if any(s["file"] == "train" and s["records"] for s in summary):
+        print(f"\nfirst training record:\n{first_record(spark, args.dir).first()['value']}")
 
 
 def cmd_subsample(spark: SparkSession, args) -> None:
@@ -102,6 +119,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sub = p.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="pairs -> chat records -> split JSON lines")
     b.add_argument("--source", action="append", required=True, help="name=path[,path]:cap=N:truncate=N (repeat, in order)")
+    b.add_argument("--json-source", action="append", default=[], help="name=path of a JSON array of pairs, :cap=N (repeat; after the others)")
     b.add_argument("--out", required=True)
     b.add_argument("--val-ratio", type=float, default=0.1)
     b.add_argument("--seed", type=int, default=42)

@@ -83,7 +83,7 @@ def word_count(c: Column | str) -> Column:
 
 def non_ws_chars(c: Column | str) -> Column:
     """Characters that are not whitespace."""
-    return F.char_length(F.regexp_replace(fold_ws(c), r"\s+", ""))
+    return F.char_length(F.translate(_c(c), WS, ""))
 
 
 def is_blank(c: Column | str) -> Column:

@@ -33,10 +33,6 @@ def sentences(c: Column) -> Column:
     return F.greatest(F.regexp_count(c, F.lit(SENTENCE_END)), F.lit(1))
 
 
-def word_chars(c: Column) -> Column:
-    return non_ws_chars(c)
-
-
 def eval_length(cmp: DataFrame, text_col: str = "text") -> DataFrame:
     """Mean word-count ratio of before and after against the source."""
     counted = cmp.select(
@@ -67,7 +63,7 @@ def eval_readability(cmp: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), te
     counted = cmp.select(
         *key_cols,
         *[x for name, c in names for x in (
-            word_count(c).alias(f"{name}_w"), sentences(F.col(c)).alias(f"{name}_s"), word_chars(F.col(c)).alias(f"{name}_c"))],
+            word_count(c).alias(f"{name}_w"), sentences(F.col(c)).alias(f"{name}_s"), non_ws_chars(F.col(c)).alias(f"{name}_c"))],
     )
     cols = []
     for name, _ in names:

@@ -51,6 +51,7 @@ class PairSource:
     columns: tuple[str, str] | None = field(default=None)
     # file sources: (path_ord, file) in scan order, for the early-stopping cap
     files: list[tuple[int, str]] | None = field(default=None, repr=False)
+    roots: list[str] | None = field(default=None, repr=False)
 
 
 def parquet_source(
@@ -66,9 +67,10 @@ def parquet_source(
     cols = pick_columns(spark.read.parquet(paths[0]).columns)
     return PairSource(
         name=name,
-        frame=_file_frame(spark, scan_ordered(spark, paths, columns=list(cols))),
+        frame=scan_ordered(spark, paths, columns=list(cols)),
+        roots=list(paths),
         order=("path_ord", "file_path", "row_index"),
-        key_cols=("path_ord", "file_name", "row_index"),
+        key_cols=("path_ord", "rel_path", "row_index"),
         cap=cap,
         truncate=truncate_input,
         enabled=enabled,
@@ -94,15 +96,14 @@ def json_array_source(spark: SparkSession, name: str, path: str, cap: int | None
                       columns=("abstract", "plain_summary"))
 
 
-def _file_frame(spark: SparkSession, scanned: DataFrame) -> DataFrame:
-    return scanned.withColumn("file_name", F.regexp_extract(F.col("file_path"), r"([^/]*)$", 1))
-
-
-def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], columns: tuple[str, str]) -> DataFrame:
+def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], src: PairSource) -> DataFrame:
     """The scan of a prefix of the ordered file list (same order key)."""
     groups = [(o, [f for _, f in g]) for o, g in groupby(files, key=lambda x: x[0])]
-    scanned = scan_ordered(spark, [g for _, g in groups], columns=list(columns), ordinals=[o for o, _ in groups])
-    return _file_frame(spark, scanned)
+    roots = src.roots or []
+    return scan_ordered(
+        spark, [g for _, g in groups], columns=list(src.columns), ordinals=[o for o, _ in groups],
+        roots=[roots[o] if o < len(roots) else "" for o, _ in groups],
+    )
 
 
 def clean_pair_columns(frame: DataFrame, columns: tuple[str, str] | None = None, truncate_input: int | None = None):
@@ -189,7 +190,7 @@ def cap_file_source(src: PairSource, source_ord: int = 0, min_chars: int = MIN_C
         return cap_pairs(prepare_pairs(src, source_ord, min_chars), cap)
     take = 1
     while True:
-        sub = replace(src, frame=_prefix_frame(src.frame.sparkSession, files[:take], src.columns), files=None)
+        sub = replace(src, frame=_prefix_frame(src.frame.sparkSession, files[:take], src), files=None)
         prepared = prepare_pairs(sub, source_ord, min_chars)
         keys = prepared.select(*ORDER_COLS).persist(StorageLevel.MEMORY_AND_DISK)
         n = keys.count()
@@ -256,17 +257,11 @@ def source_counts(pairs: DataFrame, sources: Sequence[PairSource]) -> DataFrame:
     joined to the source list, whose size is the number of sources.
     """
     spark = pairs.sparkSession
-    names = literal_frame(
-        spark, [(s.name, i) for i, s in enumerate(sources) if s.enabled], "source string, source_ord int"
-    )
-    per = pairs.groupBy("source").agg(F.count(F.lit(1)).alias("pairs"))
-    by_source = names.join(F.broadcast(per), "source", "left").select(
-        "source", "source_ord", F.coalesce("pairs", F.lit(0)).cast("bigint").alias("pairs"), F.lit(False).alias("is_total")
-    )
-    total = by_source.agg(F.sum("pairs").cast("bigint").alias("pairs")).select(
-        F.lit(None).cast("string").alias("source"),
-        F.lit(None).cast("int").alias("source_ord"),
-        F.coalesce("pairs", F.lit(0)).cast("bigint").alias("pairs"),
-        F.lit(True).alias("is_total"),
+    listed = [(s.name, i, False) for i, s in enumerate(sources) if s.enabled] + [(None, None, True)]
+    names = literal_frame(spark, listed, "source string, source_ord int, is_total boolean")
+    per = pairs.rollup("source").agg(F.count(F.lit(1)).alias("pairs"), (F.grouping("source") == 1).alias("all"))
+    per = per.select(F.col("source").alias("of"), "pairs", "all")
+    at = (F.col("is_total") & F.col("all")) | (~F.col("is_total") & ~F.col("all") & (F.col("source") == F.col("of")))
+    return names.join(F.broadcast(per), at, "left").select(
+        "source", "source_ord", F.coalesce("pairs", F.lit(0)).cast("bigint").alias("pairs"), "is_total"
     )
-    return by_source.unionByName(total)

@@ -8,7 +8,7 @@ rewriter over the same batch in one pass, base first.
 
 The core ships two deterministic rule rewriters for tests and for pipelines
 without a model; a model-backed factory plugs in the same way. The blank-input
-guard runs JVM-side before any Python: blank rows never reach a rewriter.
+guard is a JVM-side column: blank rows never reach a rewriter.
 
 A model that samples is not reproducible: a task re-run after an executor loss,
 or a second action on the same frame, gets different text. Write the comparison
@@ -67,6 +67,22 @@ def guard_input(df: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+def _guarded(factories: dict[str, RewriterFactory], text_col: str):
+    """Like ``_apply``, but rows that need no rewrite keep the guard's values."""
+
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        funcs = {name: f() for name, f in factories.items()}  # once per task
+        for b in batches:
+            todo = b["needs_rewrite"]
+            src = b.loc[todo, text_col].astype(object)
+            for name, f in funcs.items():
+                if len(src):
+                    b.loc[todo, name] = f(src)
+            yield b.drop(columns="needs_rewrite")
+
+    return fn
+
+
 def _apply(factories: dict[str, RewriterFactory], text_col: str):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         funcs = {name: f() for name, f in factories.items()}  # once per task
@@ -101,12 +117,7 @@ def compare_rewrites(
     text_col: str = "text",
 ) -> DataFrame:
     """``key_cols, text, before, after``: blank rows get the guard's values,
-    the others both rewrites from one Python pass."""
-    g = guard_input(df.select(*key_cols, text_col), text_col)
-    todo = g.filter("needs_rewrite").select(*key_cols, text_col)
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in todo.schema.fields] + ["before string", "after string"]
-    )
-    done = todo.mapInPandas(_apply({"before": base, "after": tuned}, text_col), schema)
-    skipped = g.filter(~F.col("needs_rewrite")).select(*key_cols, text_col, "before", "after")
-    return done.unionByName(skipped)
+    the others both rewrites from one Python pass over one scan."""
+    g = guard_input(df.select(*key_cols, text_col), text_col).select(*key_cols, text_col, "before", "after", "needs_rewrite")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in g.schema.fields if f.name != "needs_rewrite")
+    return g.mapInPandas(_guarded({"before": base, "after": tuned}, text_col), schema)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairforge.operators.select import kth_hex_key, le_key
@@ -34,6 +34,22 @@ def shuffle_seeded(df: DataFrame, seed: int = 42, key_col: str = "pair_key") ->
     return shuffle_key(df, seed, key_col).orderBy(HASH_COL, key_col)
 
 
+def with_position(df: DataFrame, order_cols: list[str], position: str = "position") -> DataFrame:
+    """0-based place of each row in a total order, without a one-task window:
+    the frame is range sorted and written, then each partition's rows are counted
+    and numbered from the sum of the counts before it (a row per partition)."""
+    from pairforge.session import scratch_path
+
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ordered")
+    df.orderBy(*order_cols).withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("__part", F.shiftright("__id", 33))
+    before = F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    per = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("__first"))
+    per = per.select("__part", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    numbered = rows.join(F.broadcast(per), "__part")
+    return numbered.withColumn(position, F.col("__before") + F.col("__id") - F.col("__first")).drop("__id", "__part", "__first", "__before")
+
+
 def val_size(n: int, val_ratio: float) -> int:
     """``int(n * ratio)`` in double arithmetic, as Python computes it."""
     return int(n * float(val_ratio))

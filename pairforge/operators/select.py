@@ -10,15 +10,16 @@ results are bounded (a histogram or a sample), then a single narrow filter
 Two strategies:
 
 * ``kth_hex_key``: the leading order column is a uniform hex digest (md5). A
-  prefix histogram (4 hex digits = 65,536 buckets per pass, partially
-  aggregated map-side) narrows the candidates 65,536-fold per pass.
+  prefix histogram (up to 4 hex digits = 65,536 buckets per pass, partially
+  aggregated map-side) narrows the candidates up to 65,536-fold per pass.
 * ``kth_key``: any order. Floyd-Rivest style: a bounded random sample brackets
   the target rank, one counting pass confirms the bracket, repeat until the
   bracket holds at most ``window_rows`` keys, which are then fetched.
 
 Keys must be unique and non-NULL (callers add a row key as last column). Every
-driver-side collection is bounded by ``window_rows``, ``sample_rows`` or the
-65,536-bucket histogram, independent of the data size.
+driver-side collection is bounded by ``window_rows`` (a few hundred keys),
+``MAX_SAMPLE`` or the 65,536-bucket histogram, independent of the data size;
+there is no shortcut that fetches all keys of a larger input.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW_ROWS = 50_000
-SAMPLE_ROWS = 20_000
+WINDOW_ROWS = 400  # keys fetched in the end
+SAMPLE_ROWS = 400  # keys of a sample, or a thousandth of the candidates if that is more
+MAX_SAMPLE = 20_000
 HEX_STEP = 4
 
 
@@ -116,7 +118,7 @@ def kth_key(
             cand = cand.filter(lex_cmp(cols, hi, dtypes, "<="))
         if c <= window_rows:
             return _fetch_sorted(cand, cols, c)[r - 1]
-        frac = min(1.0, sample_rows / c)
+        frac = min(1.0, max(sample_rows, min(MAX_SAMPLE, c // 1000)) / c)
         sample = sorted(tuple(x) for x in cand.sample(False, frac, seed).collect())
         seed += 1
         m = len(sample)
@@ -179,7 +181,9 @@ def kth_hex_key(
         if len(prefix) >= width:
             # Same digest on more rows than the window: order by tie columns only.
             return kth_key(cand, cols, r, total=c, window_rows=window_rows)
-        plen = min(len(prefix) + HEX_STEP, width)
+        # as many digits as leave about a window in a bucket, HEX_STEP at most
+        step = max(1, min(HEX_STEP, math.ceil(math.log(c / window_rows, 16))))
+        plen = min(len(prefix) + step, width)
         hist = (
             cand.groupBy(F.substring(F.col(hex_col), 1, plen).alias("p"))
             .agg(F.count(F.lit(1)).alias("n"))

@@ -395,11 +395,12 @@ def token_budget(
 ) -> DataFrame:
     """Per group: records, records over ``budget`` tokens, and their share. The
     counter is pluggable; the default counts words (no tokenizer files needed)."""
-    tokens = counter(F.col(messages_col))
-    agg = records.groupBy(group_col).agg(
+    # counted once per record, then aggregated
+    counted = records.select(group_col, F.explode(F.array(counter(F.col(messages_col)))).alias("__tokens"))
+    agg = counted.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(tokens > F.lit(budget)).alias("over_budget"),
-        F.max(tokens).alias("max_tokens"),
+        F.count_if(F.col("__tokens") > F.lit(budget)).alias("over_budget"),
+        F.max("__tokens").alias("max_tokens"),
     )
     return agg.select(
         group_col,

@@ -24,19 +24,16 @@ from pairforge.operators.pairs import PairSource, source_counts, union_sources
 from pairforge.operators.sampling import train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
 from pairforge.session import drop_scratch, literal_frame, scratch_path
-from pairforge.sources.splits import write_splits
-
-# Defaults of the reference build: first source capped at 4,500 pairs; second
-# source capped at 2,000 with its input cut to 1,500 characters; 10 %
-# validation with seed 42; texts must be longer than 50 characters.
-CAP_FIRST = 4500
-CAP_SECOND = 2000
-TRUNCATE_SECOND = 1500
+from pairforge.sources.splits import write_pairs, write_splits
+
+# Caps and cuts are options of a source, off by default: the build takes every
+# accepted pair. 10 % validation with seed 42.
+TRUNCATE_EXAMPLE = 1500
 VAL_RATIO = 0.1
 SEED = 42
 
 
-def conv_source(spark: SparkSession, sf_dir: str, cap: int | None = CAP_FIRST, truncate_input: int | None = None) -> PairSource:
+def conv_source(spark: SparkSession, sf_dir: str, cap: int | None = None, truncate_input: int | None = None) -> PairSource:
     return PairSource(
         name="conv",
         frame=pairs_conv(spark, sf_dir),
@@ -47,7 +44,7 @@ def conv_source(spark: SparkSession, sf_dir: str, cap: int | None = CAP_FIRST, t
     )
 
 
-def doc_source(spark: SparkSession, sf_dir: str, cap: int | None = CAP_SECOND, truncate_input: int | None = TRUNCATE_SECOND) -> PairSource:
+def doc_source(spark: SparkSession, sf_dir: str, cap: int | None = None, truncate_input: int | None = None) -> PairSource:
     return PairSource(
         name="doc",
         frame=pairs_doc(spark, sf_dir),
@@ -70,20 +67,15 @@ def materialize(df: DataFrame, name: str = "pairs") -> DataFrame:
     the table columnar and pruned: the split's selection passes read only the
     row key, not the texts.
     """
+    return materialize_at(df, name)[0]
+
+
+def materialize_at(df: DataFrame, name: str = "pairs") -> tuple[DataFrame, str]:
+    """``materialize``, and the table's path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def table_path(df: DataFrame) -> str | None:
-    """The scratch table a materialized frame reads, if any."""
-    files = df.inputFiles()
-    if not files:
-        return None
-    first = files[0]
-    cut = first.rfind("/")
-    return first[:cut] if cut > 0 else None
+    return spark.read.parquet(path), path
 
 
 @dataclass
@@ -91,7 +83,7 @@ class BuildResult:
     pairs: DataFrame  # union of prepared, capped pairs (written table when checkpointed)
     records: DataFrame  # pair_key, shuffle_hash, split, messages
     counts: DataFrame  # source counts
-    status: str
+    path: str | None = None  # the scratch table of ``pairs``, for ``drop_scratch``
 
 
 def build_records(
@@ -101,14 +93,14 @@ def build_records(
     system_prompt: str = SYSTEM_PROMPT,
     checkpoint: bool = True,
 ) -> BuildResult:
-    pairs = union_sources(sources)
+    pairs, path = union_sources(sources), None
     if checkpoint:
-        pairs = materialize(pairs)
+        pairs, path = materialize_at(pairs)
     records = train_val_split(
         pairs.select("pair_key", "abstract", "plain_summary"), val_ratio=val_ratio, seed=seed
     )
     records = format_chat(records, system_prompt, keep=("pair_key", "shuffle_hash", "split"))
-    return BuildResult(pairs=pairs, records=records, counts=source_counts(pairs, sources), status="ok")
+    return BuildResult(pairs=pairs, records=records, counts=source_counts(pairs, sources), path=path)
 
 
 def split_counts(records: DataFrame) -> DataFrame:
@@ -138,15 +130,25 @@ def run_build(
             write_splits(res.records, out_dir)
     finally:
         # the intermediate union table is not needed once the splits are written
-        tmp = table_path(res.pairs)
-        if tmp is not None and "/pairforge/pairs-" in tmp:
-            drop_scratch(spark, _scratch_form(spark, tmp))
+        if res.path is not None:
+            drop_scratch(spark, res.path)
     status = "written" if total > 0 else "no data"
     return literal_frame(spark, [(r["split"], r["records"], status) for r in rows], "split string, records bigint, status string")
 
 
-def _scratch_form(spark: SparkSession, path: str) -> str:
-    """Map a file URI from ``inputFiles`` back to the checkpoint-root form."""
-    root = scratch_path(spark, "x").rsplit("/pairforge/", 1)[0]
-    tail = path.split("/pairforge/", 1)[1]
-    return f"{root}/pairforge/{tail}"
+def run_pipeline(
+    spark: SparkSession,
+    sources: Sequence[PairSource],
+    out_dir: str,
+    pairs_dir: str | None = None,
+    val_ratio: float = VAL_RATIO,
+    seed: int = SEED,
+) -> DataFrame:
+    """Build, write the pairs (when ``pairs_dir`` is given) and the splits, then
+    validate the written files; returns the check's report per split."""
+    from pairforge.plans.check import check_split_files
+
+    if pairs_dir is not None:
+        write_pairs(union_sources(sources), pairs_dir)
+    run_build(spark, sources, out_dir, val_ratio, seed)
+    return check_split_files(spark, out_dir)

@@ -8,27 +8,40 @@ word statistics of user and assistant messages.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pairforge.functions.text import py_strip
 from pairforge.operators.validate import validate_records, validation_summary
-from pairforge.sources.jsonl import load_jsonl
+from pairforge.sources.jsonl import LINE_ORDER, load_jsonl, read_lines
 from pairforge.session import literal_frame, path_exists
 
 
-def check_split_files(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Summary per split directory below ``out_dir`` (``split=<name>``)."""
-    if not path_exists(spark, out_dir):
-        return literal_frame(
-            spark, [], "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string"
-        )
+REPORT = "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string"
+
+
+def _absent(name: str) -> tuple:
+    return (name, 0, 0, "missing", "no data", "no data")
+
+
+def first_record(spark: SparkSession, out_dir: str, split: str = "train") -> DataFrame:
+    """The first line of a split's files, in full (file name, then line)."""
+    lines = read_lines(spark, out_dir).filter(F.col("split") == split)
+    return lines.filter(py_strip("value") != "").agg(F.min_by("value", F.struct(*LINE_ORDER)).alias("value"))
+
+
+def check_split_files(spark: SparkSession, out_dir: str, splits: Sequence[str] = ("train", "val")) -> DataFrame:
+    """Summary per split directory below ``out_dir`` (``split=<name>``); expected
+    splits that have no files are listed as missing, with 0 records."""
+    if not any(path_exists(spark, f"{out_dir}/split={s}") for s in splits):
+        return literal_frame(spark, [_absent(s) for s in splits], REPORT)
     # one pass: the summary also counts lines that are not JSON; only when there
     # are any is the first one located (with its line number) and raised
     parsed = load_jsonl(spark, out_dir, mode="collect").withColumnRenamed("split", "file")
     rows = validation_summary(validate_records(parsed), "file", with_bad_json=True).collect()
     if any(r["bad_json"] for r in rows):
         load_jsonl(spark, out_dir, mode="failfast")  # raises JsonLinesError naming file and line
-    return literal_frame(
-        spark,
-        [tuple(r)[:-1] for r in rows],
-        "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string",
-    )
+    found = {r["file"]: tuple(r)[:-1] for r in rows}
+    return literal_frame(spark, [*found.values(), *(_absent(x) for x in splits if x not in found)], REPORT)

@@ -7,8 +7,11 @@ for the views. The tables are the driver's pre-registered views.
 
 from __future__ import annotations
 
-from pairforge.functions.text import NON_WS_RUN, WS_CODEPOINTS
-from pairforge.operators.chat import SYSTEM_PROMPT
+# Fixed values, written out here so that the oracle does not lean on the code it
+# checks: Python's white space, a run of other characters, the instruction.
+WS_CODEPOINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288]
+NON_WS_RUN = r"[^\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]+"
+SYSTEM_PROMPT = 'You are a medical text simplifier. Rewrite the following medical text into plain language that a patient with no medical background can understand. Preserve all key findings and conclusions. Do not add information not present in the original text.'
 
 WS_SQL = "(" + "||".join(f"chr({c})" for c in WS_CODEPOINTS) + ")"
 
@@ -49,7 +52,7 @@ def _prep(name, ordinal, view, o_part, o_row, key, inp, out, trunc):
 
 
 PREP_CONV = _prep("conv", 0, "pairs_conv", "conv_id", "turn", "'conv:' || conv_id || ':' || turn", "query", "answer", None)
-PREP_DOC = _prep("doc", 1, "pairs_doc", "0", "doc_id", "'doc:' || doc_id", "Source", "Target", 1500)
+PREP_DOC = _prep("doc", 1, "pairs_doc", "0", "doc_id", "'doc:' || doc_id", "Source", "Target", None)
 
 
 def _cap(name, n):
@@ -63,9 +66,7 @@ UNION = ",\n".join(
         PAIRS_DOC,
         PREP_CONV,
         PREP_DOC,
-        _cap("conv", 4500),
-        _cap("doc", 2000),
-        "union_all AS (SELECT * FROM cap_conv UNION ALL SELECT * FROM cap_doc)",
+        "union_all AS (SELECT * FROM prep_conv UNION ALL SELECT * FROM prep_doc)",
     ]
 )
 
@@ -96,7 +97,7 @@ SELECT doc_id, 'Source' AS input_col, 'Target' AS output_col, Source AS abstract
     "filter_pairs": f"""WITH {PAIRS_CONV}, {PAIRS_DOC},
 c AS (SELECT 'conv:' || conv_id || ':' || turn AS pair_key, {strip('query')} AS a, {strip('answer')} AS b FROM pairs_conv
       UNION ALL
-      SELECT 'doc:' || doc_id, left({strip('Source')}, 1500), {strip('Target')} FROM pairs_doc)
+      SELECT 'doc:' || doc_id, {strip('Source')}, {strip('Target')} FROM pairs_doc)
 SELECT pair_key, CAST(length(a) AS BIGINT) AS abstract_chars, CAST(length(b) AS BIGINT) AS plain_chars,
        length(a) > 50 AND length(b) > 50 AS keep FROM c""",
     "prepare_pairs": f"""WITH {PAIRS_CONV}, {PAIRS_DOC}, {PREP_CONV}, {PREP_DOC}
@@ -112,7 +113,8 @@ per AS (SELECT s.source, s.source_ord, CAST(count(u.pair_key) AS BIGINT) AS pair
         GROUP BY s.source, s.source_ord)
 SELECT source, CAST(source_ord AS INTEGER) AS source_ord, pairs, false AS is_total FROM per
 UNION ALL SELECT NULL, NULL, CAST(sum(pairs) AS BIGINT), true FROM per""",
-    "shuffle_seeded": f"WITH {UNION} SELECT pair_key, md5('42|' || pair_key) AS shuffle_hash FROM union_all",
+    "shuffle_seeded": f"""WITH {UNION} SELECT pair_key, md5('42|' || pair_key) AS shuffle_hash,
+  row_number() OVER (ORDER BY md5('42|' || pair_key), pair_key) - 1 AS position FROM union_all""",
     "train_val_split": f"WITH {SPLIT} SELECT pair_key, split FROM split",
     "split_counts": f"""WITH {SPLIT}
 SELECT s.split, CAST(count(x.pair_key) AS BIGINT) AS records
@@ -181,11 +183,18 @@ def _render3(a: str, b: str) -> str:
     )
 
 
+HOSTILE = """hostile AS (
+  SELECT event_id + 1 AS line_no, CASE WHEN event_id % 7 = 3 THEN ' ' || chr(9)
+    WHEN event_id % 5 = 2 THEN left(props, length(props) - 1) ELSE props END AS value FROM events)"""
 WS_CLASS_SQL = "[" + NON_WS_RUN[2:-2] + "]"
 
 SQL.update({
-    "jsonl_parse": """SELECT event_id + 1 AS line_no, json_valid(props) AS valid,
-  CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+    "jsonl_parse": f"""WITH {HOSTILE}
+SELECT line_no, json_valid(value) AS valid,
+  CASE WHEN json_valid(value) THEN CAST(json_extract(value, '$.k') AS BIGINT) END AS k FROM hostile WHERE {strip('value')} <> ''""",
+    "bad_lines": f"""WITH {HOSTILE}
+SELECT line_no, value FROM (SELECT row_number() OVER (ORDER BY line_no) AS line_no, value FROM hostile)
+WHERE {strip('value')} <> '' AND NOT json_valid(value)""",
     "validate_records": f"""WITH {VALIDATED}
 SELECT conv_id, start, CAST(len(problems) AS BIGINT) AS n_problems, array_to_string(problems, ', ') AS problems FROM validated""",
     "invalid_records": f"""WITH {VALIDATED}
@@ -259,7 +268,8 @@ def _unsupported(c: str) -> str:
 SQL.update({
     "guard_input": f"""SELECT doc_id, NOT ({BLANK}) AS needs_rewrite,
   CASE WHEN {BLANK} THEN '' END AS before,
-  CASE WHEN {BLANK} THEN 'Please paste some medical text above to see the rewrite.' END AS after FROM documents""",
+  CASE WHEN {BLANK} THEN 'Please paste some medical text above to see the rewrite.' END AS after
+FROM (SELECT doc_id, CASE WHEN doc_id % 9 = 4 THEN ' ' || chr(10) || chr(9) ELSE text END AS text FROM documents)""",
     "batch_rewrite": f"SELECT doc_id, {SQUEEZE} AS rewrite FROM documents WHERE NOT ({BLANK})",
     "compare_rewrites": f"WITH {CMP} SELECT doc_id, before, after FROM cmp",
     "eval_length": f"""WITH {CMP}
@@ -287,3 +297,34 @@ QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42|' || value)) <= C
 
 SQL["stream_validate"] = f"""WITH {SPLIT}
 SELECT split, CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS invalid FROM split GROUP BY split"""
+
+_JSON3 = f"""CAST(to_json({{'messages': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},
+    {{'role': 'assistant', 'content': plain_summary}}]}}) AS VARCHAR)"""
+
+SQL["split_order"] = f"""WITH {SPLIT}
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY shuffle_hash, pair_key) - 1 AS position, {_JSON3} AS value FROM split"""
+
+SQL["first_record"] = f"""WITH {SPLIT}
+SELECT {_JSON3} AS value FROM split WHERE split = 'train' ORDER BY shuffle_hash, pair_key LIMIT 1"""
+
+SQL["report_empty_val"] = f"""WITH {UNION}
+SELECT 'train' AS file, CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS invalid, 'all records valid' AS status FROM union_all
+UNION ALL SELECT 'val', CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'missing'"""
+
+SQL["file_sources"] = f"""WITH {PAIRS_CONV}, {PAIRS_DOC},
+f AS (SELECT conv_id % 3 AS o, CASE WHEN conv_id % 3 = 1 THEN turn % 4 ELSE 0 END AS p, conv_id, turn,
+        {strip('query')} AS abstract, {strip('answer')} AS plain_summary FROM pairs_conv WHERE conv_id % 3 < 2),
+d AS (SELECT {strip('Source')} AS abstract, {strip('Target')} AS plain_summary FROM pairs_doc)
+SELECT * FROM (SELECT 'files' AS source, abstract, plain_summary FROM f
+  WHERE length(abstract) > 50 AND length(plain_summary) > 50
+  QUALIFY row_number() OVER (ORDER BY o, p, conv_id, turn) <= 120)
+UNION ALL SELECT 'array', abstract, plain_summary FROM d WHERE length(abstract) > 50 AND length(plain_summary) > 50"""
+
+_WRONG = "unexpected role order: [''system'', ''assistant'', ''user'']"
+SQL["validate_hostile"] = f"""WITH b AS (SELECT doc_id, coalesce({strip('text')}, '') = '' AS blank FROM documents),
+p AS (SELECT doc_id, CASE
+    WHEN doc_id % 5 = 3 THEN ['missing ''messages'' key']
+    WHEN doc_id % 5 = 4 THEN list_concat(['{_WRONG}'], CASE WHEN blank THEN ['empty content for role ''assistant''', 'empty content for role ''user'''] ELSE []::VARCHAR[] END)
+    ELSE list_concat(CASE WHEN blank OR doc_id % 5 = 1 THEN ['empty content for role ''user'''] ELSE []::VARCHAR[] END,
+                     CASE WHEN blank OR doc_id % 5 = 2 THEN ['empty content for role ''assistant'''] ELSE []::VARCHAR[] END) END AS problems FROM b)
+SELECT doc_id, CAST(len(problems) AS BIGINT) AS n_problems, array_to_string(problems, ', ') AS problems FROM p"""

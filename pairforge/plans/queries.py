@@ -10,19 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions import text as T
 from pairforge.operators.chat import CHATML, format_chat, prompt_messages, render_prompt, to_jsonl
 from pairforge.operators.pairs import (
     clean_pair_columns,
+    json_array_source,
+    parquet_source,
     prepare_pairs,
     source_counts,
     union_sources,
 )
-from pairforge.operators.sampling import shuffle_seeded, subsample_k, train_val_split
-from pairforge.operators.select import kth_key, le_key
+from pairforge.operators.sampling import shuffle_key, subsample_k, train_val_split, with_position
 from pairforge.plans import build as B
 from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
 from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input
@@ -35,10 +36,10 @@ from pairforge.operators.validate import (
     validate_records,
     validation_summary,
 )
-from pairforge.plans.check import check_split_files
+from pairforge.plans.check import check_split_files, first_record
 from pairforge.plans.subsample import subsample_files
-from pairforge.plans.views import chat_records, pairs_doc, table
-from pairforge.sources.jsonl import parse_lines
+from pairforge.plans.views import chat_records, pairs_conv, pairs_doc, table
+from pairforge.sources.jsonl import bad_lines, line_numbers, parse_lines, read_lines
 from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
@@ -47,6 +48,7 @@ from pairforge.sources.splits import read_splits, write_splits
 Query = Callable[[SparkSession, str], DataFrame]
 SUBSAMPLE_SIZES = {"train": 300, "val": 50}
 CAP_TEST = {"conv": 100, "doc": 200}
+FILES_CAP = 120
 
 
 def _flat_messages(df: DataFrame, n: int, keep: list[str]) -> DataFrame:
@@ -67,7 +69,7 @@ def q_strip_text(spark, sf):
 
 def q_truncate_text(spark, sf):
     docs = table(spark, sf, "documents")
-    cut = T.truncate(T.py_strip("text"), B.TRUNCATE_SECOND)
+    cut = T.truncate(T.py_strip("text"), B.TRUNCATE_EXAMPLE)
     return docs.select(
         "doc_id",
         cut.alias("truncated"),
@@ -144,7 +146,94 @@ def q_source_counts(spark, sf):
 
 
 def q_shuffle_seeded(spark, sf):
-    return shuffle_seeded(_union(spark, sf), B.SEED).select("pair_key", "shuffle_hash")
+    """The permutation with each row's place in it."""
+    h = shuffle_key(_union(spark, sf).select("pair_key"), B.SEED)
+    return with_position(h, ["shuffle_hash", "pair_key"]).select("pair_key", "shuffle_hash", "position")
+
+
+def q_split_order(spark, sf):
+    """The written split files, line by line in file order."""
+    res = B.build_records(B.default_sources(spark, sf))
+    out = scratch_path(spark, "splits")
+    write_splits(res.records, out)
+    lines = read_lines(spark, out)
+    numbered = line_numbers(lines, lines)
+    files = lines.groupBy("split", "file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
+    before = F.sum("n").over(Window.partitionBy("split").orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
+    return numbered.join(files, "file_path").select("split", (F.col("before") + F.col("line_no") - 1).alias("position"), "value")
+
+
+def q_file_sources(spark, sf):
+    """File sources in order: a sorted file, a partitioned folder, a folder that
+    lacks the text columns; capped, beside a disabled source, a JSON array and a
+    missing one. All rows of both pair views go into the files."""
+    root = scratch_path(spark, "files")
+    conv = pairs_conv(spark, sf).withColumnsRenamed({"query": "Query", "answer": "Answer"})
+    third = F.pmod("conv_id", F.lit(3))
+    conv.filter(third == 0).coalesce(1).sortWithinPartitions("conv_id", "turn").write.parquet(f"{root}/a")
+    conv.filter(third == 1).withColumn("p", F.pmod("turn", F.lit(4))).repartition(1).sortWithinPartitions("p", "conv_id", "turn").write.partitionBy("p").parquet(f"{root}/b")
+    conv.filter(third == 2).select("conv_id", "turn").coalesce(1).write.parquet(f"{root}/c")
+    docs = pairs_doc(spark, sf).select("doc_id", F.col("Source").alias("abstract"), F.col("Target").alias("plain_summary"))
+    arr = docs.coalesce(1).sortWithinPartitions("doc_id").select(F.to_json(F.struct("abstract", "plain_summary")).alias("value"))
+    arr.write.option("lineSep", ",\n").text(f"{root}/objects")
+    body = spark.read.text(f"{root}/objects", wholetext=True)  # one file: such a source is one JSON text
+    body.select(F.concat(F.lit("["), F.regexp_replace("value", r",\s*$", ""), F.lit("]")).alias("value")).coalesce(1).write.text(f"{root}/array")
+    paths = [f"{root}/a", f"{root}/b", f"{root}/c"]
+    srcs = [
+        parquet_source(spark, "files", paths, cap=FILES_CAP),
+        parquet_source(spark, "off", paths, enabled=False),
+        json_array_source(spark, "array", f"{root}/array"),
+        json_array_source(spark, "none", f"{root}/none"),
+    ]
+    return union_sources([s for s in srcs if s is not None]).select("source", "abstract", "plain_summary")
+
+
+def q_bad_lines(spark, sf):
+    """Lines of a written file that are not JSON, with their line numbers: every
+    fifth ``props`` loses its last character, every seventh is blank."""
+    out = scratch_path(spark, "hostile")
+    hostile_props(spark, sf).coalesce(1).sortWithinPartitions("line_no").select("value").write.text(out)
+    return bad_lines(spark, out).select("line_no", "value")
+
+
+def hostile_props(spark, sf):
+    ev = table(spark, sf, "events")
+    n = F.col("event_id")
+    value = F.when(n % 7 == 3, F.lit(" \t")).when(n % 5 == 2, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    return ev.select((n + 1).alias("line_no"), value.alias("value"))
+
+
+def q_validate_hostile(spark, sf):
+    """Every document as a chat record, some without ``messages``, with a blank
+    or missing content, or in the wrong order, by a rule on doc_id."""
+    docs = table(spark, sf, "documents")
+    n = F.col("doc_id")
+
+    def message(role, content):
+        return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+    user, reply = message("user", F.when(n % 5 == 1, F.lit(" \n")).otherwise(F.col("text"))), message("assistant", F.when(n % 5 != 2, F.col("text")))
+    whole = F.to_json(F.struct(F.array(message("system", F.lit("s")), user, reply).alias("messages")))
+    turned = F.to_json(F.struct(F.array(message("system", F.lit("s")), reply, user).alias("messages")))
+    keyless = F.to_json(F.struct(F.col("text").alias("body")))
+    lines = docs.select("doc_id", F.when(n % 5 == 3, keyless).when(n % 5 == 4, turned).otherwise(whole).alias("value"))
+    v = validate_records(parse_lines(lines))
+    return v.select("doc_id", F.size("problems").cast("bigint").alias("n_problems"), problem_text(F.col("problems")).alias("problems"))
+
+
+def q_report_empty_val(spark, sf):
+    """Build with an empty validation split, write pairs and files, check them."""
+    root = scratch_path(spark, "report")
+    return B.run_pipeline(spark, B.default_sources(spark, sf), f"{root}/splits", f"{root}/pairs", val_ratio=0.0).select("file", "records", "invalid", "status")
+
+
+def q_first_record(spark, sf):
+    """The first training line of the written files, in full."""
+    res = B.build_records(B.default_sources(spark, sf))
+    out = scratch_path(spark, "splits")
+    write_splits(res.records, out)
+    return first_record(spark, out)
 
 
 def q_train_val_split(spark, sf):
@@ -162,10 +251,9 @@ def q_subsample_k(spark, sf):
 
 
 def q_preview_pair(spark, sf):
-    pairs = _union(spark, sf)
-    order = ["source_ord", "o_part", "o_file", "o_row"]
-    first = kth_key(pairs, order, 1)
-    head = pairs if first is None else pairs.filter(le_key(order, first, pairs))
+    order = F.struct("source_ord", "o_part", "o_file", "o_row")
+    row = F.struct("source", "pair_key", "abstract", "plain_summary")
+    head = _union(spark, sf).agg(F.min_by(row, order).alias("r")).filter("r IS NOT NULL").select("r.*")
     return head.select(
         "source",
         "pair_key",
@@ -205,10 +293,9 @@ def q_split_roundtrip(spark, sf):
 # ---- validation ---------------------------------------------------------
 
 def q_jsonl_parse(spark, sf):
-    """``events.props`` as the lines of a JSON-lines file (line = event_id + 1)."""
-    ev = table(spark, sf, "events")
-    lines = ev.select((F.col("event_id") + 1).alias("line_no"), F.col("props").alias("value"))
-    p = parse_lines(lines)
+    """``events.props`` as the lines of a JSON-lines file (line = event_id + 1),
+    some of them cut or blank."""
+    p = parse_lines(hostile_props(spark, sf))
     return p.select("line_no", "valid", F.try_variant_get("record", "$.k", "bigint").alias("k"))
 
 
@@ -289,7 +376,9 @@ def _docs(spark, sf):
 
 
 def q_guard_input(spark, sf):
-    return guard_input(_docs(spark, sf)).select("doc_id", "needs_rewrite", "before", "after")
+    """Every ninth text is replaced by white space, so that the guard has work."""
+    blank = F.when(F.pmod("doc_id", F.lit(9)) == 4, F.lit(" \n\t")).otherwise(F.col("text"))
+    return guard_input(_docs(spark, sf).withColumn("text", blank)).select("doc_id", "needs_rewrite", "before", "after")
 
 
 def q_batch_rewrite(spark, sf):
@@ -324,6 +413,12 @@ QUERIES: dict[str, Query] = {
     "union_sources": q_union_sources,
     "source_counts": q_source_counts,
     "shuffle_seeded": q_shuffle_seeded,
+    "split_order": q_split_order,
+    "file_sources": q_file_sources,
+    "bad_lines": q_bad_lines,
+    "validate_hostile": q_validate_hostile,
+    "report_empty_val": q_report_empty_val,
+    "first_record": q_first_record,
     "train_val_split": q_train_val_split,
     "split_counts": q_split_counts,
     "subsample_k": q_subsample_k,

@@ -24,29 +24,11 @@ from pyspark.sql import functions as F
 from pairforge.session import sf_table
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan over the cluster's cores.
-
-    A file with one large row group is read by one task; the per-row text work
-    after it (regexes over whole documents) would then use one core. Only when
-    the scan has fewer splits than the cluster has cores is a round-robin
-    exchange added; a large input (many splits) is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Plain scan; for inputs that go straight into a join or grouping, whose
-    exchange already spreads the work."""
     return spark.read.parquet(sf_table(sf_dir, name))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan for per-row work: balanced when under-partitioned."""
-    return balanced(read_table(spark, sf_dir, name))
+table = read_table
 
 
 def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,8 +33,16 @@ def write_pairs(pairs: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_splits(records: DataFrame, out_dir: str, max_records_per_file: int = 1_000_000) -> None:
+    """JSON lines below ``split=<name>`` folders. Records that carry the seeded
+    permutation (``shuffle_hash``) are written in its order: range partitioned
+    and sorted, so file names, then lines, follow it."""
+    rows = records
+    if "shuffle_hash" in records.columns:
+        order = ["split", "shuffle_hash", *(c for c in ("pair_key",) if c in records.columns)]
+        n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = records.repartitionByRange(n, *order).sortWithinPartitions(*order)
     (
-        records.select("split", "messages")
+        rows.select("split", "messages")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("split")

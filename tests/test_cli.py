@@ -23,12 +23,31 @@ def test_build_then_check(spark, tmp_dir, capsys):
         f.write(json.dumps(rec) + "\n")
     main(["check", out], spark=spark)
     text = capsys.readouterr().out
-    assert "Records: 28" in text and "Records: 3" in text
-    assert "PROBLEMS found in 1 records:" in text
-    assert "record 0: unexpected role order: ['user', 'assistant']" in text
-    assert "Structure: all records valid" in text
+    assert "split train: 28 records, 1 with problems" in text and "split val: 3 records, 0 with problems" in text
+    assert "at 0: unexpected role order: ['user', 'assistant']" in text
+    assert "first training record:" in text
     main(["check", f"{tmp_dir}/nope"], spark=spark)
-    assert "MISSING" in capsys.readouterr().out
+    text = capsys.readouterr().out
+    assert "split train: 0 records" in text and "missing" in text
+
+
+def test_source_spec_takes_uris_and_trailing_options():
+    from pairforge.__main__ import split_spec
+
+    assert split_spec("a=hdfs://n:8020/x,s3a://b/y:cap=5:truncate=7") == ("a=hdfs://n:8020/x,s3a://b/y", {"truncate": 7, "cap": 5})
+    assert split_spec("a=file:///x/y.parquet:enabled=no") == ("a=file:///x/y.parquet", {"enabled": False})
+    assert split_spec("a=s3a://b/c") == ("a=s3a://b/c", {})
+
+
+def test_build_from_a_uri_and_report_of_an_empty_split(spark, tmp_dir, capsys):
+    src = f"{tmp_dir}/src.parquet"
+    spark.createDataFrame([(f"{L51} {i}", f"{L51} p {i}") for i in range(6)], "abstract string, target string").write.parquet(src)
+    out = f"{tmp_dir}/splits"
+    main(["build", "--source", f"one=file://{src}", "--source", f"two={src}:enabled=no", "--json-source", f"x={tmp_dir}/none.json", "--out", out], spark=spark)
+    assert "skipped, not found" in capsys.readouterr().out
+    main(["check", out], spark=spark)
+    text = capsys.readouterr().out
+    assert "split train: 6 records" in text and "split val: 0 records, 0 with problems (missing)" in text
 
 
 def test_rewrite(spark, tmp_dir, capsys):

@@ -9,7 +9,7 @@ L50, L51 = "a" * 50, "b" * 51
 def test_pick_columns():
     assert pick_columns(["Target", "QUERY", "Abstract"]) == ("Abstract", "Target")
     assert pick_columns(["answer", "source", "summary"]) == ("source", "summary")
-    with pytest.raises(ColumnPickError, match=r"\['a', 'b'\]"):
+    with pytest.raises(ColumnPickError, match='among a, b'):
         pick_columns(["a", "b"])
     # among lowercase-equal names the last one wins
     assert pick_columns(["Source", "source", "target"]) == ("source", "target")

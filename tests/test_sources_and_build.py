@@ -67,3 +67,67 @@ def test_pair_files_feed_the_build(spark, tmp_dir):
     res = B.build_records([s for s in srcs if s is not None], checkpoint=True)
     counts = {r["split"]: r["records"] for r in B.split_counts(res.records).collect()}
     assert counts == {"train": 11, "val": 1}
+
+
+def test_pair_keys_are_unique_on_partitioned_parquet(spark, tmp_dir):
+    from pairforge.operators.pairs import parquet_source
+    from pairforge.operators.sampling import train_val_split
+
+    text = "q" * 60
+    df = spark.createDataFrame([(f"{text} {i}", f"{text} {i}", i % 2) for i in range(40)], "abstract string, summary string, p int")
+    df.coalesce(1).write.partitionBy("p").parquet(f"{tmp_dir}/t")
+    for cap in (None, 40, 33):
+        src = parquet_source(spark, "s", [f"{tmp_dir}/t"], cap=cap)
+        pairs = B.union_sources([src])
+        assert pairs.select("pair_key").distinct().count() == pairs.count() == (cap or 40)
+        n = pairs.count()
+        assert train_val_split(pairs, 0.125).filter("split = 'val'").count() == int(n * 0.125)
+
+
+def test_selection_fetches_small_windows_only(spark, monkeypatch):
+    from pairforge.operators import select
+
+    sizes = []
+    fetch = select._fetch_sorted
+    monkeypatch.setattr(select, "_fetch_sorted", lambda df, cols, n: sizes.append(n) or fetch(df, cols, n))
+    df = spark.range(20000).selectExpr("id", "md5(cast(id as string)) as h").cache()
+    ids = sorted((r["h"], r["id"]) for r in df.collect())
+    assert select.kth_key(df, ["id"], 7000) == (6999,)
+    assert select.kth_hex_key(df, "h", ["id"], 1234, width=32) == ids[1233]
+    assert sizes and max(sizes) <= select.WINDOW_ROWS
+
+
+def test_build_drops_its_scratch_table(spark, tmp_dir):
+    from pairforge.session import checkpoint_root, path_exists
+
+    res = B.build_records(B.default_sources(spark, SF_SMALL))
+    assert res.path.startswith(checkpoint_root(spark)) and path_exists(spark, res.path)
+    before = res.path.rsplit("/", 1)[0]
+    import os
+
+    local = before.removeprefix("file:")
+    n = len(os.listdir(local))
+    B.run_build(spark, B.default_sources(spark, SF_SMALL), f"{tmp_dir}/s")
+    assert len(os.listdir(local)) == n
+
+
+def test_intermediate_data_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from pairforge.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Ctx(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
