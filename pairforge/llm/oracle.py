@@ -1,3 +1,83 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, written from their contracts.
 
-SQL: dict[str, str] = {}
+Not expressible, and tested against brute force instead: extraction (op1), random
+rounding (op3), learned scores (op4), components of hashed candidates (op8) and
+tokenizer output (op10).
+"""
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _starts(width: int) -> str:
+    return f"unnest(generate_series(1, len(ws) - {width - 1}))"
+
+
+QUALITY = rf"""WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS k FROM (SELECT doc_id, ws, {_starts(8)} AS i FROM w)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM twice) GROUP BY doc_id),
+m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(generate_series(2, len(ws)), lambda i: ws[i] = ws[i - 1])) AS n_stutter
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 10 * n_stutter > 3 * n_words
+       OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept FROM b"""
+
+LINES = f"""WITH l AS (
+  SELECT doc_id, line, i, translate(trim(line, {SPACE}), '{UPPER}', '{LOWER}') AS key
+  FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+hot AS (SELECT key, max(doc_id) AS last_doc FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT l.doc_id, line, i, coalesce(l.doc_id <> hot.last_doc, false) AS gone FROM l LEFT JOIN hot ON hot.key = l.key)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
+
+_ITEM_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+LEAKS = f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, ws, least(len(ws), 10) AS span
+  FROM (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL) WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item_id, span, array_to_string(ws[i:i+span-1], ' ') AS k
+  FROM (SELECT *, unnest(generate_series(1, len(ws) - span + 1)) AS i FROM b)),
+d AS (SELECT doc_id, {_ITEM_WORDS} AS ws FROM documents),
+dw AS (SELECT doc_id, span, i, array_to_string(ws[i:i+span-1], ' ') AS k
+  FROM (SELECT doc_id, ws, span, unnest(generate_series(1, len(ws) - span + 1)) AS i FROM d, (SELECT DISTINCT span FROM bw))),
+h AS (SELECT doc_id, dw.span, i, item_id FROM dw JOIN bw ON bw.span = dw.span AND bw.k = dw.k),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + span - 1)) AS p FROM h) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(its.n, 0) AS BIGINT) AS n_items, sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
+
+REPEATS = f"""WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i+34], ' ') AS k FROM (SELECT doc_id, ws, {_starts(35)} AS i FROM w)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY k) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM twice),
+one AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT one.doc_id, string_agg(word, ' ' ORDER BY one.p) FILTER (gone.p IS NULL) AS k, count(gone.p) AS n
+  FROM one LEFT JOIN gone ON gone.doc_id = one.doc_id AND gone.p = one.p GROUP BY one.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.k, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+_BASE32 = " || ".join(
+    f"substr('{UPPER}234567', CAST(((CAST('0x' || substr(hex, {5 * g + 1}, 5) AS BIGINT) >> {s}) & 31) + 1 AS BIGINT), 1)" for g in range(8) for s in (15, 10, 5, 0)
+)
+ARCHIVES = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS lead FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> lead THEN lead END AS refers_to FROM g"""
+
+SQL: dict[str, str] = {
+    "op2_quality_ledger": QUALITY,
+    "op5_line_dedup": LINES,
+    "op6_decontaminate": LEAKS,
+    "op7_substring_dedup": REPEATS,
+    "op9_warc": ARCHIVES,
+}
