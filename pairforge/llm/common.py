@@ -34,6 +34,17 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"_c{cols.index(n)}").alias(n) for n in names])
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns renamed by place, its key as ``__id`` (doc_id) and
+    ``__hash`` (of the text), and the way back to its own columns; for functions
+    that return whole rows, whatever the columns are called."""
+    cols = docs.columns
+    own = [f"_c{i}" for i in range(len(cols))]
+    plain = docs.toDF(*own)
+    plain = plain.withColumns({"__id": F.col(own[cols.index("doc_id")]).cast("bigint"), "__hash": F.xxhash64(own[cols.index("text")])})
+    return plain, lambda df: df.select(*own).toDF(*cols)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import pick, saved, small, table
+from pairforge.llm.common import pick, positional, saved, small, table
 from pairforge.llm.quality import gram_hashes, hashes, let, split_words
 
 SPAN = 10
@@ -170,8 +170,9 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFr
 def clean(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
     """The rows of ``docs`` without a benchmark window."""
     bad = contamination(docs, items, span).filter("contaminated").select(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).distinct()
-    at = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__tie"))
-    return docs.join(small(saved(bad, "bench-bad")), at, "left_anti")
+    plain, back = positional(docs)
+    at = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__tie"))
+    return back(plain.join(small(saved(bad, "bench-bad")), at, "left_anti"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import pick, saved, small, table
+from pairforge.llm.common import pick, positional, saved, small, table
 from pairforge.llm.quality import split_words
 
 WEIGHTS = (1, 2, 3)
@@ -193,12 +193,13 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     doc_id and text are one unit here; its copies are summed."""
     copies = mix(docs, **options).groupBy("doc_id", "tie").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
     copies = saved(copies, "mix-copies").withColumnsRenamed({"doc_id": "__doc", "tie": "__tie"})
-    at = F.col("__doc").eqNullSafe(F.col("doc_id").cast("bigint")) & (F.col("__tie") == F.xxhash64("text"))
-    got = docs.join(small(copies.filter(F.col("__copies") > 0)), at)
+    plain, back = positional(docs)
+    at = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__tie"))
+    got = plain.join(small(copies.filter(F.col("__copies") > 0)), at)
     repeated = copies.filter(F.col("__rows") > 1).limit(1).count() > 0
     if repeated:  # else no shuffle for it
         got = got.dropDuplicates(["__doc", "__tie"])
-    return got.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])
+    return back(got.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies")))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

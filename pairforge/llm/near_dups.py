@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import WS, Words, chunks, column, frugal, lut, mix64, pick, powers_pair, saved, small, table, tune
+from pairforge.llm.common import WS, Words, chunks, column, frugal, lut, mix64, pick, positional, powers_pair, saved, small, table, tune
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
@@ -383,14 +383,15 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     doc_id one stays. A class without any doc_id keeps its rows."""
     c = classes(docs, **options)
     drop = c.filter("doc_id <> class_id OR doc_id IS NULL AND class_id IS NOT NULL").select(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).distinct()
-    at = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__tie"))
-    kept = docs.join(small(saved(drop, "near-drop")), at, "left_anti")
+    plain, back = positional(docs)
+    at = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__tie"))
+    kept = plain.join(small(saved(drop, "near-drop")), at, "left_anti")
     ids = pick(docs, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND doc_id IS NOT NULL")
     twice = saved(ids.select(F.col("doc_id").alias("__doc")), "near-twice")
     if twice.limit(1).count():  # texts are shuffled for repeated ids only
-        again = kept.join(small(twice), F.col("doc_id") == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(small(twice), F.col("doc_id") == F.col("__doc"), "left_anti").unionByName(again)
-    return kept
+        again = kept.join(small(twice), F.col("__id") == F.col("__doc"), "left_semi").dropDuplicates(["__id"])
+        kept = kept.join(small(twice), F.col("__id") == F.col("__doc"), "left_anti").unionByName(again)
+    return back(kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
