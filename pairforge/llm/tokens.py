@@ -37,7 +37,7 @@ from pairforge.session import scratch_path
 
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
-MAX_CACHED = 350_000
+MAX_CACHED = 500_000
 JOINED = 32
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -118,6 +118,16 @@ class Encoder:
         self.index, self.ids = _Index(), np.zeros(0, np.uint32)
         self.offset, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _shrink(self) -> None:
+        """Forget the pieces learned last, beyond the bound: those seen first are
+        the frequent ones."""
+        over = len(self.index) - MAX_CACHED
+        if over > 0:
+            for _ in range(over):
+                self.index.popitem()
+            self.offset, self.length = self.offset[:MAX_CACHED], self.length[:MAX_CACHED]
+            self.ids = self.ids[: self.offset[-1] + self.length[-1]]
+
     def _encode_whole(self, text: str) -> list[int]:
         if self.whole is None:
             from tokenizers import Tokenizer
@@ -142,8 +152,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text with the end id."""
-        if len(self.index) > MAX_CACHED:
-            self._clear()
+        self._shrink()
         out: list[np.ndarray | None] = [None] * len(texts)
         at: list[np.ndarray] = [np.zeros(0, np.int32)]
         bounds, where = [0], []
