@@ -7,16 +7,18 @@ scale. Instead the threshold key is found with a few aggregation passes whose
 results are bounded (a histogram or a sample), then a single narrow filter
 ``key <= threshold`` selects the rows.
 
-Two strategies:
+The strategies:
 
 * ``kth_hex_key``: the leading order column is a uniform hex digest (md5). A
   prefix histogram (up to 4 hex digits = 65,536 buckets per pass, partially
   aggregated map-side) narrows the candidates up to 65,536-fold per pass.
+* ``kth_digest``: the same histogram for digests that may repeat.
 * ``kth_key``: any order. Floyd-Rivest style: a bounded random sample brackets
   the target rank, one counting pass confirms the bracket, repeat until the
   bracket holds at most ``window_rows`` keys, which are then fetched.
 
-Keys must be unique and non-NULL (callers add a row key as last column). Every
+Keys must be non-NULL and, but for ``kth_digest``, unique (callers add a row
+key as last column). Every
 driver-side collection is bounded by ``window_rows`` (a few hundred keys),
 ``MAX_SAMPLE`` or the 65,536-bucket histogram, independent of the data size;
 there is no shortcut that fetches all keys of a larger input.
@@ -171,16 +173,48 @@ def kth_hex_key(
     n = keys.count() if total is None else total
     if k >= n:
         return None
+    prefix, c, r = _narrow_hex(keys, hex_col, k, n, window_rows, width)
+    cand = keys.filter(F.startswith(F.col(hex_col), F.lit(prefix)))
+    if c <= window_rows:
+        return _fetch_sorted(cand, cols, c)[r - 1]
+    # Same digest on more rows than the window: order by tie columns only.
+    return kth_key(cand, cols, r, total=c, window_rows=window_rows)
+
+
+def kth_digest(
+    df: DataFrame,
+    hex_col: str,
+    k: int,
+    *,
+    total: int | None = None,
+    window_rows: int = WINDOW_ROWS,
+    width: int | None = None,
+) -> tuple[str, int] | None:
+    """For digests that may repeat: the k-th smallest digest and how many of its
+    rows are among the first ``k``. None when ``k`` >= the row count."""
+    if k <= 0:
+        raise ValueError("k must be positive")
+    keys = df.select(hex_col)
+    n = keys.count() if total is None else total
+    if k >= n:
+        return None
+    prefix, c, r = _narrow_hex(keys, hex_col, k, n, window_rows, width)
+    if c > window_rows:
+        return prefix, r
+    found = _fetch_sorted(keys.filter(F.startswith(F.col(hex_col), F.lit(prefix))), [hex_col], c)
+    return found[r - 1][0], r - found.index(found[r - 1])
+
+
+def _narrow_hex(keys: DataFrame, hex_col: str, k: int, n: int, window_rows: int, width: int | None) -> tuple[str, int, int]:
+    """(prefix, rows, rank): the k-th of ``n`` digests is the rank-th of the rows
+    with that prefix; at most ``window_rows`` of them, or all with one digest."""
     prefix, c, r = "", n, k
-    while True:
+    while c > window_rows:
         cand = keys if not prefix else keys.filter(F.startswith(F.col(hex_col), F.lit(prefix)))
-        if c <= window_rows:
-            return _fetch_sorted(cand, cols, c)[r - 1]
         if width is None:
             width = len(keys.select(hex_col).first()[0])
         if len(prefix) >= width:
-            # Same digest on more rows than the window: order by tie columns only.
-            return kth_key(cand, cols, r, total=c, window_rows=window_rows)
+            break
         # as many digits as leave about a window in a bucket, HEX_STEP at most
         step = max(1, min(HEX_STEP, math.ceil(math.log(c / window_rows, 16))))
         plen = min(len(prefix) + step, width)
@@ -197,6 +231,7 @@ def kth_hex_key(
             r -= h["n"]
         else:  # pragma: no cover - counts are consistent
             raise RuntimeError("rank outside histogram")
+    return prefix, c, r
 
 
 def le_key(cols: Sequence[str], key: tuple, df: DataFrame) -> Column:

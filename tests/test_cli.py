@@ -61,9 +61,10 @@ def test_rewrite(spark, tmp_dir, capsys):
 
 
 def test_subsample_files_exact_and_stable(spark, tmp_dir, capsys):
+    import glob
     import hashlib
 
-    from pairforge.plans.subsample import keyed_lines, subsample_files
+    from pairforge.plans.subsample import subsample_files
 
     src = f"{tmp_dir}/src.parquet"
     rows = [(f"{L51} {i}", f"{L51} plain {i}") for i in range(120)]
@@ -73,24 +74,44 @@ def test_subsample_files_exact_and_stable(spark, tmp_dir, capsys):
     capsys.readouterr()
     kept = {r["split"]: r["records"] for r in subsample_files(spark, out, f"{tmp_dir}/sub", {"train": 25, "val": 5}).collect()}
     assert kept == {"train": 25, "val": 5}
-    # the line keys do not depend on the split size Spark reads with
-    a = {r["line_key"] for r in keyed_lines(spark, out).collect()}
+    # the kept lines are the first of the seeded permutation, in its order
+    def in_order(path, split):
+        files = sorted(glob.glob(f"{path}/split={split}/part-*"))
+        return [x for f in files for x in open(f, encoding="utf-8").read().splitlines()]
+
+    for split, n in (("train", 25), ("val", 5)):
+        lines = in_order(out, split)
+        assert len(lines) == {"train": 108, "val": 12}[split]
+        first = sorted(lines, key=lambda v: hashlib.md5(f"42|{v}".encode()).hexdigest())[:n]
+        assert in_order(f"{tmp_dir}/sub", split) == first
+    # and do not depend on the split size Spark reads with
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
     try:
-        b = {r["line_key"] for r in keyed_lines(spark, out).collect()}
+        subsample_files(spark, out, f"{tmp_dir}/sub-small", {"train": 25, "val": 5}).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert a == b and len(a) == 120
-    # the kept val lines are the first 5 of the seeded permutation
-    lines = keyed_lines(spark, out).filter("split = 'val'").collect()
-    first = sorted(lines, key=lambda r: (hashlib.md5(f"42|{r['value']}".encode()).hexdigest(), r["line_key"]))[:5]
-    got = {r["value"] for r in spark.read.text(f"{tmp_dir}/sub").filter("split = 'val'").collect()}
-    assert got == {r["value"] for r in first}
+    for split in ("train", "val"):
+        assert in_order(f"{tmp_dir}/sub-small", split) == in_order(f"{tmp_dir}/sub", split)
     main(["subsample", out, "--out", f"{tmp_dir}/sub2", "--size", "train=7"], spark=spark)
     assert "train: 7 records" in capsys.readouterr().out
 
 
+def test_subsample_with_one_line_in_most_rows(spark):
+    import hashlib
+    from collections import Counter
+
+    from pairforge.plans.subsample import first_lines
+
+    texts = ["the same"] * 900 + [f"line {i}" for i in range(300)] + ["twice"] * 2
+    lines = spark.createDataFrame([("train", t) for t in texts], "split string, value string").repartition(5)
+    ordered = sorted(texts, key=lambda v: hashlib.md5(f"42|{v}".encode()).hexdigest())
+    at = ordered.index("the same")
+    for n in (0, 1, at, at + 1, at + 450, at + 900, at + 901, 1201, 1202, 5000):
+        got = Counter(r["value"] for r in first_lines(lines, n).collect())
+        assert got == Counter(ordered[:n]), n
+
+
 def test_check_raises_on_a_line_that_is_not_json(spark, tmp_dir, capsys):
     import pytest
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from pairforge.operators.select import kth_hex_key, kth_key
+from pairforge.operators.select import kth_digest, kth_hex_key, kth_key
 
 
 def test_kth_key_matches_sort_on_sampling_path(spark):
@@ -29,6 +29,17 @@ def test_kth_hex_key_with_colliding_digests(spark):
     assert kth_hex_key(df, "h", ["k"], 123, window_rows=30) == ("ab" * 16, "00122")
 
 
+def test_kth_digest_counts_the_rows_of_the_threshold(spark):
+    # digests of 1 to 40 rows each, and one of 400
+    n = F.when(F.col("id") == 7, 400).otherwise(F.pmod("id", F.lit(40)) + 1)
+    df = spark.range(120).withColumn("i", F.explode(F.sequence(F.lit(1), n))).select(F.md5(F.col("id").cast("string")).alias("h"))
+    rows = sorted(r["h"] for r in df.collect())
+    hot = rows.index(max(set(rows), key=rows.count))
+    for k in (1, 55, hot, hot + 1, hot + 200, hot + 400, hot + 401, len(rows) - 1):
+        assert kth_digest(df, "h", k, window_rows=30) == (rows[k - 1], k - rows.index(rows[k - 1])), k
+    assert kth_digest(df, "h", len(rows)) is None
+
+
 def test_kth_key_with_a_hot_prefix(spark):
     # one file (o_part 1) holds two thirds of all rows; selection stays exact
     rows = [(0, "a", i) for i in range(300)] + [(1, "b", i) for i in range(2000)] + [(2, "c", i) for i in range(700)]
