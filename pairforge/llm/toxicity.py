@@ -13,7 +13,8 @@ corpus, and travels to the scoring tasks. Every whole text is scored.
 
 A doc_id is labelled toxic if any of its label rows says so; null labels and
 labels of documents that do not exist are ignored. Null and empty texts get the
-score of the intercept. Repeated rows get equal scores. Without training rows
+score of the intercept. Repeated rows get equal scores; of the texts that share a
+doc_id, training takes the smallest. Without training rows
 all scores are 0.5's lower neighbour 0.0 (nothing is predicted toxic). An empty
 table gives no rows. Other columns are passed through by ``scored``.
 """
@@ -116,6 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int
     chosen = y.orderBy("rank", "doc_id").limit(rows).withColumn("shard", F.pmod(F.shiftright("rank", 8), F.lit(shards)))
     text = pick(docs, "doc_id", "text").filter("text IS NOT NULL")
     pairs = text.join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of 40 bytes
+    # one text per doc_id, or a repeated one would pass the bound
+    pairs = pairs.groupBy("doc_id", "rank", "shard", "y").agg(F.min("text").alias("text"))
     models = pairs.groupBy("shard").applyInPandas(_train_shard, "at bigint, w double")
     got = models.groupBy("at").agg((F.sum("w") / F.lit(shards)).alias("w")).orderBy("at").toPandas()
     return got["at"].to_numpy(np.int64), got["w"].to_numpy(np.float64)
