@@ -139,6 +139,10 @@ def test_toxicity(spark, docs, none, rows):
     assert len(out) == len(rows) and all(0 <= x["s"] <= 1 for x in out)
     assert toxicity.scored(none, labels, "s").count() == 0
     assert all(x["s"] < 0.5 for x in toxicity.scored(docs, labels.limit(0), "s").collect())
+    # rows that repeat a doc_id leave the model as it is
+    again = train.select("doc_id", "text").union(spark.createDataFrame([(7, "~ a later text")] * 50 + [(made[8][0], made[8][1])], "doc_id bigint, text string"))
+    for a, b in zip(toxicity.fit(train, labels), toxicity.fit(again, labels)):
+        assert np.array_equal(a, b)
 
 
 def test_lines(spark, docs, none, rows):
