@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.text import char_length, py_strip, stringify, truncate
 from pairforge.operators.select import kth_key, le_key
 from pairforge.session import literal_frame
-from pairforge.sources.parquet import ordered_files, pick_columns, scan_ordered, select_by_position
+from pairforge.sources.parquet import ordered_files, pick_columns, relative_path, scan_ordered, select_by_position
 
 ORDER_COLS = ["o_part", "o_file", "o_row"]
 PAIR_COLUMNS = ["source", "source_ord", *ORDER_COLS, "pair_key", "abstract", "plain_summary"]
@@ -81,19 +81,28 @@ def parquet_source(
 
 def json_array_source(spark: SparkSession, name: str, path: str, cap: int | None = None) -> PairSource | None:
     """Pair source over a file holding one JSON array of pair objects
-    (``abstract``, ``plain_summary``); None when the file is missing (skipped).
+    (``abstract``, ``plain_summary``), or over a folder of such files in path
+    order; None when it is missing (skipped).
 
     Such a file is read by one task, so ``monotonically_increasing_id`` follows
-    the array order and serves as the row order.
+    the array order; less the first id of the file it is the row order, however
+    files are packed into tasks.
     """
     from pairforge.sources.splits import read_json_array
 
     df = read_json_array(spark, path)
     if df is None:
         return None
-    frame = df.select("abstract", "plain_summary", F.monotonically_increasing_id().alias("row"))
-    return PairSource(name=name, frame=frame, order=(None, None, "row"), key_cols=("row",), cap=cap,
-                      columns=("abstract", "plain_summary"))
+    pair = ("abstract", "plain_summary")
+    if len(df.inputFiles()) <= 1:
+        frame = df.select(*pair, F.monotonically_increasing_id().alias("row"))
+        return PairSource(name=name, frame=frame, order=(None, None, "row"), key_cols=("row",), cap=cap, columns=pair)
+    rows = df.select(*pair, F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"))
+    first = rows.groupBy("file_path").agg(F.min("id").alias("first"))  # a row per file
+    frame = rows.join(F.broadcast(first), "file_path").select(
+        *pair, "file_path", relative_path(F.col("file_path"), path).alias("rel_path"), (F.col("id") - F.col("first")).alias("row")
+    )
+    return PairSource(name=name, frame=frame, order=(None, "file_path", "row"), key_cols=("rel_path", "row"), cap=cap, columns=pair)
 
 
 def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], src: PairSource) -> DataFrame:

@@ -43,12 +43,13 @@ from pairforge.sources.jsonl import bad_lines, line_numbers, parse_lines, read_l
 from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
-from pairforge.sources.splits import read_splits, write_splits
+from pairforge.sources.splits import read_splits, write_json_arrays, write_splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 SUBSAMPLE_SIZES = {"train": 300, "val": 50}
 CAP_TEST = {"conv": 100, "doc": 200}
 FILES_CAP = 120
+ARRAY_ROWS = 1000  # pairs of one JSON array file
 
 
 def _flat_messages(df: DataFrame, n: int, keep: list[str]) -> DataFrame:
@@ -164,21 +165,24 @@ def q_split_order(spark, sf):
     return numbered.join(files, "file_path").select("split", (F.col("before") + F.col("line_no") - 1).alias("position"), "value")
 
 
+def _in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """Range partitioned and sorted: file names, then rows, follow the order."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def q_file_sources(spark, sf):
-    """File sources in order: a sorted file, a partitioned folder, a folder that
-    lacks the text columns; capped, beside a disabled source, a JSON array and a
-    missing one. All rows of both pair views go into the files."""
+    """File sources in order: a folder of sorted files, a partitioned folder, a
+    folder that lacks the text columns; capped, beside a disabled source, a folder
+    of JSON arrays and a missing one. All rows of both pair views go into the files."""
     root = scratch_path(spark, "files")
     conv = pairs_conv(spark, sf).withColumnsRenamed({"query": "Query", "answer": "Answer"})
     third = F.pmod("conv_id", F.lit(3))
-    conv.filter(third == 0).coalesce(1).sortWithinPartitions("conv_id", "turn").write.parquet(f"{root}/a")
-    conv.filter(third == 1).withColumn("p", F.pmod("turn", F.lit(4))).repartition(1).sortWithinPartitions("p", "conv_id", "turn").write.partitionBy("p").parquet(f"{root}/b")
-    conv.filter(third == 2).select("conv_id", "turn").coalesce(1).write.parquet(f"{root}/c")
+    _in_ranges(conv.filter(third == 0), "conv_id", "turn").write.parquet(f"{root}/a")
+    b = conv.filter(third == 1).withColumn("p", F.pmod("turn", F.lit(4)))
+    _in_ranges(b, "p", "conv_id", "turn").write.partitionBy("p").parquet(f"{root}/b")
+    conv.filter(third == 2).select("conv_id", "turn").write.parquet(f"{root}/c")
     docs = pairs_doc(spark, sf).select("doc_id", F.col("Source").alias("abstract"), F.col("Target").alias("plain_summary"))
-    arr = docs.coalesce(1).sortWithinPartitions("doc_id").select(F.to_json(F.struct("abstract", "plain_summary")).alias("value"))
-    arr.write.option("lineSep", ",\n").text(f"{root}/objects")
-    body = spark.read.text(f"{root}/objects", wholetext=True)  # one file: such a source is one JSON text
-    body.select(F.concat(F.lit("["), F.regexp_replace("value", r",\s*$", ""), F.lit("]")).alias("value")).coalesce(1).write.text(f"{root}/array")
+    write_json_arrays(docs, "doc_id", f"{root}/array", ARRAY_ROWS)
     paths = [f"{root}/a", f"{root}/b", f"{root}/c"]
     srcs = [
         parquet_source(spark, "files", paths, cap=FILES_CAP),

@@ -5,7 +5,8 @@
   (``partitionBy("split")``), so reading one split prunes the other.
 * ``read_splits``: typed read of the split directories back into one frame with
   a ``split`` column.
-* ``read_json_array``: a file holding one JSON array of pair objects.
+* ``read_json_array``: a file holding one JSON array of pair objects, or a folder
+  of such files; ``write_json_arrays`` writes one.
 * ``path_report``: existence of each input path; missing ones are reported,
   not raised.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.operators.chat import MESSAGE_TYPE
@@ -56,11 +57,31 @@ def read_splits(spark: SparkSession, out_dir: str, splits: Sequence[str] = ("tra
     return df.filter(F.col("split").isin(list(splits)))
 
 
+def write_json_arrays(rows: DataFrame, key: str, path: str, max_rows: int) -> None:
+    """A folder of JSON array files (gzip) of at most ``max_rows`` objects (the columns
+    but ``key``, a whole number). File paths, then objects, follow ``key``."""
+    group = F.expr(f"`{key}` div {max_rows}")
+    w = Window.partitionBy("group").orderBy(key)
+    # sorted by the partition columns and place, as the writer keeps it
+    placed = rows.withColumn("group", group).repartitionByRange("group").withColumn("place", F.row_number().over(w) - 1)
+    placed = placed.withColumn("last", F.lead("place").over(w).isNull() | (F.col("place") % max_rows == max_rows - 1))
+    value = F.concat(
+        F.when(F.col("place") % max_rows == 0, F.lit("[")).otherwise(F.lit(",")),
+        F.to_json(F.struct(*[c for c in rows.columns if c != key])),
+        F.when(F.col("last"), F.lit("]")).otherwise(F.lit("")),
+    )
+    # numbers of one width, so that paths sort as they do
+    group, part = F.col("group") + 10**17, F.expr(f"place div {max_rows}") + 10**10
+    placed = placed.select(group.alias("group"), part.alias("part"), "place", value.alias("value"))
+    placed.sortWithinPartitions("group", "part", "place").select("group", "part", "value").write.partitionBy("group", "part").text(path, compression="gzip")
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> DataFrame | None:
-    """A file holding one JSON array of objects; None (skipped) when missing.
+    """A file holding one JSON array of objects, or a folder of them; None
+    (skipped) when missing.
 
-    A multi-line JSON file is read by one task; prefer JSON lines or Parquet for
-    large inputs.
+    A multi-line JSON file is read by one task; prefer many of them, JSON lines
+    or Parquet for large inputs.
     """
     if not path_exists(spark, path):
         return None
