@@ -50,6 +50,12 @@ BAD_NAME = re.compile(
     re.I,
 )
 GOOD_NAME = re.compile(r"(?:^|[-_\s])(?:article\w*|main\w*|content|entry\w*|post|post-?(?:body|content|text)|story\w*|text|body)(?:$|[-_\s])", re.I)
+# said of a page's layout, not of what the element is: has-sidebar, content-sidebar-wrap
+LAYOUT = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[-_]\S*|(?<!\S)(?=\S*(?:content|layout|page|body))\S*[-_]wrap(?:per)?(?!\S)", re.I)
+# boxes that hold articles of their own
+LISTING = re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|replies|reply|respond|disqus|related|recommend\w*|sponsor\w*|promo\w*)(?:$|[-_\s\d])", re.I)
+# a bad name on such an element speaks against its blocks, and no more than this
+BOXES, NAMED = {"div", "section", "center", "table", "tbody", "tr", "td"}, 5.0
 ADJACENT, SAME_BOX = 0.5, 1.0
 
 
@@ -63,17 +69,21 @@ class Block:
     depth: int
 
 
-def _element_cost(tag: str, attrs: str, inherited: float, in_article: bool) -> float:
-    cost = TAG_COST.get(tag, 0.0)
+def _element_cost(tag: str, attrs: str, inherited: float, in_article: bool, listing: bool) -> tuple[float, bool]:
+    """(cost of the blocks inside, whether they lie in a listing). Tags, roles and
+    hidden elements of boilerplate settle all that they hold. A bad name on a box
+    costs ``NAMED``, until a <main> or <article> inside begins anew."""
+    cost, main, named, lists = TAG_COST.get(tag, 0.0), tag == "main", False, False
     if tag == "header" and not in_article:
         cost = -STRONG
     if attrs and not attrs.isspace():
         for name, value in ATTRIBUTE.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
-                if BAD_NAME.search(value) and tag not in ("html", "body", "article", "main"):
-                    cost = min(cost, -STRONG)
-                elif GOOD_NAME.search(value) and cost >= 0:
+                plain = LAYOUT.sub(" ", value)
+                if BAD_NAME.search(plain) and tag not in ("html", "body", "main"):
+                    named, lists = True, lists or bool(LISTING.search(plain))
+                elif GOOD_NAME.search(value) and cost >= 0 and not listing:
                     cost += 1.5
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 cost = min(cost, -2 * STRONG)
@@ -81,14 +91,27 @@ def _element_cost(tag: str, attrs: str, inherited: float, in_article: bool) -> f
                 cost = min(cost, -STRONG)
             elif name == "role" and value in ("main", "article") and cost >= 0:
                 cost += 2.5
+                main = main or value == "main"
+    if named and not main and tag != "article" and tag not in BOXES:
+        cost = min(cost, -STRONG)
     # what lies inside a box of boilerplate stays there
-    return min(inherited, 0.0) + cost if inherited <= -STRONG / 2 and cost <= 0 else inherited if inherited <= -STRONG / 2 else cost if cost <= -STRONG / 2 else min(inherited + cost, 6.0)
+    if inherited <= -STRONG / 2:
+        return min(inherited, 0.0) + cost if cost <= 0 else inherited, listing
+    if cost <= -STRONG / 2:
+        return cost, listing
+    if main or tag == "article" and not named and not listing:
+        inherited, listing = max(inherited, 0.0), False
+    elif named and tag != "article":
+        return -NAMED, listing or lists
+    elif inherited < 0 and tag == "article":
+        cost = 0.0
+    return min(inherited + cost, 6.0), listing
 
 
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
-    # (tag, cost, container number, inside an article)
-    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
+    # (tag, cost, container number, inside an article, inside a listing)
+    stack: list[tuple[str, float, int, bool, bool]] = [("", 0.0, 0, False, False)]
     parts: list[str] = []
     links = in_link = boxes = 0
     at, n = 0, len(page)
@@ -165,8 +188,9 @@ def blocks_of(page: str) -> list[Block]:
                     stack.pop()
             if not m[3].endswith("/"):
                 boxes += 1
-                _, cost, _, article = stack[-1]
-                stack.append((tag, _element_cost(tag, m[3], cost, article), boxes, article or tag in ("article", "main")))
+                _, cost, _, article, listing = stack[-1]
+                cost, listing = _element_cost(tag, m[3], cost, article, listing)
+                stack.append((tag, cost, boxes, article or tag in ("article", "main"), listing))
     flush()
     return out
 
