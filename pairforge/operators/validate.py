@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.text import py_str_repr, py_strip, word_count
 from pairforge.operators.chat import render_prompt
 from pairforge.operators.select import kth_key, lex_cmp, _dtypes
+from pairforge.sources.jsonl import TOO_LONG
 
 # Fixed value: the role order every record must have.
 EXPECTED_ROLES = ["system", "user", "assistant"]
@@ -151,7 +152,10 @@ def validate_records(df: DataFrame, record_col: str = "record") -> DataFrame:
     ``messages`` array."""
     if _is_typed(df, record_col):
         return df.withColumn("problems", typed_problems(F.col(record_col)))
-    return df.withColumn("problems", record_problems(F.col(record_col)))
+    problems = record_problems(F.col(record_col))
+    if "too_long" in df.columns:  # from ``parse_lines``: such a line has no record to check
+        problems = F.when(F.col("too_long"), F.array(F.lit(TOO_LONG))).otherwise(problems)
+    return df.withColumn("problems", problems)
 
 
 def invalid_records(validated: DataFrame) -> DataFrame:
@@ -271,17 +275,18 @@ def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataF
     ``file, first, bad, role, wc`` where ``first`` marks one row per record and
     ``wc`` is set only for the stats roles."""
     bad = F.size("problems") > 0
-    # lines that are not JSON (a ``valid`` column from ``parse_lines``) are
-    # counted apart and never as records
+    # lines that are not JSON or too long (``valid`` and ``too_long`` columns from
+    # ``parse_lines``) are counted apart and never as records
     ok = F.col("valid") if "valid" in validated.columns else F.lit(True)
-    validated = validated.select(file_col, record_col, "problems", ok.alias("ok"))
+    long = F.col("too_long") if "too_long" in validated.columns else F.lit(False)
+    validated = validated.select(file_col, record_col, "problems", ok.alias("ok"), long.alias("long"))
     if _is_typed(validated, record_col):
-        m = validated.select(file_col, "ok", bad.alias("bad"), F.posexplode_outer(F.col(record_col)).alias("pos", "m"))
+        m = validated.select(file_col, "ok", "long", bad.alias("bad"), F.posexplode_outer(F.col(record_col)).alias("pos", "m"))
         role = F.col("m")["role"]
         wc = F.coalesce(word_count(F.col("m")["content"]), F.lit(0))
     else:
         m = validated.select(
-            file_col, "ok", bad.alias("bad"), F.posexplode_outer(messages_of(F.col(record_col))).alias("pos", "m")
+            file_col, "ok", "long", bad.alias("bad"), F.posexplode_outer(messages_of(F.col(record_col))).alias("pos", "m")
         )
         role = _as_string(_field(F.col("m"), "role"))
         c = _field(F.col("m"), "content")
@@ -291,6 +296,7 @@ def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataF
         file_col,
         first.alias("first"),
         "ok",
+        "long",
         "bad",
         role.alias("role"),
         F.when(role.isin(STAT_ROLES), wc).cast("bigint").alias("wc"),
@@ -313,13 +319,15 @@ def validation_summary(
         F.grouping_id().alias("level"),
         F.count_if(F.col("first") & F.col("ok")).alias("records"),
         F.count_if(F.col("first") & F.col("ok") & F.col("bad")).alias("invalid"),
-        F.count_if(F.col("first") & ~F.col("ok")).alias("bad_json"),
+        F.count_if(F.col("first") & ~F.col("ok") & ~F.col("long")).alias("bad_json"),
+        F.count_if(F.col("first") & F.col("long")).alias("too_long"),
         *_stats_aggs_nullable(),
     )
     per_file = levels.groupBy(file_col).agg(
         F.max(F.when(F.col("level") == 1, F.col("records"))).alias("records"),
         F.max(F.when(F.col("level") == 1, F.col("invalid"))).alias("invalid"),
         F.max(F.when(F.col("level") == 1, F.col("bad_json"))).alias("bad_json"),
+        F.max(F.when(F.col("level") == 1, F.col("too_long"))).alias("too_long"),
         *[
             F.max(
                 F.when(
@@ -339,7 +347,7 @@ def validation_summary(
         F.col("invalid").cast("bigint"),
         status.alias("status"),
         *[F.coalesce(F.col(f"{r}_words"), F.lit("no data")).alias(f"{r}_words") for r in STAT_ROLES],
-        *([F.col("bad_json").cast("bigint")] if with_bad_json else []),
+        *([F.col(c).cast("bigint") for c in ("bad_json", "too_long")] if with_bad_json else []),
     )
 
 

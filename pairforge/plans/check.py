@@ -37,11 +37,11 @@ def check_split_files(spark: SparkSession, out_dir: str, splits: Sequence[str] =
     splits that have no files are listed as missing, with 0 records."""
     if not any(path_exists(spark, f"{out_dir}/split={s}") for s in splits):
         return literal_frame(spark, [_absent(s) for s in splits], REPORT)
-    # one pass: the summary also counts lines that are not JSON; only when there
-    # are any is the first one located (with its line number) and raised
+    # one pass: the summary also counts lines that are not JSON or too long; only
+    # when there are any is the first one located (with its line number) and raised
     parsed = load_jsonl(spark, out_dir, mode="collect").withColumnRenamed("split", "file")
     rows = validation_summary(validate_records(parsed), "file", with_bad_json=True).collect()
-    if any(r["bad_json"] for r in rows):
+    if any(r["bad_json"] or r["too_long"] for r in rows):
         load_jsonl(spark, out_dir, mode="failfast")  # raises JsonLinesError naming file and line
-    found = {r["file"]: tuple(r)[:-1] for r in rows}
+    found = {r["file"]: tuple(r)[:-2] for r in rows}
     return literal_frame(spark, [*found.values(), *(_absent(x) for x in splits if x not in found)], REPORT)

@@ -39,7 +39,7 @@ from pairforge.operators.validate import (
 from pairforge.plans.check import check_split_files, first_record
 from pairforge.plans.subsample import subsample_files
 from pairforge.plans.views import chat_records, pairs_conv, pairs_doc, table
-from pairforge.sources.jsonl import bad_lines, line_numbers, parse_lines, read_lines
+from pairforge.sources.jsonl import INVALID, bad_lines, line_numbers, parse_lines, read_lines
 from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
@@ -198,7 +198,7 @@ def q_bad_lines(spark, sf):
     fifth ``props`` loses its last character, every seventh is blank."""
     out = scratch_path(spark, "hostile")
     hostile_props(spark, sf).coalesce(1).sortWithinPartitions("line_no").select("value").write.text(out)
-    return bad_lines(spark, out).select("line_no", "value")
+    return bad_lines(spark, out).filter(F.col("status") == INVALID).select("line_no", "value")
 
 
 def hostile_props(spark, sf):

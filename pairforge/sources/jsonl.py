@@ -10,6 +10,12 @@ Physical 1-based line numbers are only needed for bad lines:
 ``line_numbers`` counts lines per split (a table with one row per split, i.e.
 file size / split size rows), turns them into per-file offsets with a window
 over that small table, and joins them to the lines asked for.
+
+Lines that hold a string of over ``STRING_LIMIT`` characters go through
+``from_json``, which takes longer ones. A VARIANT value holds 128 MiB; a line of
+JSON beyond that has the status ``too_long``, is not valid, and is told apart from
+lines that are not JSON. Nesting deeper than 1,000, numbers of over 1,000 digits
+and names of over 50,000 characters count as not JSON.
 """
 
 from __future__ import annotations
@@ -21,6 +27,10 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.text import py_strip
 
+# characters of a string that try_parse_json takes
+STRING_LIMIT = 20_000_000
+LONG = {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+INVALID, TOO_LONG = "invalid JSON", "too long to parse"
 LINE_ORDER = ["file_path", "block_start", "lid"]
 
 
@@ -49,6 +59,14 @@ def line_numbers(all_lines: DataFrame, wanted: DataFrame) -> DataFrame:
     ).drop("first_lid", "n_lines", "offset")
 
 
+def _wrapped(value: Column) -> tuple[Column, Column]:
+    return F.concat(F.lit("["), value, F.lit("]")), F.concat(F.lit('{"r":'), value, F.lit("}"))
+
+
+def _is_long(value: Column) -> Column:
+    return F.length(value) > STRING_LIMIT
+
+
 def strict_json(value: Column) -> tuple[Column, Column]:
     """(valid, record) for one JSON text, with ``json.loads`` strictness.
 
@@ -58,18 +76,27 @@ def strict_json(value: Column) -> tuple[Column, Column]:
     keep the last value (``spark.sql.variant.allowDuplicateKeys``). NaN and
     Infinity, which Python accepts, are rejected.
     """
-    wrapped_a = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
-    wrapped_b = F.try_parse_json(F.concat(F.lit('{"r":'), value, F.lit("}")))
+    wrapped_a, wrapped_b = (F.coalesce(F.try_parse_json(w), F.when(_is_long(value), F.from_json(w, "variant", LONG))) for w in _wrapped(value))
     valid = wrapped_a.isNotNull() & wrapped_b.isNotNull()
     record = F.when(valid, F.try_variant_get(wrapped_b, "$.r", "variant"))
     return valid, record
 
 
+def too_long(value: Column, valid: Column) -> Column:
+    """JSON that is beyond the size of a VARIANT: its syntax is read as strings."""
+    a, b = _wrapped(value)
+    object_b = F.from_json(b, "r string, bad string", {**LONG, "columnNameOfCorruptRecord": "bad"})
+    is_json = F.from_json(a, "array<string>", LONG).isNotNull() & object_b["bad"].isNull()
+    return F.when(~valid & _is_long(value), is_json).otherwise(F.lit(False))
+
+
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Drop blank lines, add ``valid`` and ``record`` (VARIANT, NULL if invalid)."""
+    """Drop blank lines, add ``valid``, ``record`` (VARIANT, NULL if not valid) and
+    ``too_long`` (JSON, but beyond the parser's limit; not valid)."""
     text = py_strip(value_col)
     valid, record = strict_json(text)
-    return lines.filter(text != F.lit("")).withColumn("valid", valid).withColumn("record", record)
+    rows = lines.filter(text != F.lit("")).withColumn("valid", valid).withColumn("record", record)
+    return rows.withColumn("too_long", too_long(text, F.col("valid")))
 
 
 class JsonLinesError(ValueError):
@@ -80,15 +107,15 @@ def load_jsonl(spark: SparkSession, paths: str | Sequence[str], mode: str = "fai
     """Parsed records of JSON-lines files.
 
     ``failfast``: raise on the first bad line (file order) naming the file and
-    its 1-based physical line, like the reference loader. ``collect``: return
-    every non-blank line with ``valid``; bad lines get ``line_no`` through
-    ``bad_lines``.
+    its 1-based physical line, like the reference loader, and whether it is not
+    JSON or too long. ``collect``: return every non-blank line with ``valid`` and
+    ``too_long``; bad lines get ``line_no`` through ``bad_lines``.
     """
     lines = read_lines(spark, paths)
     parsed = parse_lines(lines)
     if mode == "collect":
         return parsed
-    bad = parsed.filter(~F.col("valid")).select(*LINE_ORDER)
+    bad = parsed.filter(~F.col("valid")).select(*LINE_ORDER, "too_long")
     first = bad.agg(F.min(F.struct(*LINE_ORDER)).alias("k")).first()["k"]
     if first is not None:
         one = bad.filter(
@@ -97,12 +124,15 @@ def load_jsonl(spark: SparkSession, paths: str | Sequence[str], mode: str = "fai
             & (F.col("lid") == first["lid"])
         )
         row = line_numbers(lines, one).first()
-        raise JsonLinesError(f"Invalid JSON on line {row['line_no']} of {row['file_path']}")
-    return parsed.drop("valid")
+        what = "JSON too long to parse" if row["too_long"] else "Invalid JSON"
+        raise JsonLinesError(f"{what} on line {row['line_no']} of {row['file_path']}")
+    return parsed.drop("valid", "too_long")
 
 
 def bad_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``file_path, line_no, value`` of every non-blank line that is not JSON."""
+    """``file_path, line_no, value, status`` of every non-blank line without a
+    record: not JSON (``INVALID``) or beyond the parser's limit (``TOO_LONG``)."""
     lines = read_lines(spark, paths)
-    bad = parse_lines(lines).filter(~F.col("valid")).select(*LINE_ORDER, "value")
-    return line_numbers(lines, bad).select("file_path", "line_no", "value")
+    status = F.when(F.col("too_long"), F.lit(TOO_LONG)).otherwise(F.lit(INVALID))
+    bad = parse_lines(lines).filter(~F.col("valid")).select(*LINE_ORDER, "value", status.alias("status"))
+    return line_numbers(lines, bad).select("file_path", "line_no", "value", "status")
