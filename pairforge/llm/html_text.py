@@ -11,7 +11,8 @@ neighbours' costs; max-flow runs on what is left.
 Scripts, styles, markup, comments and form controls never become text; character
 references are decoded; white space in a block becomes one space. A null or empty
 html, or one without text, gives an empty text. Unclosed and crossed tags are
-closed by the next enclosing end tag; a tag cut off at the end is dropped. Rows
+closed by the next enclosing end tag, form controls and embedded contents too (or by
+a <main> or <article> inside); a tag cut off at the end is dropped. Rows
 are independent, so repeated rows give equal rows and an empty table none. Other
 columns are ignored.
 """
@@ -34,8 +35,10 @@ TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?)", re.S
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*+)\s*+(?:=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
-# contents that are not text
-RAW = {"script", "style", "title", "textarea", "template", "noscript", "iframe", "object", "svg", "select", "button", "xmp", "noframes", "canvas", "audio", "video", "datalist"}
+# contents that are not markup: without its end tag such an element takes the rest of the page
+RAW = {"script", "style", "title", "textarea"}
+# contents that are not text: skipped up to the end tag, boxes of boilerplate without one
+SKIPPED = {"template", "noscript", "iframe", "object", "svg", "select", "button", "xmp", "noframes", "canvas", "audio", "video", "datalist"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var img wbr picture map nobr center".split()
@@ -108,6 +111,38 @@ def _element_cost(tag: str, attrs: str, inherited: float, in_article: bool, list
     return min(inherited + cost, 6.0), listing
 
 
+def _after(page: str, at: int, tag: str, around: set[str]) -> int:
+    """Where the contents of a skipped element end: after its end tag, or else at an
+    end tag of the elements ``around`` it, or at a <main> or <article> before that."""
+    end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+    if end and "</" not in (inner := page[at : end.start()]) and f"<{tag}" not in inner.lower():
+        return end.end()
+    inside: list[str] = []
+    anew = stop = -1
+    while m := TAG.search(page, at):
+        at = m.end()
+        if m[2] is None:
+            continue
+        name = m[2].lower()
+        if m[1]:
+            if name in inside:
+                while inside.pop() != name:
+                    pass
+            elif name == tag:
+                return at
+            elif name in around:
+                stop = m.start()
+                break
+        elif name in RAW:
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        elif not m[3].endswith("/") and name not in VOID and (name == "a" or name not in INLINE):
+            inside.append(name)
+            if anew < 0 and name in ("main", "article"):
+                anew = m.start()
+    return anew if anew >= 0 else stop if stop >= 0 else len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     # (tag, cost, container number, inside an article, inside a listing)
@@ -168,6 +203,11 @@ def blocks_of(page: str) -> list[Block]:
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
+            parts.append(" ")
+            continue
+        if tag in SKIPPED:
+            if tag != "svg" or not m[3].endswith("/"):
+                at = _after(page, at, tag, {x[0] for x in stack[1:]} | ({"a"} if in_link else set()))
             if tag not in ("svg", "canvas"):
                 parts.append(" ")
             continue

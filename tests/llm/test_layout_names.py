@@ -33,3 +33,18 @@ def test_articles_of_a_listing_stay_in_it():
     comments = f"<section id=comments><article><p>{AD}</p></article><article class=comment-body><div class=content><p>{AD}</p></div></article></section>"
     assert main_text(FRAME.format(f"<main><article>{BODY}</article>{comments}</main>")) == TEXT
     assert main_text(FRAME.format(f"<aside><article><p>{AD}</p></article></aside><main>{BODY}</main>")) == TEXT
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "noscript", "svg", "iframe", "video"])
+@pytest.mark.parametrize("later", ["", "<div><{0}>Later</{0}></div>"])
+def test_unclosed_elements_end_with_their_box(tag, later):
+    page = f"<div><{tag} class=x><i>{AD}</div><div>{BODY}</div>" + later.format(tag)
+    assert main_text(FRAME.format(page)) == TEXT
+    assert main_text(f"<{tag}>{AD}<article>{BODY}</article>" + later.format(tag)) == TEXT
+
+
+def test_empty_svg_and_closed_elements():
+    assert main_text(f"<svg class=x/><article>{BODY}</article><svg><g></g></svg>") == TEXT
+    closed = f"<template><article><p>{AD}</p></article></template><noscript><div><p>{AD}</p></div></noscript><object><object>{AD}</object><p>{AD}</p></object>"
+    assert main_text(f"{closed}<article>{BODY}</article><script>'<p>' + {AD}") == TEXT
+    assert main_text(f"<article><p>{LONG} <select><option>a</option></select> {LONG}</p></article>") == f"{LONG} {LONG}"
