@@ -194,11 +194,16 @@ def q_file_sources(spark, sf):
 
 
 def q_bad_lines(spark, sf):
-    """Lines of a written file that are not JSON, with their line numbers: every
-    fifth ``props`` loses its last character, every seventh is blank."""
+    """Lines of written files that are not JSON, with their line numbers counted
+    through the files: every fifth ``props`` loses its last character, every seventh
+    is blank."""
     out = scratch_path(spark, "hostile")
-    hostile_props(spark, sf).coalesce(1).sortWithinPartitions("line_no").select("value").write.text(out)
-    return bad_lines(spark, out).filter(F.col("status") == INVALID).select("line_no", "value")
+    _in_ranges(hostile_props(spark, sf), "line_no").select("value").write.text(out)
+    files = read_lines(spark, out).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
+    before = F.sum("n").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
+    bad = bad_lines(spark, out).filter(F.col("status") == INVALID).join(files, "file_path")
+    return bad.select((F.col("before") + F.col("line_no")).alias("line_no"), "value")
 
 
 def hostile_props(spark, sf):

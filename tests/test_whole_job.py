@@ -44,3 +44,12 @@ def test_array_folder_keeps_order_and_keys(spark, tmp_dir):
     assert seen[0] == seen[1] and len({k for k, _ in seen[0]}) == len(rows)
     of = {a: i for i, a, _ in rows}
     assert [of[a] for _, a in seen[0] if of[a] >= 0] == [i for i in ids if i >= 0]
+
+
+def test_bad_lines_are_counted_through_sorted_files(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: f"{tmp_dir}/{name}")
+    got = sorted((r["line_no"], r["value"]) for r in Q.q_bad_lines(spark, SF_SMALL).collect())
+    assert len(glob.glob(f"{tmp_dir}/hostile/part-*")) > 1
+    lines = Q.hostile_props(spark, SF_SMALL).orderBy("line_no").collect()
+    cut = [(k, r["value"]) for k, r in enumerate(lines, 1) if (r["line_no"] - 1) % 5 == 2 and r["value"].strip()]
+    assert got == cut
