@@ -6,7 +6,7 @@ regression is trained by FTRL-proximal: each coordinate has its own learning
 rate, and an L1 threshold keeps most weights at exactly 0, so a model is a short
 list of (coordinate, weight).
 
-Training uses at most ``TRAIN_ROWS`` labelled documents (those of the smallest
+Training uses at most ``TRAIN_ROWS`` labelled documents with a text (those of the smallest
 hash; the bound is a parameter), dealt over ``SHARDS`` tasks; the shards' models
 are averaged. The list of weights has at most ``DIMS`` entries, whatever the
 corpus, and travels to the scoring tasks. Every whole text is scored.
@@ -26,11 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pairforge.llm.common import Words, chunks, column, frugal, lut, mix64, pick, powers_pair, table, tune
+from pairforge.operators.select import kth_key, le_key
 
 BITS = 18
 DIMS = 1 << BITS
@@ -113,14 +115,21 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int
     """The averaged model: coordinates and weights, at most ``DIMS`` + 1."""
     tune(docs.sparkSession)
     y = pick(labels, "doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    y = y.filter(fold(F.col("doc_id")) != HELD).withColumn("rank", F.xxhash64("doc_id"))
-    chosen = y.orderBy("rank", "doc_id").limit(rows).withColumn("shard", F.pmod(F.shiftright("rank", 8), F.lit(shards)))
-    text = pick(docs, "doc_id", "text").filter("text IS NOT NULL")
-    pairs = text.join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of 40 bytes
-    # one text per doc_id, or a repeated one would pass the bound
-    pairs = pairs.groupBy("doc_id", "rank", "shard", "y").agg(F.min("text").alias("text"))
-    models = pairs.groupBy("shard").applyInPandas(_train_shard, "at bigint, w double")
-    got = models.groupBy("at").agg((F.sum("w") / F.lit(shards)).alias("w")).orderBy("at").toPandas()
+    text = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    # labels without a text don't count for the bound; keys only
+    y = y.filter(fold(F.col("doc_id")) != HELD).join(text.select("doc_id").distinct(), "doc_id", "left_semi")
+    y = y.withColumn("rank", F.xxhash64("doc_id")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        last = kth_key(y, ["rank", "doc_id"], rows)
+        chosen = y if last is None else y.filter(le_key(["rank", "doc_id"], last, y))
+        chosen = chosen.withColumn("shard", F.pmod(F.shiftright("rank", 8), F.lit(shards)))
+        pairs = text.join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of 40 bytes
+        # one text per doc_id, or a repeated one would pass the bound
+        pairs = pairs.groupBy("doc_id", "rank", "shard", "y").agg(F.min("text").alias("text"))
+        models = pairs.groupBy("shard").applyInPandas(_train_shard, "at bigint, w double")
+        got = models.groupBy("at").agg((F.sum("w") / F.lit(shards)).alias("w")).orderBy("at").toPandas()
+    finally:
+        y.unpersist()
     return got["at"].to_numpy(np.int64), got["w"].to_numpy(np.float64)
 
 
