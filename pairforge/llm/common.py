@@ -4,6 +4,7 @@ vectorised word hashing over Arrow string buffers."""
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,11 +72,20 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADC
     return df
 
 
-def frugal(task: Callable) -> Callable:
+def kept_objects() -> dict:
+    """What a Python worker keeps between the tasks of one kind. (Functions shipped
+    by value get new globals with each task, so ``sys`` holds it.)"""
+    return sys.__dict__.setdefault("_pairforge_kept", {})
+
+
+def frugal(task: Callable, keeps: bool = False) -> Callable:
     """A batch function that gives its freed memory back when its task is done:
-    Python workers live on, and several share an executor's memory."""
+    Python workers live on, and several share an executor's memory. Only tasks
+    that ``keeps`` leave what earlier ones have kept; all others drop it first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            kept_objects().clear()
         yield from task(batches)
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

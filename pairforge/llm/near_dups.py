@@ -44,6 +44,7 @@ BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares no band once in 14,000 ti
 COORDINATES = BANDS * ROWS
 BASE = 0.125  # the first cell of ranks; the next ones double up to 1
 PIVOTS = (1, 2)
+SIGN_BYTES = 1 << 19  # text signed at once
 FINE = 1024  # coordinates of the longer signatures that thin out the last pairs
 DEVIATIONS = 4.5  # a pair is dropped when its estimate is so far below the threshold
 BLOCK = 1024  # members of a bucket that one step compares with each other
@@ -118,7 +119,7 @@ def dart_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray |
 def shingle_sets(arr: pa.Array, tables, powers, counts: bool = False):
     """(first row, end row, row of each distinct shingle, shingle, count, words
     per row), chunk by chunk."""
-    for i, j, data, offs in chunks(arr):
+    for i, j, data, offs in chunks(arr, SIGN_BYTES):
         w = Words(data, offs, tables, powers)
         h = w.windows(SHINGLE)
         ok = np.flatnonzero(w.room()[: len(h)] >= SHINGLE)
@@ -290,8 +291,10 @@ class _Links:
 
     def run(self) -> None:
         for turn, pivots in enumerate(PIVOTS):
-            if not self.check(self.pairs(self.members(), pivots, turn)):
+            open_ = self.members()
+            if not open_.limit(1).count():
                 return
+            self.check(self.pairs(open_, pivots, turn))  # perhaps no new pair, though buckets are open
         self.check(self.cross(self.members()))
 
 

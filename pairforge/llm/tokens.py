@@ -22,7 +22,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import sys
 import zlib
 from collections.abc import Iterator
 
@@ -31,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import column, frugal, pick, saved, table, tune
+from pairforge.llm.common import column, frugal, kept_objects, pick, saved, table, tune
 from pairforge.llm.shared_files import CommittedFile, drop_temporary, open_stream
 from pairforge.session import scratch_path
 
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
-MAX_CACHED = 500_000
+MAX_CACHED = 100_000  # pieces: some 25 MB of a Python worker
 JOINED = 32
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -106,12 +105,11 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer
 
-        self.path, self.whole = path, None
-        # pieces are in lower case and of PLAIN characters: nothing to normalize
-        self.piece_tok = Tokenizer.from_file(path)
-        self.piece_tok.normalizer = normalizers.Sequence([])
+        # one tokenizer for whole texts and for pieces; those are in lower case
+        # and of PLAIN characters, so its normalizer leaves them as they are
+        self.tok = Tokenizer.from_file(path)
         self._clear()
 
     def _clear(self) -> None:
@@ -129,16 +127,12 @@ class Encoder:
             self.ids = self.ids[: self.offset[-1] + self.length[-1]]
 
     def _encode_whole(self, text: str) -> list[int]:
-        if self.whole is None:
-            from tokenizers import Tokenizer
-
-            self.whole = Tokenizer.from_file(self.path)
-        return self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self) -> None:
         """Encode the new pieces, some in a string; word_ids tells them apart."""
         new, step = self.index.pending, JOINED
-        got = self.piece_tok.encode_batch([" ".join(new[i : i + step]) for i in range(0, len(new), step)], add_special_tokens=False)
+        got = self.tok.encode_batch([" ".join(new[i : i + step]) for i in range(0, len(new), step)], add_special_tokens=False)
         ids: list[int] = []
         piece: list[int] = []
         for k, e in enumerate(got):
@@ -179,9 +173,8 @@ class Encoder:
 
 
 def worker_encoder(path: str) -> Encoder:
-    """The Python worker's encoder, kept for its later tasks. (Functions shipped
-    by value get new globals with each task, so ``sys`` holds it.)"""
-    kept = sys.__dict__.setdefault("_pairforge_encoders", {})
+    """The Python worker's encoder, kept for its later tokenizing tasks."""
+    kept = kept_objects()
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
@@ -226,7 +219,7 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Scratch table (doc_id, tie, n_tokens, ids) of all rows of ``docs``."""
     tune(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("tie"), "text")
-    return saved(rows.mapInArrow(frugal(_tokenize(path or tokenizer_path())), "doc_id bigint, tie bigint, n_tokens bigint, ids binary"), "token-ids")
+    return saved(rows.mapInArrow(frugal(_tokenize(path or tokenizer_path()), keeps=True), "doc_id bigint, tie bigint, n_tokens bigint, ids binary"), "token-ids")
 
 
 def id_ranks(ids: DataFrame) -> np.ndarray:

@@ -13,7 +13,7 @@ corpus, and travels to the scoring tasks. Every whole text is scored.
 
 A doc_id is labelled toxic if any of its label rows says so; null labels and
 labels of documents that do not exist are ignored. Null and empty texts get the
-score of the intercept. Repeated rows get equal scores; of the texts that share a
+score of the intercept; a row without doc_id is scored and not held out. Repeated rows get equal scores; of the texts that share a
 doc_id, training takes the smallest. Without training rows
 all scores are 0.5's lower neighbour 0.0 (nothing is predicted toxic). An empty
 table gives no rows. Other columns are passed through by ``scored``.
@@ -168,4 +168,4 @@ def scored(docs: DataFrame, labels: DataFrame, column_name: str = "score") -> Da
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     out = scored(docs, table(spark, sf_dir, "labels"))
-    return out.select("doc_id", (fold(F.col("doc_id")) == HELD).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
