@@ -3,6 +3,12 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet into the shared folder and read again as the next one's
 input. All but the last return the columns of ``documents``.
+
+Rows without a text, with an empty one or without doc_id are scored, mixed and
+tokenized like any other; such texts are clean. Texts without words are near
+copies of each other, so one of them stays. Repeated rows are near copies too.
+Columns are found by exact name, whatever others differ from it by case; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +26,9 @@ ship_by_value()
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go."""
     out = toxicity.scored(docs, table(spark, sf_dir, "labels"), "__toxicity")
-    return out.filter(F.col("__toxicity") < 0.5).select(docs.columns)
+    places = [f"_c{i}" for i in range(len(docs.columns))]  # names may differ by case alone
+    kept = out.toDF(*places, "__toxicity").filter(F.col("__toxicity") < 0.5)
+    return kept.select(*places).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
