@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express, written from their contracts.
 
 Not expressible, and tested against brute force instead: extraction (op1), random
-rounding (op3), learned scores (op4), components of hashed candidates (op8) and
-tokenizer output (op10).
+rounding (op3), learned scores (op4), components of hashed candidates (op8, op11)
+and tokenizer output (op10).
 """
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -74,10 +74,109 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
   CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> lead THEN lead END AS refers_to FROM g"""
 
+
+def _crc_table() -> list[int]:
+    out = []
+    for i in range(256):
+        for _ in range(8):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        out.append(i)
+    return out
+
+
+_CRC_TABLE = f"crc_table AS (SELECT {_crc_table()}::BIGINT[] AS tbl)"
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes; ``tbl`` is in scope."""
+    byte = f"list_transform(generate_series(1, strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT))"
+    return f"xor(list_reduce({byte}, lambda r, b: xor(tbl[(xor(r, b) & 255) + 1], r >> 8), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+
+
+_FEATURES = "list_concat(ws, list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1]))"
+RESAMPLE = f"""WITH {_CRC_TABLE},
+d AS (SELECT doc_id, row_number() OVER () AS r, {_ITEM_WORDS} AS ws FROM documents),
+f AS (SELECT r, unnest({_FEATURES}) AS x FROM d),
+bf AS (SELECT unnest({_FEATURES}) AS x FROM (SELECT {_ITEM_WORDS} AS ws FROM benchmark)),
+x AS (SELECT x, {_crc("x")} % 10000 AS bucket FROM (SELECT x FROM f UNION SELECT x FROM bf), crc_table),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN x USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN x USING (x) GROUP BY bucket),
+n AS (SELECT CAST((SELECT count(*) FROM f) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM bf) AS DOUBLE) AS t_all),
+g AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (s_all + 10000) / ((CAST(s AS DOUBLE) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), n),
+w AS (SELECT r, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM f JOIN x USING (x) JOIN g USING (bucket) GROUP BY r),
+h AS (SELECT d.r, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w ON w.r = d.r),
+sc AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(h AS DOUBLE) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM h),
+o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS k, count(*) OVER () AS n FROM sc WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CAST(CASE WHEN k <= 25 * n // 100 THEN k END AS BIGINT) AS rank FROM sc LEFT JOIN o ON o.r = sc.r"""
+
+_LEVELS = 8  # of a tree of 8^8 leaves
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, bottom: str) -> list[str]:
+    """CTEs of a tree's runs by level: name0r (tree, up, run, size) and the nodes
+    above, name1, name2 ... (tree, i, h, size); a lone node has no run."""
+    out = [f"{name}0 AS ({bottom})"]
+    for k in range(_LEVELS):
+        out.append(f"{name}{k}r AS (SELECT tree, i // 8 AS up, list(h ORDER BY i) AS run, size FROM {name}{k} WHERE size > 1 GROUP BY tree, i // 8, size)")
+        out.append(f"{name}{k + 1} AS (SELECT tree, up AS i, sha256(array_to_string(run, '')) AS h, (size + 7) // 8 AS size FROM {name}{k}r)")
+    return out
+
+
+def _tops(name: str) -> str:
+    return " UNION ALL ".join(f"SELECT tree, h FROM {name}{k} WHERE size = 1" for k in range(_LEVELS + 1))
+
+
+def _climb(name: str, start: str, place: str, tree: str) -> list[str]:
+    """CTEs that fold each row's digest ``f`` with its siblings, ``p`` their list."""
+    out, at = [], start
+    for k in range(_LEVELS):
+        slot = f"CAST(({place} // {8**k}) % 8 AS BIGINT) + 1"
+        out.append(
+            f"{name}c{k} AS (SELECT a.* EXCLUDE (f, p), CASE WHEN run IS NULL THEN f ELSE "
+            f"sha256(array_to_string(list_concat(run[1:{slot} - 1], [f], run[{slot} + 1:]), '')) END AS f, "
+            f"CASE WHEN run IS NULL THEN p ELSE list_concat(p, run[1:{slot} - 1], run[{slot} + 1:]) END AS p "
+            f"FROM {at} a LEFT JOIN {name}{k}r b ON b.tree = a.{tree} AND b.up = a.{place} // {8 ** (k + 1)})"
+        )
+        at = f"{name}c{k}"
+    return out
+
+
+MERKLE = ",\n".join(
+    [
+        f"WITH {_CRC_TABLE}",
+        f"""l AS (SELECT doc_id, lang, {_leaf("text")} AS leaf, coalesce(CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0
+    THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END, {_leaf("text")}) AS shown FROM documents, crc_table)""",
+        "langs AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY CASE WHEN lang IS NULL THEN 0 ELSE 1 END, encode(lang)) - 1 AS li, count(*) OVER () AS n_langs FROM l GROUP BY lang)",
+        "pl AS (SELECT doc_id, leaf, shown, li, n, n_langs, row_number() OVER (PARTITION BY li ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l JOIN langs ON langs.lang IS NOT DISTINCT FROM l.lang)",
+        *_tree("a", "SELECT li AS tree, i, leaf AS h, n AS size FROM pl"),
+        f"sub AS ({_tops('a')})",
+        *_tree("t", "SELECT 0 AS tree, sub.tree AS i, h, n_langs AS size FROM sub JOIN langs ON li = sub.tree"),
+        f"root AS ({_tops('t')})",
+        "c AS (SELECT *, shown AS f, CAST([] AS VARCHAR[]) AS p, 0 AS top FROM pl)",
+        *_climb("a", "c", "i", "li"),
+        *_climb("t", f"ac{_LEVELS - 1}", "li", "top"),
+    ]
+) + f"""
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(array_to_string(p, '')) AS proof_sha256, f AS folded_root, f = root.h AS verified
+FROM tc{_LEVELS - 1} c JOIN sub ON sub.tree = c.li JOIN root ON root.tree = c.top"""
+
 SQL: dict[str, str] = {
     "op2_quality_ledger": QUALITY,
     "op5_line_dedup": LINES,
     "op6_decontaminate": LEAKS,
     "op7_substring_dedup": REPEATS,
     "op9_warc": ARCHIVES,
+    "op12_importance_resample": RESAMPLE,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -1,6 +1,6 @@
 """The subpackage's registered queries."""
 
-from pairforge.llm import decontaminate, html_text, lines, mixing, near_dups, quality, substrings, tokens, toxicity, warc
+from pairforge.llm import decontaminate, html_text, lines, manifest, mixing, near_dups, quality, resampling, simhash, substrings, tokens, toxicity, warc
 
 QUERIES = {
     "op1_html_text": html_text.query,
@@ -13,4 +13,7 @@ QUERIES = {
     "op8_near_dups": near_dups.query,
     "op9_warc": warc.query,
     "op10_token_files": tokens.query,
+    "op11_simhash_dups": simhash.query,
+    "op12_importance_resample": resampling.query,
+    "op13_merkle_manifest": manifest.query,
 }
