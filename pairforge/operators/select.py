@@ -13,6 +13,8 @@ The strategies:
   prefix histogram (up to 4 hex digits = 65,536 buckets per pass, partially
   aggregated map-side) narrows the candidates up to 65,536-fold per pass.
 * ``kth_digest``: the same histogram for digests that may repeat.
+* ``weight_threshold``: digests with weights, up to a given sum (a histogram of
+  sums in place of counts).
 * ``kth_key``: any order. Floyd-Rivest style: a bounded random sample brackets
   the target rank, one counting pass confirms the bracket, repeat until the
   bracket holds at most ``window_rows`` keys, which are then fetched.
@@ -205,6 +207,48 @@ def kth_digest(
     return found[r - 1][0], r - found.index(found[r - 1])
 
 
+def weight_threshold(
+    df: DataFrame,
+    hex_col: str,
+    weight: Column,
+    target: int,
+    *,
+    window_rows: int = WINDOW_ROWS,
+    width: int,
+) -> str | None:
+    """The largest digest up to which (itself included) all rows' weights add up to
+    ``target`` at most; None when already the smallest digest's rows weigh more.
+
+    Rows of one digest, however many, are one group that is never cut. Each pass
+    is a histogram of sums by prefix; a bucket with a single digest ends the
+    search. Weights are whole numbers, not negative.
+    """
+    keys = df.select(F.col(hex_col).alias("h"), weight.cast("bigint").alias("w"))
+    prefix, last, left = "", None, target
+    while len(prefix) < width:
+        cand = keys if not prefix else keys.filter(F.startswith(F.col("h"), F.lit(prefix)))
+        plen = min(len(prefix) + HEX_STEP, width)
+        hist = cand.groupBy(F.substring("h", 1, plen).alias("p")).agg(
+            F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")
+        )
+        crossed = None
+        for b in sorted(hist.collect(), key=lambda x: x["p"]):  # 65,536 buckets at most
+            if b["w"] > left:
+                crossed = b
+                break
+            left, last = left - b["w"], b["hi"]
+        if crossed is None or crossed["lo"] == crossed["hi"]:
+            return last
+        prefix = crossed["p"]
+        if crossed["n"] <= window_rows:
+            rows = keys.filter(F.startswith(F.col("h"), F.lit(prefix))).groupBy("h").agg(F.sum("w").alias("w")).collect()
+            for r in sorted(rows, key=lambda x: x["h"]):
+                if r["w"] > left:
+                    return last
+                left, last = left - r["w"], r["h"]
+    return last
+
+
 def _narrow_hex(keys: DataFrame, hex_col: str, k: int, n: int, window_rows: int, width: int | None) -> tuple[str, int, int]:
     """(prefix, rows, rank): the k-th of ``n`` digests is the rank-th of the rows
     with that prefix; at most ``window_rows`` of them, or all with one digest."""

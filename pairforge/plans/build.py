@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pairforge.operators.chat import SYSTEM_PROMPT, format_chat
 from pairforge.operators.pairs import PairSource, source_counts, union_sources
-from pairforge.operators.sampling import train_val_split
+from pairforge.operators.sampling import group_split, train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
 from pairforge.session import drop_scratch, literal_frame, scratch_path
 from pairforge.sources.splits import write_pairs, write_splits
@@ -92,13 +92,18 @@ def build_records(
     seed: int = SEED,
     system_prompt: str = SYSTEM_PROMPT,
     checkpoint: bool = True,
+    group_cols: Sequence[str] | None = None,
 ) -> BuildResult:
+    """Pairs, chat records and counts. With ``group_cols`` (of ``abstract`` and
+    ``plain_summary``) pairs that agree in them stay on one side of the split."""
     pairs, path = union_sources(sources), None
     if checkpoint:
         pairs, path = materialize_at(pairs)
-    records = train_val_split(
-        pairs.select("pair_key", "abstract", "plain_summary"), val_ratio=val_ratio, seed=seed
-    )
+    texts = pairs.select("pair_key", "abstract", "plain_summary")
+    if group_cols:
+        records = group_split(texts, val_ratio, seed, group_cols)
+    else:
+        records = train_val_split(texts, val_ratio=val_ratio, seed=seed)
     records = format_chat(records, system_prompt, keep=("pair_key", "shuffle_hash", "split"))
     return BuildResult(pairs=pairs, records=records, counts=source_counts(pairs, sources), path=path)
 
@@ -119,11 +124,16 @@ def run_build(
     out_dir: str,
     val_ratio: float = VAL_RATIO,
     seed: int = SEED,
+    pairs_dir: str | None = None,
+    group_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Build and write ``out_dir/split=train|val`` JSON lines; returns the split
-    counts. Empty input writes nothing and reports 'no data'."""
-    res = build_records(sources, val_ratio, seed)
+    """Build and write ``out_dir/split=train|val`` JSON lines, and the pairs below
+    ``pairs_dir`` if given; returns the split counts. Empty input writes no splits
+    and reports 'no data'."""
+    res = build_records(sources, val_ratio, seed, group_cols=group_cols)
     try:
+        if pairs_dir is not None:
+            write_pairs(res.pairs, pairs_dir)
         rows = split_counts(res.records).collect()  # two rows
         total = sum(r["records"] for r in rows)
         if total > 0:
@@ -148,7 +158,5 @@ def run_pipeline(
     validate the written files; returns the check's report per split."""
     from pairforge.plans.check import check_split_files
 
-    if pairs_dir is not None:
-        write_pairs(union_sources(sources), pairs_dir)
-    run_build(spark, sources, out_dir, val_ratio, seed)
+    run_build(spark, sources, out_dir, val_ratio, seed, pairs_dir)
     return check_split_files(spark, out_dir)

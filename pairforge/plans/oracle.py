@@ -138,6 +138,23 @@ SELECT pair_key, CAST(to_json({{'messages': [{{'role': 'system', 'content': {SYS
 }
 
 
+_GROUPED = f"""WITH {SPLIT},
+g AS (SELECT *, md5(length(abstract) || ':' || abstract) AS group_key, {words('abstract')} + {words('plain_summary')} AS words FROM split),
+o AS (SELECT group_key, count(*) AS n, sum(words) AS w, md5('42|' || group_key) AS h FROM g GROUP BY group_key),
+c AS (SELECT group_key, sum(n) OVER (ORDER BY h) AS n_upto, sum(w) OVER (ORDER BY h) AS w_upto, sum(n) OVER () AS n_all, sum(w) OVER () AS w_all FROM o),
+s AS (SELECT group_key, n_upto <= floor(n_all * CAST(0.1 AS DOUBLE)) AS val_n, w_upto <= floor(w_all * CAST(0.1 AS DOUBLE)) AS val_w FROM c)"""
+
+
+def _leaks(is_val: str, unit: str) -> str:
+    return f"""SELECT CAST(count(*) AS BIGINT) AS groups, CAST(count_if(v > 0 AND v < n) AS BIGINT) AS leaked,
+  CAST(coalesce(sum(v) FILTER (v > 0 AND v < n), 0) AS BIGINT) AS leaked_val_rows, '{unit}' AS unit
+FROM (SELECT count(*) AS n, count_if({is_val}) AS v FROM g JOIN s USING (group_key) GROUP BY group_key)"""
+
+
+SQL["group_split"] = _GROUPED + " SELECT pair_key, group_key, CASE WHEN val_w THEN 'val' ELSE 'train' END AS split FROM g JOIN s USING (group_key)"
+SQL["split_leakage"] = _GROUPED + " " + _leaks("split = 'val'", "row") + " UNION ALL " + _leaks("val_n", "group")
+
+
 # ---- validation ---------------------------------------------------------
 
 CHAT_RECORDS = """chat_records AS (

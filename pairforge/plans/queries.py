@@ -23,7 +23,7 @@ from pairforge.operators.pairs import (
     source_counts,
     union_sources,
 )
-from pairforge.operators.sampling import shuffle_key, subsample_k, train_val_split, with_position
+from pairforge.operators.sampling import group_split, leaked_groups, shuffle_key, subsample_k, train_val_split, with_position
 from pairforge.plans import build as B
 from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
 from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input
@@ -249,6 +249,21 @@ def q_train_val_split(spark, sf):
     return train_val_split(_union(spark, sf, checkpoint=True), B.VAL_RATIO, B.SEED).select("pair_key", "split")
 
 
+def q_group_split(spark, sf):
+    """Pairs of one input text stay on one side; sizes are counted in words."""
+    words = T.word_count("abstract") + T.word_count("plain_summary")
+    split = group_split(_union(spark, sf, checkpoint=True), B.VAL_RATIO, B.SEED, ("abstract",), weight=words)
+    return split.select("pair_key", "group_key", "split")
+
+
+def q_split_leakage(spark, sf):
+    """Input texts on both sides of the split by rows and of the split by groups."""
+    pairs = _union(spark, sf, checkpoint=True)
+    by_row = leaked_groups(train_val_split(pairs, B.VAL_RATIO, B.SEED), ("abstract",))
+    by_group = leaked_groups(group_split(pairs, B.VAL_RATIO, B.SEED, ("abstract",)), ("abstract",))
+    return by_row.withColumn("unit", F.lit("row")).unionByName(by_group.withColumn("unit", F.lit("group")))
+
+
 def q_split_counts(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
     return B.split_counts(res.records)
@@ -429,6 +444,8 @@ QUERIES: dict[str, Query] = {
     "report_empty_val": q_report_empty_val,
     "first_record": q_first_record,
     "train_val_split": q_train_val_split,
+    "group_split": q_group_split,
+    "split_leakage": q_split_leakage,
     "split_counts": q_split_counts,
     "subsample_k": q_subsample_k,
     "preview_pair": q_preview_pair,
