@@ -87,14 +87,19 @@ def frugal(task: Callable, keeps: bool = False) -> Callable:
         if not keeps:
             kept_objects().clear()
         yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 # ---- vectorised words ----------------------------------------------------
 
 _U = np.uint64

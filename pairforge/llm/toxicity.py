@@ -7,8 +7,8 @@ rate, and an L1 threshold keeps most weights at exactly 0, so a model is a short
 list of (coordinate, weight).
 
 Training uses at most ``TRAIN_ROWS`` labelled documents with a text (those of the smallest
-hash; the bound is a parameter), dealt over ``SHARDS`` tasks; the shards' models
-are averaged. The list of weights has at most ``DIMS`` entries, whatever the
+hash; the bound is a parameter), dealt over ``SHARDS`` tasks, which get the texts'
+coordinates (``DIMS`` at most for a text, however long); the shards' models are averaged. The list of weights has at most ``DIMS`` entries, whatever the
 corpus, and travels to the scoring tasks. Every whole text is scored.
 
 A doc_id is labelled toxic if any of its label rows says so; null labels and
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pairforge.llm.common import Words, chunks, column, frugal, lut, mix64, pick, powers_pair, table, tune
+from pairforge.llm.common import Words, chunks, column, frugal, give_back, lut, mix64, pick, powers_pair, table, tune
 from pairforge.operators.select import kth_key, le_key
 
 BITS = 18
@@ -87,13 +87,18 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """(coordinates, weights) that are not 0, the intercept last."""
-    rows: list[np.ndarray] = []
+def coordinates(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Each text's distinct coordinates in ascending order, 32 bits each."""
     for i, j, text, at in features(texts):
         key = np.unique(text * DIMS + at)
         split = np.searchsorted(key, np.arange(1, j - i) * DIMS)
-        rows += [np.append(x % DIMS, DIMS) for x in np.split(key, split)]
+        yield from ((x % DIMS).astype("<i4") for x in np.split(key, split))
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """(coordinates, weights) that are not 0, the intercept last; ``rows``: the
+    ``coordinates`` of the examples."""
+    rows = [np.append(x, np.int32(DIMS)) for x in rows]
     model = Ftrl()
     weight = (1.0, POSITIVE)
     for _ in range(epochs):
@@ -107,10 +112,18 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np
 
 def _train_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["rank", "doc_id"], kind="stable")
-    at, w = train(pa.array(pdf["text"].tolist(), pa.string()), pdf["y"].to_numpy())
+    at, w = train([np.frombuffer(x, "<i4") for x in pdf["at"]], pdf["y"].to_numpy())
+    del pdf
+    give_back()
     return pd.DataFrame({"at": at, "w": w})
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        at = pa.array([x.tobytes() for x in coordinates(column(b, "text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([*[column(b, c) for c in ("doc_id", "rank", "shard", "y")], at], ["doc_id", "rank", "shard", "y", "at"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
     """The averaged model: coordinates and weights, at most ``DIMS`` + 1."""
     tune(docs.sparkSession)
@@ -126,7 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shards: int
         pairs = text.join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of 40 bytes
         # one text per doc_id, or a repeated one would pass the bound
         pairs = pairs.groupBy("doc_id", "rank", "shard", "y").agg(F.min("text").alias("text"))
-        models = pairs.groupBy("shard").applyInPandas(_train_shard, "at bigint, w double")
+        rows_of = f"doc_id {pairs.schema['doc_id'].dataType.simpleString()}, rank bigint, shard bigint, y int, at binary"
+        hashed = pairs.select("doc_id", "rank", F.col("shard").cast("bigint"), "y", "text").mapInArrow(frugal(_hashed), rows_of)
+        models = hashed.groupBy("shard").applyInPandas(_train_shard, "at bigint, w double")
         got = models.groupBy("at").agg((F.sum("w") / F.lit(shards)).alias("w")).orderBy("at").toPandas()
     finally:
         y.unpersist()
