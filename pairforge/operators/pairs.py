@@ -12,7 +12,7 @@ A prepared pair row has the columns of ``PAIR_COLUMNS``:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from itertools import groupby
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.text import char_length, py_strip, stringify, truncate
 from pairforge.operators.select import kth_key, le_key
 from pairforge.session import literal_frame
-from pairforge.sources.parquet import ordered_files, pick_columns, relative_path, scan_ordered, select_by_position
+from pairforge.sources.parquet import ordered_files, pick_columns, relative_path, resolve_columns, scan_texts, select_by_position
 
 ORDER_COLS = ["o_part", "o_file", "o_row"]
 PAIR_COLUMNS = ["source", "source_ord", *ORDER_COLS, "pair_key", "abstract", "plain_summary"]
@@ -38,11 +38,12 @@ class PairSource:
     ``order`` maps the frame to ``(o_part, o_file, o_row)``: each entry is a
     column name or None (constant). ``key_cols`` make ``pair_key`` unique within
     the source. ``cap`` keeps the first accepted pairs in that order (None: no
-    cap). ``truncate`` cuts the input text to that many code points.
+    cap). ``truncate`` cuts the input text to that many code points. A capped file
+    source has no frame, but ``scan``s the files it is asked for.
     """
 
     name: str
-    frame: DataFrame
+    frame: DataFrame | None
     order: tuple[str | None, str | None, str | None]
     key_cols: Sequence[str]
     cap: int | None = None
@@ -51,7 +52,10 @@ class PairSource:
     columns: tuple[str, str] | None = field(default=None)
     # file sources: (path_ord, file) in scan order, for the early-stopping cap
     files: list[tuple[int, str]] | None = field(default=None, repr=False)
-    roots: list[str] | None = field(default=None, repr=False)
+    scan: Callable[[list[tuple[int, str]]], DataFrame] | None = field(default=None, repr=False)
+
+    def rows(self) -> DataFrame:
+        return self.frame if self.frame is not None else self.scan(self.files)
 
 
 def parquet_source(
@@ -62,13 +66,19 @@ def parquet_source(
     truncate_input: int | None = None,
     enabled: bool = True,
 ) -> PairSource:
-    """Pair source over Parquet files in list order; text columns are resolved
-    once, from the first path."""
-    cols = pick_columns(spark.read.parquet(paths[0]).columns)
+    """Pair source over Parquet files in list order. Text columns are resolved
+    once, from the first file that has both; other files are read where they have
+    them, whatever their types (``scan_texts``)."""
+    cols = resolve_columns(spark, paths)
+
+    def scan(files: list[tuple[int, str]]) -> DataFrame:
+        groups = [(o, [f for _, f in g]) for o, g in groupby(files, key=lambda x: x[0])]
+        return scan_texts(spark, [g for _, g in groups], cols, ordinals=[o for o, _ in groups], roots=[paths[o] for o, _ in groups])
+
     return PairSource(
         name=name,
-        frame=scan_ordered(spark, paths, columns=list(cols)),
-        roots=list(paths),
+        frame=scan_texts(spark, paths, cols) if cap is None else None,
+        scan=scan,
         order=("path_ord", "file_path", "row_index"),
         key_cols=("path_ord", "rel_path", "row_index"),
         cap=cap,
@@ -82,11 +92,8 @@ def parquet_source(
 def json_array_source(spark: SparkSession, name: str, path: str, cap: int | None = None) -> PairSource | None:
     """Pair source over a file holding one JSON array of pair objects
     (``abstract``, ``plain_summary``), or over a folder of such files in path
-    order; None when it is missing (skipped).
-
-    Such a file is read by one task, so ``monotonically_increasing_id`` follows
-    the array order; less the first id of the file it is the row order, however
-    files are packed into tasks.
+    order; None when it is missing (skipped). Each file is read by many tasks and
+    a pair's place is its element number in the array.
     """
     from pairforge.sources.splits import read_json_array
 
@@ -94,27 +101,10 @@ def json_array_source(spark: SparkSession, name: str, path: str, cap: int | None
     if df is None:
         return None
     pair = ("abstract", "plain_summary")
-    if len(df.inputFiles()) <= 1:
-        frame = df.select(*pair, F.monotonically_increasing_id().alias("row"))
-        return PairSource(name=name, frame=frame, order=(None, None, "row"), key_cols=("row",), cap=cap, columns=pair)
-    rows = df.select(*pair, F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"))
-    first = rows.groupBy("file_path").agg(F.min("id").alias("first"))  # a row per file
-    frame = rows.join(F.broadcast(first), "file_path").select(
-        *pair, "file_path", relative_path(F.col("file_path"), path).alias("rel_path"), (F.col("id") - F.col("first")).alias("row")
-    )
+    frame = df.select(*pair, "file_path", relative_path(F.col("file_path"), path).alias("rel_path"), F.col("element").alias("row"))
     return PairSource(name=name, frame=frame, order=(None, "file_path", "row"), key_cols=("rel_path", "row"), cap=cap, columns=pair)
 
 
-def _prefix_frame(spark: SparkSession, files: list[tuple[int, str]], src: PairSource) -> DataFrame:
-    """The scan of a prefix of the ordered file list (same order key)."""
-    groups = [(o, [f for _, f in g]) for o, g in groupby(files, key=lambda x: x[0])]
-    roots = src.roots or []
-    return scan_ordered(
-        spark, [g for _, g in groups], columns=list(src.columns), ordinals=[o for o, _ in groups],
-        roots=[roots[o] if o < len(roots) else "" for o, _ in groups],
-    )
-
-
 def clean_pair_columns(frame: DataFrame, columns: tuple[str, str] | None = None, truncate_input: int | None = None):
     """(abstract, plain_summary) expressions: stringify, strip, truncate input.
 
@@ -142,7 +132,7 @@ def prepare_pairs(src: PairSource, source_ord: int = 0, min_chars: int = MIN_CHA
 
     No cap; see ``cap_pairs``. Narrow: one codegen stage after the scan.
     """
-    frame = src.frame
+    frame = src.rows()
     cols = src.columns or pick_columns(frame.columns)
     if len({c.lower() for c in frame.columns}) != len(frame.columns):
         keep = [c for c in dict.fromkeys([*cols, *[o for o in src.order if o], *src.key_cols])]
@@ -196,10 +186,11 @@ def cap_file_source(src: PairSource, source_ord: int = 0, min_chars: int = MIN_C
     files = src.files or []
     cap = src.cap
     if cap is None or not files or cap <= 0:
+        src = replace(src, frame=src.scan(files[:1])) if files and cap == 0 else src
         return cap_pairs(prepare_pairs(src, source_ord, min_chars), cap)
     take = 1
     while True:
-        sub = replace(src, frame=_prefix_frame(src.frame.sparkSession, files[:take], src), files=None)
+        sub = replace(src, frame=src.scan(files[:take]), files=None)
         prepared = prepare_pairs(sub, source_ord, min_chars)
         keys = prepared.select(*ORDER_COLS).persist(StorageLevel.MEMORY_AND_DISK)
         n = keys.count()

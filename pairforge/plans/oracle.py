@@ -335,8 +335,15 @@ d AS (SELECT {strip('Source')} AS abstract, {strip('Target')} AS plain_summary F
 SELECT * FROM (SELECT 'files' AS source, abstract, plain_summary FROM f
   WHERE length(abstract) > 50 AND length(plain_summary) > 50
   QUALIFY row_number() OVER (ORDER BY o, p, conv_id, turn) <= 120)
+UNION ALL SELECT 'whole', abstract, plain_summary FROM f WHERE length(abstract) > 50 AND length(plain_summary) > 50
 UNION ALL SELECT 'array', abstract, plain_summary FROM d WHERE length(abstract) > 50 AND length(plain_summary) > 50"""
 
+SQL["mixed_schemas"] = f"""WITH {PAIRS_CONV}
+SELECT CASE WHEN conv_id % 5 = 2 THEN CAST(conv_id * 1000000 + turn + 10000 AS VARCHAR) ELSE {strip('query')} END AS abstract, {strip('answer')} AS plain_summary
+FROM pairs_conv WHERE conv_id % 5 IN (1, 2, 3) AND (conv_id % 5 = 2 OR length({strip('query')}) > 4) AND length({strip('answer')}) > 4"""
+
+SQL["json_array_split"] = "SELECT doc_id AS id, text, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents"
+
 _WRONG = "unexpected role order: [''system'', ''assistant'', ''user'']"
 SQL["validate_hostile"] = f"""WITH b AS (SELECT doc_id, coalesce({strip('text')}, '') = '' AS blank FROM documents),
 p AS (SELECT doc_id, CASE

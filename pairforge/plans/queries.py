@@ -43,13 +43,13 @@ from pairforge.sources.jsonl import INVALID, bad_lines, line_numbers, parse_line
 from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
-from pairforge.sources.splits import read_splits, write_json_arrays, write_splits
+from pairforge.sources.splits import read_json_array, read_splits, write_json_arrays, write_splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 SUBSAMPLE_SIZES = {"train": 300, "val": 50}
 CAP_TEST = {"conv": 100, "doc": 200}
 FILES_CAP = 120
-ARRAY_ROWS = 1000  # pairs of one JSON array file
+ARRAY_ROWS = 10_000  # objects of one JSON array file
 
 
 def _flat_messages(df: DataFrame, n: int, keep: list[str]) -> DataFrame:
@@ -172,8 +172,9 @@ def _in_ranges(df: DataFrame, *order: str) -> DataFrame:
 
 def q_file_sources(spark, sf):
     """File sources in order: a folder of sorted files, a partitioned folder, a
-    folder that lacks the text columns; capped, beside a disabled source, a folder
-    of JSON arrays and a missing one. All rows of both pair views go into the files."""
+    folder that lacks the text columns; once capped and once whole, beside a
+    disabled source, a folder of JSON arrays and a missing one. All rows of both
+    pair views go into the files."""
     root = scratch_path(spark, "files")
     conv = pairs_conv(spark, sf).withColumnsRenamed({"query": "Query", "answer": "Answer"})
     third = F.pmod("conv_id", F.lit(3))
@@ -186,6 +187,7 @@ def q_file_sources(spark, sf):
     paths = [f"{root}/a", f"{root}/b", f"{root}/c"]
     srcs = [
         parquet_source(spark, "files", paths, cap=FILES_CAP),
+        parquet_source(spark, "whole", paths),
         parquet_source(spark, "off", paths, enabled=False),
         json_array_source(spark, "array", f"{root}/array"),
         json_array_source(spark, "none", f"{root}/none"),
@@ -193,6 +195,37 @@ def q_file_sources(spark, sf):
     return union_sources([s for s in srcs if s is not None]).select("source", "abstract", "plain_summary")
 
 
+def q_mixed_schemas(spark, sf):
+    """A folder whose files differ: those that come first lack the text columns, the
+    next name them, in others the input is a number, a name has another case, or
+    the output is missing. Texts of over 4 characters are kept."""
+    root = scratch_path(spark, "mixed")
+    conv = pairs_conv(spark, sf)
+    number = (F.col("conv_id") * 1_000_000 + F.col("turn") + 10_000).alias("Query")
+    shapes = [
+        ["conv_id", F.lit(1.5).alias("score")],
+        ["conv_id", F.col("query").alias("Query"), F.col("answer").alias("Answer")],
+        [F.col("conv_id").cast("string"), number, F.col("answer").alias("Answer")],
+        [F.col("query").alias("QUERY"), F.col("answer").alias("Answer"), F.lit("x").alias("score")],
+        ["conv_id", F.col("query").alias("Query")],
+    ]
+    for k, shape in enumerate(shapes):
+        conv.filter(F.pmod("conv_id", F.lit(len(shapes))) == k).select(*shape).write.parquet(f"{root}/part={k}")
+    return union_sources([parquet_source(spark, "mixed", [root])], min_chars=4).select("abstract", "plain_summary")
+
+
+def q_json_array_split(spark, sf):
+    """Documents written as JSON arrays, each file read back by many tasks."""
+    root = scratch_path(spark, "arrays")
+    docs = table(spark, sf, "documents").select("doc_id", F.col("doc_id").alias("id"), "text")
+    write_json_arrays(docs, "doc_id", root, ARRAY_ROWS, "none")
+    rows = read_json_array(spark, root, "id bigint, text string")
+    files = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
+    before = F.sum("n").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(files, "file_path").select("id", "text", (F.col("before") + F.col("element")).alias("position"))
+
+
 def q_bad_lines(spark, sf):
     """Lines of written files that are not JSON, with their line numbers counted
     through the files: every fifth ``props`` loses its last character, every seventh
@@ -439,6 +472,8 @@ QUERIES: dict[str, Query] = {
     "shuffle_seeded": q_shuffle_seeded,
     "split_order": q_split_order,
     "file_sources": q_file_sources,
+    "mixed_schemas": q_mixed_schemas,
+    "json_array_split": q_json_array_split,
     "bad_lines": q_bad_lines,
     "validate_hostile": q_validate_hostile,
     "report_empty_val": q_report_empty_val,

@@ -115,6 +115,14 @@ def drop_scratch(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` (a written table of narrow rows) marked for broadcasting if it has
+    ``max_rows`` rows at most; otherwise None, and the caller joins by a shuffle."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else None
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark._jvm

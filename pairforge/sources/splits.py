@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pairforge.operators.chat import MESSAGE_TYPE
 from pairforge.session import literal_frame, path_exists
+from pairforge.sources.json_array import array_elements
 
 RECORD_SCHEMA = f"messages {MESSAGE_TYPE}"
 PAIR_SCHEMA = "abstract string, plain_summary string"
@@ -57,8 +58,8 @@ def read_splits(spark: SparkSession, out_dir: str, splits: Sequence[str] = ("tra
     return df.filter(F.col("split").isin(list(splits)))
 
 
-def write_json_arrays(rows: DataFrame, key: str, path: str, max_rows: int) -> None:
-    """A folder of JSON array files (gzip) of at most ``max_rows`` objects (the columns
+def write_json_arrays(rows: DataFrame, key: str, path: str, max_rows: int, compression: str = "gzip") -> None:
+    """A folder of JSON array files of at most ``max_rows`` objects (the columns
     but ``key``, a whole number). File paths, then objects, follow ``key``."""
     group = F.expr(f"`{key}` div {max_rows}")
     w = Window.partitionBy("group").orderBy(key)
@@ -73,19 +74,22 @@ def write_json_arrays(rows: DataFrame, key: str, path: str, max_rows: int) -> No
     # numbers of one width, so that paths sort as they do
     group, part = F.col("group") + 10**17, F.expr(f"place div {max_rows}") + 10**10
     placed = placed.select(group.alias("group"), part.alias("part"), "place", value.alias("value"))
-    placed.sortWithinPartitions("group", "part", "place").select("group", "part", "value").write.partitionBy("group", "part").text(path, compression="gzip")
+    placed.sortWithinPartitions("group", "part", "place").select("group", "part", "value").write.partitionBy("group", "part").text(path, compression=compression)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> DataFrame | None:
-    """A file holding one JSON array of objects, or a folder of them; None
-    (skipped) when missing.
+# elements are parsed like JSON text elsewhere here: strictly, of any string length
+STRICT = {"mode": "FAILFAST", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
+
 
-    A multi-line JSON file is read by one task; prefer many of them, JSON lines
-    or Parquet for large inputs.
+def read_json_array(spark: SparkSession, path: str, schema: str = PAIR_SCHEMA) -> DataFrame | None:
+    """A file holding one JSON array of objects, or a folder of them: the fields of
+    ``schema`` with ``file_path`` and ``element`` (its place in the array); None
+    (skipped) when missing. A file is read by many tasks (``array_elements``).
     """
     if not path_exists(spark, path):
         return None
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+    found = array_elements(spark, path)
+    return found.select("file_path", "element", F.from_json("value", schema, STRICT).alias("r")).select("r.*", "file_path", "element")
 
 
 def path_report(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
