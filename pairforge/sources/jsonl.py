@@ -12,10 +12,10 @@ file size / split size rows), turns them into per-file offsets with a window
 over that small table, and joins them to the lines asked for.
 
 Lines that hold a string of over ``STRING_LIMIT`` characters go through
-``from_json``, which takes longer ones. A VARIANT value holds 128 MiB; a line of
-JSON beyond that has the status ``too_long``, is not valid, and is told apart from
-lines that are not JSON. Nesting deeper than 1,000, numbers of over 1,000 digits
-and names of over 50,000 characters count as not JSON.
+``from_json``, which takes longer ones. The parser has limits: a VARIANT value of
+128 MiB, nesting of 1,000, numbers of 1,000 digits and names of 50,000 characters.
+A line of JSON beyond any of them has the status ``too_long``, is not valid, and is
+told apart from lines that are not JSON.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pairforge.functions.text import py_strip
 # characters of a string that try_parse_json takes
 STRING_LIMIT = 20_000_000
 LONG = {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+LEAST_LONG = 1000  # a line that is beyond some limit has more characters
+DEEPEST = 1000  # nesting that the parser takes
 INVALID, TOO_LONG = "invalid JSON", "too long to parse"
 LINE_ORDER = ["file_path", "block_start", "lid"]
 
@@ -82,12 +84,44 @@ def strict_json(value: Column) -> tuple[Column, Column]:
     return valid, record
 
 
+def _outline(value: Column) -> Column:
+    """The text with every string as ``"x"`` and long numbers cut: JSON if and only
+    if the text is, and within the limits but for nesting. (The patterns repeat
+    single characters only, which costs no stack.)"""
+    no_escapes = F.regexp_replace(value, r'\\(["\\/bfnrt]|u[0-9a-fA-F]{4})', "_")
+    no_strings = F.regexp_replace(no_escapes, r'"[^"\\\x00-\x1f]*+"', '"x"')
+    return F.regexp_replace(no_strings, r"((?<![0-9])[1-9]|[.eE+-][0-9])[0-9]{999,}", "$1")
+
+
+def _nesting(brackets: Column) -> Column:
+    """The deepest nesting of a text of brackets."""
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(x: Column, c: Column) -> Column:
+        now = x["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(x["most"], now).alias("most"))
+
+    return F.aggregate(F.split(brackets, ""), start, step, lambda x: x["most"])
+
+
+def _is_deep_json(outline: Column) -> Column:
+    """Whether an outline nested deeper than the parser takes is JSON: a letter for
+    each scalar, then containers of scalars become scalars, level by level."""
+    number = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+    letters = F.regexp_replace(F.regexp_replace(F.replace(outline, F.lit('"x"'), F.lit("s")), rf"(?<![\w.+-])(?:{number}|true|false|null)(?![\w.+-])", "v"), r"[ \t\n\r]", "")
+    depth = _nesting(F.regexp_replace(letters, r"[^\[\]{}]", ""))
+    inner = r"\[(?:[sv](?:,[sv])*)?\]|\{(?:s:[sv](?:,s:[sv])*)?\}"
+    folded = F.aggregate(F.sequence(F.lit(1), depth), letters, lambda t, _: F.regexp_replace(t, inner, "v"))
+    return F.when(depth > DEEPEST, folded.isin("s", "v")).otherwise(F.lit(False))
+
+
 def too_long(value: Column, valid: Column) -> Column:
-    """JSON that is beyond the size of a VARIANT: its syntax is read as strings."""
-    a, b = _wrapped(value)
+    """JSON that is beyond a limit of the parser: only its syntax is read."""
+    outline = _outline(value)
+    a, b = _wrapped(outline)
     object_b = F.from_json(b, "r string, bad string", {**LONG, "columnNameOfCorruptRecord": "bad"})
     is_json = F.from_json(a, "array<string>", LONG).isNotNull() & object_b["bad"].isNull()
-    return F.when(~valid & _is_long(value), is_json).otherwise(F.lit(False))
+    return F.when(~valid & (F.length(value) > LEAST_LONG), is_json | _is_deep_json(outline)).otherwise(F.lit(False))
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
