@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -367,33 +366,6 @@ def default_token_count(messages: Column) -> Column:
     return word_count(render_prompt(messages, add_generation_prompt=False))
 
 
-_TOKENIZERS: dict[str, object] = {}
-
-
-def tokenizer_counter(tokenizer_file: str, template=None) -> Callable[[Column], Column]:
-    """Token counter from a ``tokenizer.json`` file (the fine-tuning model's own
-    tokenizer): an Arrow-batched pandas UDF over the rendered conversation. The
-    tokenizer is loaded once per Python worker and encodes whole batches.
-    Requires the ``tokenizers`` package on the executors."""
-    from pyspark.sql.functions import pandas_udf
-
-    from pairforge.operators.chat import CHATML
-
-    tmpl = template or CHATML
-
-    @pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        tok = _TOKENIZERS.get(tokenizer_file)
-        if tok is None:
-            from tokenizers import Tokenizer
-
-            tok = _TOKENIZERS[tokenizer_file] = Tokenizer.from_file(tokenizer_file)
-        enc = tok.encode_batch([t if t is not None else "" for t in texts])
-        return pd.Series([len(e.ids) for e in enc], index=texts.index)
-
-    return lambda messages: count(render_prompt(messages, tmpl, add_generation_prompt=False))
-
-
 def token_budget(
     records: DataFrame,
     budget: int = 1536,
@@ -402,7 +374,8 @@ def token_budget(
     counter: Callable[[Column], Column] = default_token_count,
 ) -> DataFrame:
     """Per group: records, records over ``budget`` tokens, and their share. The
-    counter is pluggable; the default counts words (no tokenizer files needed)."""
+    counter is pluggable; the default counts words, ``token_limit.tokenizer_counter``
+    the tokens of a tokenizer file."""
     # counted once per record, then aggregated
     counted = records.select(group_col, F.explode(F.array(counter(F.col(messages_col)))).alias("__tokens"))
     agg = counted.groupBy(group_col).agg(

@@ -31,6 +31,7 @@ from pairforge.sources.splits import write_pairs, write_splits
 TRUNCATE_EXAMPLE = 1500
 VAL_RATIO = 0.1
 SEED = 42
+SEQUENCE_LIMIT = 1536  # tokens of a training record
 
 
 def conv_source(spark: SparkSession, sf_dir: str, cap: int | None = None, truncate_input: int | None = None) -> PairSource:

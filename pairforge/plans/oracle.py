@@ -288,6 +288,7 @@ SQL.update({
   CASE WHEN {BLANK} THEN 'Please paste some medical text above to see the rewrite.' END AS after
 FROM (SELECT doc_id, CASE WHEN doc_id % 9 = 4 THEN ' ' || chr(10) || chr(9) ELSE text END AS text FROM documents)""",
     "batch_rewrite": f"SELECT doc_id, {SQUEEZE} AS rewrite FROM documents WHERE NOT ({BLANK})",
+    "resume_rewrite": f"SELECT doc_id, {SQUEEZE} AS rewrite FROM documents WHERE NOT ({BLANK})",
     "compare_rewrites": f"WITH {CMP} SELECT doc_id, before, after FROM cmp",
     "eval_length": f"""WITH {CMP}
 SELECT CAST(count(*) AS BIGINT) AS rows, round(avg({_ratio('before')}), 6) AS before_ratio,

@@ -26,7 +26,9 @@ from pairforge.operators.pairs import (
 from pairforge.operators.sampling import group_split, leaked_groups, shuffle_key, subsample_k, train_val_split, with_position
 from pairforge.plans import build as B
 from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
-from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input
+from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input, squeeze_factory
+from pairforge.operators.rewrite_job import budgeted, rewrite_job, rewritten
+from pairforge.operators.token_limit import token_limit
 from pairforge.operators.validate import (
     invalid_records,
     length_stats,
@@ -49,6 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SUBSAMPLE_SIZES = {"train": 300, "val": 50}
 CAP_TEST = {"conv": 100, "doc": 200}
 FILES_CAP = 120
+BATCH_WORDS = 20_000  # padded words of one call of a rewriter
 ARRAY_ROWS = 10_000  # objects of one JSON array file
 
 
@@ -426,6 +429,21 @@ def q_token_budget(spark, sf):
     return token_budget(res.records, 1536)
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def q_token_limit(spark, sf):
+    """Where the sequence limit cuts the prompt of each document, in the tokens of a
+    public tokenizer."""
+    docs = table(spark, sf, "documents")
+    out = token_limit(docs.select("doc_id", prompt_messages(F.col("text")).alias("messages")), tokenizer_file(), B.SEQUENCE_LIMIT)
+    return out.select("doc_id", "n_tokens", "lost_tokens", "cut", F.col("lost")[1]["lost_chars"].alias("lost_user_chars"))
+
+
 # ---- rewriting and evaluation ----------------------------------------------
 
 def _docs(spark, sf):
@@ -442,6 +460,17 @@ def q_batch_rewrite(spark, sf):
     return batch_rewrite(_docs(spark, sf)).select("doc_id", "rewrite")
 
 
+def q_resume_rewrite(spark, sf):
+    """A rewrite in batches of bounded size, stopped after its first wave. Texts of
+    every tenth document have changed when it goes on, and are back in the end."""
+    docs, out = _docs(spark, sf), f"{scratch_path(spark, 'rewrite')}/job"
+    changed = docs.withColumn("text", F.when(F.pmod("doc_id", F.lit(10)) == 3, F.concat("text", F.lit(" Changed."))).otherwise(F.col("text")))
+    rewrite_job(docs, out, budgeted(squeeze_factory, BATCH_WORDS), shards=16, wave=8, most_waves=1)
+    rewrite_job(changed, out, budgeted(squeeze_factory, BATCH_WORDS), shards=16, wave=8)
+    rewrite_job(docs, out, squeeze_factory, shards=16, wave=8)
+    return rewritten(spark, out)
+
+
 def q_compare_rewrites(spark, sf):
     return compare_rewrites(_docs(spark, sf)).select("doc_id", "before", "after")
 
@@ -499,8 +528,10 @@ QUERIES: dict[str, Query] = {
     "subsample_files": q_subsample_files,
     "stream_validate": q_stream_validate,
     "token_budget": q_token_budget,
+    "token_limit": q_token_limit,
     "guard_input": q_guard_input,
     "batch_rewrite": q_batch_rewrite,
+    "resume_rewrite": q_resume_rewrite,
     "compare_rewrites": q_compare_rewrites,
     "eval_length": q_eval_length,
     "eval_numbers": q_eval_numbers,

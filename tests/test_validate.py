@@ -113,7 +113,8 @@ def test_token_budget_with_a_tokenizer_file(spark, tmp_dir):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
     from pairforge.operators.chat import ChatTemplate
-    from pairforge.operators.validate import token_budget, tokenizer_counter
+    from pairforge.operators.token_limit import tokenizer_counter
+    from pairforge.operators.validate import token_budget
 
     vocab = {"[UNK]": 0, "a": 1, "b": 2, "c": 3}
     tok = Tokenizer(models.WordLevel(vocab, unk_token="[UNK]"))
