@@ -5,10 +5,17 @@ the number of documents that hold it and the largest doc_id among them. Each
 new batch of documents is reduced to one run; a merge join against the keys of
 the runs so far marks those that are new (the anti-join's rows: ``fresh``), and
 the run joins level 0. A key is fresh in one run only, so that side of the merge
-has each key once. When a level holds ``FANOUT`` runs they are merged (counts summed, largest doc_id kept)
-into one run of the next level, so a key is rewritten once per level, and there
-are few runs to merge at any time. The list of runs is a small committed file,
-so a later session can go on.
+has each key once; in later runs it only adds to the count. When a level holds
+``FANOUT`` runs they are merged (counts summed, largest doc_id kept) into one run
+of the next level, so a key is rewritten once per level, and there are few runs to
+merge at any time. The list of runs is a small committed file, so a later session
+can go on.
+
+A table is deduplicated in batches of descending doc_id. The document that first
+brings a key, the largest doc_id of the batch where it is fresh, keeps the key's
+lines; every other document that holds it has a repeat, which goes if the runs
+count ``MIN_DOCS`` documents in the end. There are ``BATCHES`` batches, or as many
+as ``BATCH_KEYS`` lines each ask for.
 
 A line's key is the line stripped of ASCII white space, A-Z in lower case; keys
 under ``MIN_CHARS`` code points take no part. Keys are held as 128-bit hashes.
@@ -36,8 +43,9 @@ from pairforge.session import scratch_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-FANOUT = 4
-BATCHES = 4
+FANOUT = 3
+BATCHES = 7
+BATCH_KEYS = 20_000_000_000  # a batch reads the runs once: more of them cost more
 RUN_SCHEMA = "key binary, n_docs bigint, max_doc bigint, fresh boolean"
 
 
@@ -108,18 +116,24 @@ class LineRuns:
         known = self._read(self.runs()).filter("fresh").select("key", F.lit(False).alias("new")).hint("merge")
         return run.join(known, "key", "left").select(*run.columns, F.coalesce("new", F.lit(True)).alias("fresh"))
 
-    def add(self, keys: DataFrame) -> str:
+    def add(self, keys: DataFrame, merge: bool = True) -> str:
         """Add a batch of (key, doc_id); a document belongs to one batch only.
         Returns the folder of the batch's run (which a merge may supersede)."""
         run = keys.groupBy("key").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("max_doc"))
         self._write(self.mark(run), 0)
-        own, level = f"{self.root}/{self.levels[0][-1]}", 0
+        own = f"{self.root}/{self.levels[0][-1]}"
+        if merge:
+            self.compact()
+        return own
+
+    def compact(self) -> None:
+        """Merge the levels that are full, from the lowest up."""
+        level = 0
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
             self._write(self.merged(full), level + 1)
             level += 1
         self._commit()
-        return own
 
 
 def new_lines(runs: LineRuns, docs: DataFrame) -> DataFrame:
@@ -129,6 +143,26 @@ def new_lines(runs: LineRuns, docs: DataFrame) -> DataFrame:
     return runs.spark.read.parquet(own).filter("fresh").select("key", F.col("max_doc").alias("doc_id"))
 
 
+def repeats(batch: DataFrame, run: DataFrame) -> DataFrame:
+    """Saved (key, doc_id) of a batch: all but the document that brings a key which
+    is fresh in the batch's ``run``."""
+    known = F.col("doc_id") != F.col("max_doc")
+    some = run.filter("NOT fresh OR n_docs > 1").select("key", "fresh", "max_doc")  # most keys are one fresh line
+    got = batch.join(small(saved(some, "line-known")), "key").filter(~F.col("fresh") | known)
+    return saved(got.select("key", "doc_id"), "line-repeats")
+
+
+def _descending(keys: DataFrame, batches: int) -> Iterator[DataFrame]:
+    """(key, doc_id) in ranges of doc_id, the largest first; about equal in size."""
+    n = max(batches, -(-keys.count() // BATCH_KEYS))
+    cuts = sorted(set(keys.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01)), reverse=True)  # n numbers
+    above: float | None = None
+    for cut in [*cuts, None]:
+        part = keys if cut is None else keys.filter(F.col("doc_id") > int(cut))
+        yield part if above is None else part.filter(F.col("doc_id") <= int(above))
+        above = cut
+
+
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n_lines, n_dropped, texts = [], [], []
@@ -154,11 +188,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHE
     spark = docs.sparkSession
     keys = saved(line_keys(docs), "line-keys")
     runs = LineRuns(spark, scratch_path(spark, "line-runs"))
-    for i in range(batches):
-        runs.add(keys.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
-    hot = saved(runs.merged().filter(F.col("n_docs") >= min_docs).select("key", "max_doc"), "line-hot")
-    hits = keys.join(small(hot), "key").filter("doc_id <> max_doc")
-    drop = saved(hits.groupBy("doc_id").agg(F.collect_set("key").alias("drop")), "line-drop")
+    found: DataFrame | None = None
+    for batch in _descending(keys, batches):
+        own = spark.read.parquet(runs.add(batch, merge=False))
+        mine = repeats(batch, own)
+        found = mine if found is None else found.unionByName(mine)
+        runs.compact()
+    hot = saved(runs.merged().filter(F.col("n_docs") >= min_docs).select("key"), "line-hot")
+    drop = found.join(small(hot), "key").groupBy("doc_id").agg(F.collect_set("key").alias("drop"))
+    drop = saved(drop, "line-drop")
     rows = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     rows = rows.join(small(drop), "doc_id", "left").select("doc_id", "text", "drop")
     return rows.mapInArrow(frugal(_apply), "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string")

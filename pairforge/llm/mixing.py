@@ -2,29 +2,30 @@
 
 Each document of a source gets the same expected number of copies: the source's
 target divided by its size. The whole part is taken; the fractions are rounded
-together. In descending order of size, a document is paired with the pool of the
-smaller ones; the two exchange a mass of words: a random one of the two exchanges
-that make the document integral, with probabilities that keep all expectations.
-Words, not copies, are what an exchange conserves, so the taken words of a source
-differ from its target by less than the size of its last fractional document,
-which is a small one. (Pairs of single documents would leave a large one: small
-partners can't complete it. They are used where fractions differ: for leftovers.)
+together. In descending order of size, so that partners are of similar size, two
+documents exchange a mass of words: a random one of the two exchanges that make
+one of them integral, with probabilities that keep all expectations; the other
+goes on to the next. Words, not copies, are what an exchange conserves, so the
+taken words of a source differ from its target by less than the size of its last
+fractional document.
 
 The exchanges run inside buckets of a source (a hash of the row deals them, so a
 source of any share splits evenly); each bucket leaves one fractional document,
 and those meet ``FAN`` buckets at a time, level by level, until one is left, which
-is rounded at random. All choices are functions of the seed and the row, so
-reruns agree.
+is drawn with its probability. All choices are functions of the seed and the row,
+so reruns agree.
 
 Nulls: a null text has size 0, a null source is a source of its own, last in
-order. Documents of size 0 are taken 0 times. Repeated rows are rounded one by
-one. An empty table gives no rows; if all sizes are 0, all targets are 0.
+order. Documents of size 0 are taken 0 times. Repeated rows (of one doc_id, text
+and source) are counted, dealt ``BUCKET`` at a time, and rounded one by one. An
+empty table gives no rows; if all sizes are 0, all targets are 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ MAX_COPIES = 3
 BUCKET = 4096  # documents of a bucket
 FAN = 1024  # buckets whose leftovers meet in one
 SEED = 20_240_501
-_UNIT = "doc_id bigint, tie bigint, skey string, size bigint, base bigint, frac double, bucket bigint, copies bigint"
+_UNIT = "doc_id bigint, tie bigint, skey string, size bigint, base bigint, frac double, bucket bigint, chunk bigint, rows bigint, copies bigint"
 
 
 def n_words(text: str = "text") -> Column:
@@ -71,37 +72,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_cop
     return per.select("skey", "docs", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("final.r") * F.col("w")).alias("target"))
 
 
-def pool_round(size: list[int], frac: float, draw: list[float]) -> tuple[list[int], int, float]:
-    """Round one fraction that all documents share; returns 0 or 1 for each, and
-    the index and fraction of the one left over (-1 if none). ``draw``: uniform
-    numbers. Each document in turn is paired with the pool of those after it: the
-    pool gives it the words it lacks or takes the words it has. The pool's
-    documents keep one common fraction, so no document's expectation changes."""
-    eps, p, pool = 1e-9, frac, sum(size)
-    out = [0] * len(size)
-    for i, s in enumerate(size):
-        pool -= s
-        if p <= eps or p >= 1 - eps or s == 0:
-            out[i] = int(p > 0.5 and s > 0)
-            continue
-        if pool == 0:
-            return out, i, p
-        lacks, has, gives, takes = s * (1 - p), s * p, p * pool, (1 - p) * pool
-        up, down = min(lacks, gives), min(has, takes)
-        if draw[i] * (up + down) < down:
-            if lacks > gives:  # the pool is used up: all after it are 0
-                return out, i, p + gives / s
-            out[i], p = 1, (gives - up) / pool
-        else:
-            if has > takes:  # the pool is full: all after it are 1
-                out[i + 1 :] = [int(t > 0) for t in size[i + 1 :]]
-                return out, i, p - takes / s
-            p += down / pool
-    return out, -1, 0.0
-
-
 def pair_round(size: list[int], frac: list[float], draw: list[float]) -> tuple[list[int], int, float]:
-    """The same for documents of different fractions, two at a time."""
+    """Round fractions two at a time; returns 0 or 1 for each, and the index and
+    fraction of the one left over (-1 if none). ``draw``: uniform numbers."""
     eps = 1e-9
     out = [0] * len(size)
     a, p = -1, 0.0
@@ -132,19 +105,30 @@ def pair_round(size: list[int], frac: list[float], draw: list[float]) -> tuple[l
     return out, a, p
 
 
+def uniform(*cols: pd.Series) -> np.ndarray:
+    """Uniform numbers that are functions of whole-number columns."""
+    frame = pd.concat([c.astype("Int64").fillna(0).astype("int64").rename(str(i)) for i, c in enumerate(cols)], axis=1)
+    return (pd.util.hash_pandas_object(frame, index=False).to_numpy() >> 11) / float(1 << 53)
+
+
 def _round_bucket(seed: int, level: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # large documents first, so that the one left over is small
-        pdf = pdf.sort_values(["size", "tie", "doc_id"], ascending=[False, True, True], kind="stable", na_position="first").reset_index(drop=True)
-        mixed = pd.util.hash_pandas_object(pdf[["doc_id", "tie"]].fillna(0).astype("int64").assign(k=seed, level=level), index=False)
-        draw = ((mixed.to_numpy() >> 11) / float(1 << 53)).tolist()
-        size, frac = pdf["size"].tolist(), pdf["frac"].tolist()
-        up, left, p = pool_round(size, max(frac), draw) if level == 0 else pair_round(size, frac, draw)
-        copies = (pdf["base"] + pd.Series(up, dtype="int64")).astype("Int64")
+        # similar sizes side by side, large ones first, so that the one left over is small
+        pdf = pdf.sort_values(["size", "tie", "doc_id", "chunk"], ascending=[False, True, True, True], kind="stable", na_position="first")
+        pdf = pdf.loc[pdf.index.repeat(pdf["rows"])].reset_index(drop=True)
+        key = ["doc_id", "tie", "chunk"]
+        turn = pdf.groupby(key, dropna=False).cumcount()
+        salt = pd.Series(seed, index=pdf.index)
+        draw = uniform(*[pdf[c] for c in key], turn, salt, salt * 0 + level).tolist()
+        up, left, p = pair_round(pdf["size"].tolist(), pdf["frac"].tolist(), draw)
+        pdf["copies"] = (pdf["base"] + pd.Series(up, dtype="int64", index=pdf.index)).astype("Int64")
         if left >= 0:
-            copies[left] = pd.NA
+            pdf.loc[left, "copies"] = pd.NA
             pdf.loc[left, "frac"] = p
-        return pdf.assign(copies=copies)
+        # equal rows of equal outcome are one row again
+        same = ["doc_id", "tie", "skey", "size", "base", "frac", "bucket", "chunk", "copies"]
+        pdf["rows"] = pdf.groupby(same, dropna=False)["rows"].transform("size")
+        return pdf.drop_duplicates(same)[[f.split()[0] for f in _UNIT.split(", ")]]
 
     return run
 
@@ -160,13 +144,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: float =
     most = targets.agg(F.max("docs").alias("n")).first()["n"] or 1
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     t = small(targets.withColumnRenamed("skey", "tkey"))
-    unit = sizes.join(t, sizes["skey"].eqNullSafe(t["tkey"]), "left").withColumn("share", share)
+    # repeated rows, however many, are one row with their number until they are dealt
+    units = sizes.groupBy("doc_id", "tie", "skey", "size").agg(F.count(F.lit(1)).alias("rows"))
+    unit = units.join(t, units["skey"].eqNullSafe(t["tkey"]), "left").withColumn("share", share)
+    unit = unit.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / BUCKET))))
     buckets = F.ceil(F.col("docs") / F.lit(BUCKET)).cast("bigint")
     unit = unit.select(
         "doc_id", "tie", "skey", "size",
         F.when(F.col("size") > 0, F.floor("share")).otherwise(F.lit(0)).cast("bigint").alias("base"),
         F.when(F.col("size") > 0, F.col("share") - F.floor("share")).otherwise(F.lit(0.0)).alias("frac"),
-        F.pmod(F.xxhash64("doc_id", "tie", F.lit(seed)), buckets).alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", "tie", "chunk", F.lit(seed)), buckets).alias("bucket"), "chunk",
+        F.least(F.lit(BUCKET), F.col("rows") - F.col("chunk") * BUCKET).cast("bigint").alias("rows"),
     )
     level, n_buckets, done, left = 0, -(-most // BUCKET), [], unit
     while True:
@@ -177,12 +165,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: float =
             break
         level, n_buckets = level + 1, -(-n_buckets // FAN)
         left = left.drop("copies").withColumn("bucket", F.floor(F.col("bucket") / FAN))
-    # one document of a source is left: the nearer whole number
-    done.append(left.withColumn("copies", F.col("base") + F.when(F.col("frac") >= 0.5, 1).otherwise(0)))
-    cols = ["doc_id", "tie", "skey", "size", "copies"]
+    # one document of a source is left: drawn with its probability
+    drawn = F.pmod(F.xxhash64("doc_id", "tie", "skey", F.lit(seed + 1)), F.lit(1 << 30)) < F.col("frac") * float(1 << 30)
+    done.append(left.withColumn("copies", F.col("base") + drawn.cast("bigint")))
+    cols = ["doc_id", "tie", "skey", "size", "copies", "rows"]
     all_rows = done[0].select(cols)
     for d in done[1:]:
         all_rows = all_rows.unionByName(d.select(cols))
+    all_rows = all_rows.withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("rows", "__row")
     return all_rows.join(t, all_rows["skey"].eqNullSafe(t["tkey"]), "left").select(
         "doc_id", "tie", F.col("skey").alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )

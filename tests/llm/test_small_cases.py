@@ -114,7 +114,7 @@ def test_rounding_keeps_expectations():
     r = random.Random(3)
     size = sorted((r.randint(1, 50) for _ in range(12)), reverse=True)
     frac = [r.random() for _ in size]
-    for f, q in ((mixing.pair_round, frac), (lambda s, q, d: mixing.pool_round(s, q[0], d), [0.37] * 12)):
+    for f, q in ((mixing.pair_round, frac), (mixing.pair_round, [0.37] * 12)):
         total = np.zeros(12)
         for _ in range(20_000):
             out, left, p = f(size, q, [r.random() for _ in size])
