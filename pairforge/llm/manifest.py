@@ -109,7 +109,8 @@ class Manifest:
 
     def __init__(self, rows: DataFrame):
         order = [F.col("lang").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf"), F.col("row")]
-        placed = saved(numbered(leaves(rows), order, "merkle-leaves"), "merkle-placed")
+        digests = saved(leaves(rows), "merkle-digests")  # texts are hashed once, also if a sort looks at its rows first
+        placed = saved(numbered(digests, order, "merkle-leaves"), "merkle-placed")
         langs = placed.groupBy("lang").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("n"))
         langs = saved(numbered(saved(langs, "merkle-langs"), [F.col("start")], "merkle-lang-order").withColumnRenamed("pos", "tree"), "merkle-lang-places")
         count, most = langs.agg(F.count(F.lit(1)), F.max("n")).first()
