@@ -6,9 +6,11 @@ function ``pd.Series[str] -> pd.Series[str]``. The factory runs once per task
 then fed Arrow batches. ``compare_rewrites`` runs the base and the tuned
 rewriter over the same batch in one pass, base first.
 
-The core ships two deterministic rule rewriters for tests and for pipelines
-without a model; a model-backed factory plugs in the same way. The blank-input
-guard is a JVM-side column: blank rows never reach a rewriter.
+A rewriter that is a rule over text can be a ``ColumnRule`` instead: a function from
+column to column, which needs no Python in tasks. The core ships two rules, and the
+same two as factories, which stand in for a model in tests. There is no default:
+the caller names the rewriters. The blank-input guard is a JVM-side column: blank
+rows never reach a rewriter.
 
 A model that samples is not reproducible: a task re-run after an executor loss,
 or a second action on the same frame, gets different text. Write the comparison
@@ -20,12 +22,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.functions.text import is_blank
+from pairforge.functions.text import is_blank, squeeze_ws
 
 # Fixed value: the notice shown instead of a rewrite when the input is blank.
 EMPTY_NOTICE = "Please paste some medical text above to see the rewrite."
@@ -35,8 +38,22 @@ RewriterFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 _SENTENCE_END = r"([.!?]) "
 
 
+@dataclass(frozen=True)
+class ColumnRule:
+    """A rewriter as a column expression."""
+
+    expr: Callable[[Column], Column]
+
+
+# one space between words, none at the ends; the same with a sentence per line
+SQUEEZE = ColumnRule(squeeze_ws)
+SENTENCE_LINES = ColumnRule(lambda c: F.regexp_replace(squeeze_ws(c), _SENTENCE_END, "$1\n"))
+
+Rewriter = RewriterFactory | ColumnRule
+
+
 def squeeze_factory() -> Callable[[pd.Series], pd.Series]:
-    """``" ".join(text.split())``: one space between words, none at the ends."""
+    """A stand-in for a model: ``" ".join(text.split())`` of each text."""
 
     def run(s: pd.Series) -> pd.Series:
         return pd.Series([" ".join(x.split()) for x in s], index=s.index, dtype=object)
@@ -45,7 +62,7 @@ def squeeze_factory() -> Callable[[pd.Series], pd.Series]:
 
 
 def sentence_lines_factory() -> Callable[[pd.Series], pd.Series]:
-    """Squeezed text with one sentence per line."""
+    """A stand-in for a tuned model: squeezed text with one sentence per line."""
     squeeze = squeeze_factory()
     end = re.compile(_SENTENCE_END)
 
@@ -97,7 +114,7 @@ def _apply(factories: dict[str, RewriterFactory], text_col: str):
 
 def batch_rewrite(
     df: DataFrame,
-    factory: RewriterFactory = squeeze_factory,
+    rewriter: Rewriter,
     key_cols: tuple[str, ...] = ("doc_id",),
     text_col: str = "text",
     out_col: str = "rewrite",
@@ -105,19 +122,29 @@ def batch_rewrite(
     """``key_cols, text, rewrite`` for every non-blank row."""
     g = guard_input(df.select(*key_cols, text_col), text_col).filter("needs_rewrite")
     base = g.select(*key_cols, text_col)
+    if isinstance(rewriter, ColumnRule):
+        return base.withColumn(out_col, rewriter.expr(F.col(text_col)))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields] + [f"`{out_col}` string"])
-    return base.mapInPandas(_apply({out_col: factory}, text_col), schema)
+    return base.mapInPandas(_apply({out_col: rewriter}, text_col), schema)
 
 
 def compare_rewrites(
     df: DataFrame,
-    base: RewriterFactory = squeeze_factory,
-    tuned: RewriterFactory = sentence_lines_factory,
+    base: Rewriter,
+    tuned: Rewriter,
     key_cols: tuple[str, ...] = ("doc_id",),
     text_col: str = "text",
 ) -> DataFrame:
-    """``key_cols, text, before, after``: blank rows get the guard's values,
-    the others both rewrites from one Python pass over one scan."""
+    """``key_cols, text, before, after``: blank rows get the guard's values, the
+    others both rewrites: rules as columns, all others from one Python pass over
+    one scan."""
     g = guard_input(df.select(*key_cols, text_col), text_col).select(*key_cols, text_col, "before", "after", "needs_rewrite")
+    named = {"before": base, "after": tuned}
+    for name, r in named.items():
+        if isinstance(r, ColumnRule):
+            g = g.withColumn(name, F.when(F.col("needs_rewrite"), r.expr(F.col(text_col))).otherwise(F.col(name)))
+    models = {name: r for name, r in named.items() if not isinstance(r, ColumnRule)}
+    if not models:
+        return g.drop("needs_rewrite")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in g.schema.fields if f.name != "needs_rewrite")
-    return g.mapInPandas(_guarded({"before": base, "after": tuned}, text_col), schema)
+    return g.mapInPandas(_guarded(models, text_col), schema)

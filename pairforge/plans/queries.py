@@ -26,7 +26,7 @@ from pairforge.operators.pairs import (
 from pairforge.operators.sampling import group_split, leaked_groups, shuffle_key, subsample_k, train_val_split, with_position
 from pairforge.plans import build as B
 from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
-from pairforge.operators.rewrite import batch_rewrite, compare_rewrites, guard_input, squeeze_factory
+from pairforge.operators.rewrite import SENTENCE_LINES, SQUEEZE, batch_rewrite, compare_rewrites, guard_input, sentence_lines_factory, squeeze_factory
 from pairforge.operators.rewrite_job import budgeted, rewrite_job, rewritten
 from pairforge.operators.token_limit import token_limit
 from pairforge.operators.validate import (
@@ -457,7 +457,7 @@ def q_guard_input(spark, sf):
 
 
 def q_batch_rewrite(spark, sf):
-    return batch_rewrite(_docs(spark, sf)).select("doc_id", "rewrite")
+    return batch_rewrite(_docs(spark, sf), squeeze_factory).select("doc_id", "rewrite")
 
 
 def q_resume_rewrite(spark, sf):
@@ -472,19 +472,23 @@ def q_resume_rewrite(spark, sf):
 
 
 def q_compare_rewrites(spark, sf):
-    return compare_rewrites(_docs(spark, sf)).select("doc_id", "before", "after")
+    return compare_rewrites(_docs(spark, sf), squeeze_factory, sentence_lines_factory).select("doc_id", "before", "after")
+
+
+def _compared(spark, sf):
+    return compare_rewrites(_docs(spark, sf), SQUEEZE, SENTENCE_LINES)
 
 
 def q_eval_length(spark, sf):
-    return eval_length(compare_rewrites(_docs(spark, sf)))
+    return eval_length(_compared(spark, sf))
 
 
 def q_eval_numbers(spark, sf):
-    return eval_numbers(compare_rewrites(_docs(spark, sf)))
+    return eval_numbers(_compared(spark, sf))
 
 
 def q_eval_readability(spark, sf):
-    return eval_readability(compare_rewrites(_docs(spark, sf)))
+    return eval_readability(_compared(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
