@@ -25,6 +25,7 @@ from pairforge.operators.sampling import group_split, train_val_split
 from pairforge.plans.views import pairs_conv, pairs_doc
 from pairforge.session import drop_scratch, literal_frame, scratch_path
 from pairforge.sources.splits import write_pairs, write_splits
+from pairforge.sources.versions import publish
 
 # Caps and cuts are options of a source, off by default: the build takes every
 # accepted pair. 10 % validation with seed 42.
@@ -127,17 +128,21 @@ def run_build(
     seed: int = SEED,
     pairs_dir: str | None = None,
     group_cols: Sequence[str] | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
     """Build and write ``out_dir/split=train|val`` JSON lines, and the pairs below
     ``pairs_dir`` if given; returns the split counts. Empty input writes no splits
-    and reports 'no data'."""
+    and reports 'no data'. ``versioned`` publishes the splits as a new version of
+    ``out_dir`` (``sources.versions``) in place of overwriting it."""
     res = build_records(sources, val_ratio, seed, group_cols=group_cols)
     try:
         if pairs_dir is not None:
             write_pairs(res.pairs, pairs_dir)
         rows = split_counts(res.records).collect()  # two rows
         total = sum(r["records"] for r in rows)
-        if total > 0:
+        if total > 0 and versioned:
+            publish(spark, out_dir, lambda folder: write_splits(res.records, folder))
+        elif total > 0:
             write_splits(res.records, out_dir)
     finally:
         # the intermediate union table is not needed once the splits are written

@@ -329,6 +329,11 @@ SQL["report_empty_val"] = f"""WITH {UNION}
 SELECT 'train' AS file, CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS invalid, 'all records valid' AS status FROM union_all
 UNION ALL SELECT 'val', CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'missing'"""
 
+SQL["publish_versions"] = f"""WITH {UNION}, n AS (SELECT count(*) AS n FROM union_all),
+v AS (SELECT version, CAST(floor(n * ratio) AS BIGINT) AS val, n FROM n, (VALUES (1, CAST(0.1 AS DOUBLE)), (2, CAST(0.2 AS DOUBLE))) r(version, ratio)),
+s AS (SELECT version, 'val' AS split, val AS records FROM v UNION ALL SELECT version, 'train', n - val FROM v)
+SELECT CAST(version AS BIGINT) AS version, split, CAST(records AS BIGINT) AS records, CAST(3 * records AS BIGINT) AS messages FROM s WHERE records > 0"""
+
 SQL["file_sources"] = f"""WITH {PAIRS_CONV}, {PAIRS_DOC},
 f AS (SELECT conv_id % 3 AS o, CASE WHEN conv_id % 3 = 1 THEN turn % 4 ELSE 0 END AS p, conv_id, turn,
         {strip('query')} AS abstract, {strip('answer')} AS plain_summary FROM pairs_conv WHERE conv_id % 3 < 2),

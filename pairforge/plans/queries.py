@@ -46,6 +46,7 @@ from pairforge.streaming.validate_stream import validate_files_once
 from pairforge.session import scratch_path
 from pairforge.sources.parquet import pick_columns, scan_ordered
 from pairforge.sources.splits import read_json_array, read_splits, write_json_arrays, write_splits
+from pairforge.sources.versions import publish, resolve
 
 Query = Callable[[SparkSession, str], DataFrame]
 SUBSAMPLE_SIZES = {"train": 300, "val": 50}
@@ -402,6 +403,26 @@ def q_validate_files(spark, sf):
     return check_split_files(spark, out)
 
 
+def q_publish_versions(spark, sf):
+    """Splits published with a tenth, then with a fifth of validation; in between a
+    write that fails after its files are there. Records of both versions."""
+    out = f"{scratch_path(spark, 'versions')}/splits"
+    sources = B.default_sources(spark, sf)
+    B.run_build(spark, sources, out, val_ratio=0.1, versioned=True)
+
+    def failing(folder: str) -> None:
+        pairs_conv(spark, sf).select("query").write.text(folder)
+        raise InterruptedError
+
+    try:
+        publish(spark, out, failing)
+    except InterruptedError:
+        pass
+    B.run_build(spark, sources, out, val_ratio=0.2, versioned=True)
+    parts = [read_splits(spark, resolve(spark, out, v)).select(F.lit(v).cast("bigint").alias("version"), "split", F.size("messages").alias("n")) for v in (1, 2)]
+    return parts[0].unionByName(parts[1]).groupBy("version", "split").agg(F.count(F.lit(1)).alias("records"), F.sum("n").alias("messages"))
+
+
 def q_subsample_files(spark, sf):
     """Build, write the split JSON lines, keep 300 train / 50 val lines of the
     files (seeded, by content), and read the sample back."""
@@ -529,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "length_stats": q_length_stats,
     "validation_summary": q_validation_summary,
     "validate_files": q_validate_files,
+    "publish_versions": q_publish_versions,
     "subsample_files": q_subsample_files,
     "stream_validate": q_stream_validate,
     "token_budget": q_token_budget,
