@@ -36,7 +36,7 @@ from pairforge.session import scratch_path
 
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
-MAX_CACHED = 100_000  # pieces: some 25 MB of a Python worker
+MAX_CACHED = 350_000  # pieces: some 85 MB of a Python worker while it tokenizes
 JOINED = 32
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
