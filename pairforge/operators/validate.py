@@ -269,7 +269,7 @@ def stats_text(n: Column, mn: Column, md: Column, mx: Column, mean: Column) -> C
     )
 
 
-def _message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataFrame:
+def message_rows(validated: DataFrame, file_col: str, record_col: str) -> DataFrame:
     """One row per message (one row for a record without messages):
     ``file, first, bad, role, wc`` where ``first`` marks one row per record and
     ``wc`` is set only for the stats roles."""
@@ -313,7 +313,7 @@ def validation_summary(
     ``(file, role)`` (word statistics); a small second aggregation puts each
     file's levels side by side.
     """
-    rows = _message_rows(validated, file_col, record_col)
+    rows = message_rows(validated, file_col, record_col)
     levels = rows.groupingSets([[file_col], [file_col, "role"]], file_col, "role").agg(
         F.grouping_id().alias("level"),
         F.count_if(F.col("first") & F.col("ok")).alias("records"),

@@ -22,7 +22,7 @@ from pairforge.session import literal_frame, path_exists
 REPORT = "file string, records bigint, invalid bigint, status string, user_words string, assistant_words string"
 
 
-def _absent(name: str) -> tuple:
+def absent(name: str) -> tuple:
     return (name, 0, 0, "missing", "no data", "no data")
 
 
@@ -36,7 +36,7 @@ def check_split_files(spark: SparkSession, out_dir: str, splits: Sequence[str] =
     """Summary per split directory below ``out_dir`` (``split=<name>``); expected
     splits that have no files are listed as missing, with 0 records."""
     if not any(path_exists(spark, f"{out_dir}/split={s}") for s in splits):
-        return literal_frame(spark, [_absent(s) for s in splits], REPORT)
+        return literal_frame(spark, [absent(s) for s in splits], REPORT)
     # one pass: the summary also counts lines that are not JSON or too long; only
     # when there are any is the first one located (with its line number) and raised
     parsed = load_jsonl(spark, out_dir, mode="collect").withColumnRenamed("split", "file")
@@ -44,4 +44,4 @@ def check_split_files(spark: SparkSession, out_dir: str, splits: Sequence[str] =
     if any(r["bad_json"] or r["too_long"] for r in rows):
         load_jsonl(spark, out_dir, mode="failfast")  # raises JsonLinesError naming file and line
     found = {r["file"]: tuple(r)[:-2] for r in rows}
-    return literal_frame(spark, [*found.values(), *(_absent(x) for x in splits if x not in found)], REPORT)
+    return literal_frame(spark, [*found.values(), *(absent(x) for x in splits if x not in found)], REPORT)

@@ -306,6 +306,11 @@ SQL["validate_files"] = SQL["validation_summary"].replace(
     "FROM counts c JOIN txt t ON t.file = c.file", "FROM counts c JOIN txt t ON t.file = c.file WHERE c.file <> 'chat'"
 )
 
+_TWO_SPLITS = UNION + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || pair_key), pair_key) AS rn, count(*) OVER (PARTITION BY source) AS n FROM union_all),
+split AS (SELECT *, CASE WHEN rn <= floor(n * CAST(0.1 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split FROM ranked)"""
+SQL["report_incremental"] = SQL["validate_files"].replace(f"WITH {SPLIT}, ", f"WITH {_TWO_SPLITS}, ")
+
 SQL["subsample_files"] = f"""WITH {SPLIT},
 lines AS (
   SELECT split, CAST(to_json({{'messages': [{{'role': 'system', 'content': {SYS}}}, {{'role': 'user', 'content': abstract}},

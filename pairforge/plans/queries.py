@@ -25,6 +25,7 @@ from pairforge.operators.pairs import (
 )
 from pairforge.operators.sampling import group_split, leaked_groups, shuffle_key, subsample_k, train_val_split, with_position
 from pairforge.plans import build as B
+from pairforge.plans import report_ledger
 from pairforge.operators.evaluate import eval_length, eval_numbers, eval_readability
 from pairforge.operators.rewrite import SENTENCE_LINES, SQUEEZE, batch_rewrite, compare_rewrites, guard_input, sentence_lines_factory, squeeze_factory
 from pairforge.operators.rewrite_job import budgeted, rewrite_job, rewritten
@@ -423,6 +424,20 @@ def q_publish_versions(spark, sf):
     return parts[0].unionByName(parts[1]).groupBy("version", "split").agg(F.count(F.lit(1)).alias("records"), F.sum("n").alias("messages"))
 
 
+def q_report_incremental(spark, sf):
+    """The report after the splits of a second source have joined those of the first:
+    the second update reads the new files only."""
+    root = scratch_path(spark, "incremental")
+    for k, source in enumerate((B.conv_source(spark, sf), B.doc_source(spark, sf))):
+        records = B.build_records([source]).records.select("split", "messages")
+        records.write.mode("append").partitionBy("split").json(f"{root}/splits")
+        files = report_ledger.update(spark, f"{root}/splits", f"{root}/ledger")
+        if k and any(f in before for f in files):
+            raise RuntimeError("a file that has not changed was read again")
+        before = set(files)
+    return report_ledger.report(spark, f"{root}/splits", f"{root}/ledger")
+
+
 def q_subsample_files(spark, sf):
     """Build, write the split JSON lines, keep 300 train / 50 val lines of the
     files (seeded, by content), and read the sample back."""
@@ -551,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "validation_summary": q_validation_summary,
     "validate_files": q_validate_files,
     "publish_versions": q_publish_versions,
+    "report_incremental": q_report_incremental,
     "subsample_files": q_subsample_files,
     "stream_validate": q_stream_validate,
     "token_budget": q_token_budget,
