@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from pairforge.operators.chat import CHATML, ChatTemplate, render_prompt
+from pairforge.operators.chat import CHATML, ChatTemplate, placed_messages, render_prompt, template_parts
 
 ENCODED_AT_ONCE = 32  # texts; their offsets take some 100 bytes a token
 
@@ -68,23 +68,19 @@ def token_cut(tokenizer_file: str, limit: int, special: bool = False) -> Callabl
 
 
 def message_spans(messages: Column, template: ChatTemplate = CHATML) -> Column:
-    """(role, start, end) of each message's content in the rendered text."""
-    head, _, tail = template.message.partition("{content}")
-    if "{content}" in tail:
-        raise ValueError("the template repeats the content")
-
-    def width(piece: str, m: Column) -> Column:
-        n = piece.count("{role}")
-        return F.length(F.coalesce(m["role"], F.lit(""))) * n + len(piece) - n * len("{role}")
+    """(role, start, end) of each message's content in the rendered text, as the
+    template places the messages."""
 
     def step(x: Column, m: Column) -> Column:
-        start = x["at"] + width(head, m)
-        end = start + F.length(F.coalesce(m["content"], F.lit("")))
+        head, text, tail = template_parts(m, template)
+        start = x["at"] + F.length(head)
+        end = start + F.length(text)
         span = F.struct(m["role"].alias("role"), start.cast("bigint").alias("start"), end.cast("bigint").alias("end"))
-        return F.struct((end + width(tail, m)).cast("bigint").alias("at"), F.concat(x["spans"], F.array(span)).alias("spans"))
+        return F.struct((end + F.length(tail)).cast("bigint").alias("at"), F.concat(x["spans"], F.array(span)).alias("spans"))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<role:string,start:bigint,end:bigint>>").alias("spans"))
-    return F.aggregate(messages, zero, step, lambda x: x["spans"])
+    none = F.array().cast("array<struct<role:string,start:bigint,end:bigint>>")
+    zero = F.struct(F.lit(len(template.start)).cast("bigint").alias("at"), none.alias("spans"))
+    return F.aggregate(placed_messages(messages, template), zero, step, lambda x: x["spans"])
 
 
 def token_limit(records: DataFrame, tokenizer_file: str, limit: int, messages_col: str = "messages", template: ChatTemplate = CHATML, special: bool = False) -> DataFrame:

@@ -164,6 +164,36 @@ CHAT_RECORDS = """chat_records AS (
         WHERE turn - pos >= 0) x
   GROUP BY conv_id, start)"""
 
+_ROLE, _BODY = "struct_extract(m, 'role')", "struct_extract(m, 'content')"
+_NL = "chr(10)"
+_SYS_FIRST = "struct_extract(messages[1], 'role') = 'system'"
+
+
+def _each(expr: str) -> str:
+    """The messages, each as ``expr`` of role r and content c, put together."""
+    return "array_to_string(list_transform({src}, lambda m: " + expr + "), '')"
+
+
+def _system_into_user(head: str, tail: str) -> str:
+    prefix = f"{head} || {strip('struct_extract(messages[1], ' + q('content') + ')')} || {tail}"
+    joined = f"{{'role': struct_extract(messages[2], 'role'), 'content': {prefix} || {strip('struct_extract(messages[2], ' + q('content') + ')')}}}"
+    return f"""CASE WHEN {_SYS_FIRST} AND len(messages) = 1 THEN [{{'role': 'user', 'content': {prefix}}}]
+      WHEN {_SYS_FIRST} THEN list_concat([{joined}], messages[3:]) ELSE messages END"""
+
+
+RENDERED = CHAT_RECORDS + f""",
+placed AS (SELECT conv_id, start, messages, {_system_into_user("''", _NL + " || " + _NL)} AS t,
+  {_system_into_user("'<<SYS>>' || " + _NL, _NL + " || '<</SYS>>' || " + _NL + " || " + _NL)} AS i FROM chat_records)
+SELECT conv_id, start,
+  {_each(f"'<|im_start|>' || {_ROLE} || {_NL} || {_BODY} || '<|im_end|>' || {_NL}").format(src='messages')} || '<|im_start|>assistant' || {_NL} AS chatml,
+  '<|begin_of_text|>' || {_each(f"'<|start_header_id|>' || {_ROLE} || '<|end_header_id|>' || {_NL} || {_NL} || {strip(_BODY)} || '<|eot_id|>'").format(src='messages')}
+    || '<|start_header_id|>assistant<|end_header_id|>' || {_NL} || {_NL} AS headers,
+  '<bos>' || {_each(f"'<start_of_turn>' || CASE {_ROLE} WHEN 'assistant' THEN 'model' ELSE {_ROLE} END || {_NL} || {strip(_BODY)} || '<end_of_turn>' || {_NL}").format(src='t')}
+    || '<start_of_turn>model' || {_NL} AS turns,
+  {_each(f"CASE {_ROLE} WHEN 'user' THEN '<s>[INST] ' || {strip(_BODY)} || ' [/INST]' WHEN 'assistant' THEN ' ' || {strip(_BODY)} || ' </s>' ELSE {strip(_BODY)} END").format(src='i')} AS inst
+FROM placed"""
+SQL["render_templates"] = "WITH " + RENDERED
+
 VALIDATED = CHAT_RECORDS + f""",
 validated AS (
   SELECT conv_id, start, messages, list_concat(

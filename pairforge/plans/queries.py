@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions import text as T
-from pairforge.operators.chat import CHATML, format_chat, prompt_messages, render_prompt, to_jsonl
+from pairforge.operators.chat import CHATML, HEADERS, INST, TURNS, format_chat, prompt_messages, render_prompt, to_jsonl
 from pairforge.operators.pairs import (
     clean_pair_columns,
     json_array_source,
@@ -340,6 +340,14 @@ def q_render_prompt(spark, sf):
     return docs.select("doc_id", render_prompt(prompt_messages(F.col("text")), CHATML).alias("prompt"))
 
 
+def q_render_templates(spark, sf):
+    """The first three turns from each turn on, whatever their roles, as four model
+    families write them."""
+    recs = chat_records(spark, sf)
+    named = {"chatml": CHATML, "headers": HEADERS, "turns": TURNS, "inst": INST}
+    return recs.select("conv_id", "start", *[render_prompt(F.col("messages"), t).alias(n) for n, t in named.items()])
+
+
 def q_to_jsonl(spark, sf):
     return to_jsonl(format_chat(_union(spark, sf)), keep=("pair_key",))
 
@@ -556,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "format_chat": q_format_chat,
     "format_prompt": q_format_prompt,
     "render_prompt": q_render_prompt,
+    "render_templates": q_render_templates,
     "to_jsonl": q_to_jsonl,
     "split_roundtrip": q_split_roundtrip,
     "jsonl_parse": q_jsonl_parse,

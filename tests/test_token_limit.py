@@ -4,8 +4,10 @@ import random
 
 import pytest
 
-from pairforge.operators.chat import CHATML, ChatTemplate
-from pairforge.operators.token_limit import token_limit, tokenizer_counter
+from pyspark.sql import functions as F
+
+from pairforge.operators.chat import CHATML, HEADERS, INST, TURNS, ChatTemplate, placed_messages, render_prompt
+from pairforge.operators.token_limit import message_spans, token_limit, tokenizer_counter
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -26,6 +28,16 @@ def made():
     return [*enumerate([*rows, [("user", None), (None, "x")], [], None, [("user", "")], [("user", text(5000))]])]
 
 
+def test_spans_of_other_templates(spark):
+    """Every content stands where the spans say."""
+    df = spark.createDataFrame([r for r in made() if r[1] is not None], SCHEMA)
+    for t in (CHATML, HEADERS, TURNS, INST):
+        cols = [render_prompt(F.col("messages"), t, False).alias("text"), message_spans(F.col("messages"), t).alias("spans"), placed_messages(F.col("messages"), t).alias("placed")]
+        for r in df.select(*cols).collect():
+            want = [(m["content"] or "").strip() if t.trim else m["content"] or "" for m in r["placed"]]
+            assert [r["text"][s["start"] : s["end"]] for s in r["spans"]] == want
+
+
 @pytest.mark.parametrize("template", [CHATML, PLAIN])
 @pytest.mark.parametrize("limit", [1, 40, 10_000_000])
 def test_cut_and_losses(spark, template, limit):
