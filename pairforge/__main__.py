@@ -67,7 +67,8 @@ def cmd_build(spark: SparkSession, args) -> None:
 
     sources = [_source(spark, s) for s in args.source]
     sources += [s for s in (_json_source(spark, x) for x in args.json_source) if s is not None]
-    for r in run_build(spark, sources, args.out, args.val_ratio, args.seed).collect():
+    group_cols = {None: None, "input": ("abstract",), "pair": ("abstract", "plain_summary")}[args.together]
+    for r in run_build(spark, sources, args.out, args.val_ratio, args.seed, group_cols=group_cols, versioned=args.versioned).collect():
         print(f"{r['split']}: {r['records']} records ({r['status']})")
 
 
@@ -123,6 +124,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     b.add_argument("--out", required=True)
     b.add_argument("--val-ratio", type=float, default=0.1)
     b.add_argument("--seed", type=int, default=42)
+    b.add_argument("--together", choices=["input", "pair"], help="keep equal inputs, or equal pairs, on one side of the split")
+    b.add_argument("--versioned", action="store_true", help="publish a new version of the output in place of overwriting it")
     c = sub.add_parser("check", help="validate written split files")
     c.add_argument("dir")
     ss = sub.add_parser("subsample", help="exact seeded subsample of written split files into a new directory")

@@ -125,3 +125,21 @@ def test_check_raises_on_a_line_that_is_not_json(spark, tmp_dir, capsys):
         f.write('{"messages": []}\n\n{broken\n')
     with pytest.raises(JsonLinesError, match=r"line 3 of .*a-extra\.json"):
         main(["check", out], spark=spark)
+
+
+def test_build_together_and_versioned(spark, tmp_dir, capsys):
+    from pairforge.sources.splits import read_splits
+    from pairforge.sources.versions import resolve
+
+    src, out = f"{tmp_dir}/src.parquet", f"{tmp_dir}/out"
+    rows = [(f"{L51} {i % 8}", f"{L51} plain {i}") for i in range(80)]
+    spark.createDataFrame(rows, "abstract string, target string").write.parquet(src)
+    for ratio in ("0.4", "0.3"):
+        main(["build", "--source", f"one={src}", "--out", out, "--val-ratio", ratio, "--together", "input", "--versioned"], spark=spark)
+    assert "val: 20 records" in capsys.readouterr().out  # 24 do not hold a third group of ten
+    sides = {}
+    for r in read_splits(spark, resolve(spark, out)).collect():
+        sides.setdefault(r["messages"][1]["content"], set()).add(r["split"])
+    assert len(sides) == 8 and all(len(s) == 1 for s in sides.values())
+    first = read_splits(spark, resolve(spark, out, 1))
+    assert first.filter("split = 'val'").count() == 30
