@@ -19,7 +19,8 @@ The sample decides only where rows go, not what is found.
 
 Null texts have no words; texts under ``WINDOW`` words lose none. Repeated rows
 are occurrences of their own, so each is a copy of the other. An empty table
-gives no rows. Other columns are ignored. Windows are compared by 96 hash bits.
+gives no rows. Other columns are ignored. Windows are compared by 64 bits, folded
+from the anchor's hash and 32 bits of the window's; no words are compared.
 """
 
 from __future__ import annotations
