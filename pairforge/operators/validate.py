@@ -31,8 +31,12 @@ from pairforge.sources.jsonl import TOO_LONG
 # Fixed value: the role order every record must have.
 EXPECTED_ROLES = ["system", "user", "assistant"]
 STAT_ROLES = ["user", "assistant"]
+# The texts of the problems.
 MISSING_KEY = "missing 'messages' key"
 NOT_A_LIST = "'messages' is not a list"
+WRONG_ORDER = "unexpected role order: ["
+EMPTY_CONTENT = "empty content for role '"
+OTHER_CONTENT = "non-string content for role '"
 
 
 def _field(m: Column, name: str) -> Column:
@@ -84,7 +88,7 @@ def record_problems(record: Column) -> Column:
     order_problem = F.when(
         ~roles_ok,
         F.concat(
-            F.lit("unexpected role order: ["),
+            F.lit(WRONG_ORDER),
             F.array_join(F.transform(msgs, lambda m: _role_repr(_field(m, "role"))), ", "),
             F.lit("]"),
         ),
@@ -94,9 +98,9 @@ def record_problems(record: Column) -> Column:
         c = _field(m, "content")
         role = _role_text(_field(m, "role"))
         return (
-            F.when(_is_none(c), F.concat(F.lit("empty content for role '"), role, F.lit("'")))
-            .when(~_is_string(c), F.concat(F.lit("non-string content for role '"), role, F.lit("'")))
-            .when(py_strip(_as_string(c)) == F.lit(""), F.concat(F.lit("empty content for role '"), role, F.lit("'")))
+            F.when(_is_none(c), F.concat(F.lit(EMPTY_CONTENT), role, F.lit("'")))
+            .when(~_is_string(c), F.concat(F.lit(OTHER_CONTENT), role, F.lit("'")))
+            .when(py_strip(_as_string(c)) == F.lit(""), F.concat(F.lit(EMPTY_CONTENT), role, F.lit("'")))
         )
 
     checked = F.array_compact(F.concat(F.array(order_problem), F.transform(msgs, content_problem)))
@@ -122,13 +126,13 @@ def typed_problems(messages: Column) -> Column:
 
     order_problem = F.when(
         ~roles_ok,
-        F.concat(F.lit("unexpected role order: ["), F.array_join(F.transform(messages, role_repr), ", "), F.lit("]")),
+        F.concat(F.lit(WRONG_ORDER), F.array_join(F.transform(messages, role_repr), ", "), F.lit("]")),
     )
     content = F.transform(
         messages,
         lambda m: F.when(
             F.coalesce(py_strip(m["content"]), F.lit("")) == F.lit(""),
-            F.concat(F.lit("empty content for role '"), role_text(m), F.lit("'")),
+            F.concat(F.lit(EMPTY_CONTENT), role_text(m), F.lit("'")),
         ),
     )
     checked = F.array_compact(F.concat(F.array(order_problem), content))
