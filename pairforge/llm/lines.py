@@ -80,13 +80,19 @@ class LineRuns:
     def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT):
         self.spark, self.root, self.fanout = spark, root, fanout
         self.levels: list[list[str]] = []
+        self.turn = 0
         fs, base = locate(root)
-        if fs.get_file_info(f"{base}/runs.json").type == pafs.FileType.File:
-            with fs.open_input_stream(f"{base}/runs.json") as f:
+        found = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+        lists = sorted(f.path for f in found if f.type == pafs.FileType.File and f.base_name.startswith("runs-"))
+        if lists:
+            self.turn = int(lists[-1].rsplit("runs-", 1)[1].removesuffix(".json"))
+            with fs.open_input_stream(lists[-1]) as f:
                 self.levels = json.loads(f.read())
 
     def _commit(self) -> None:
-        f = CommittedFile(self.root, "runs.json")
+        """Write the list of runs under the next number; the highest one counts."""
+        self.turn += 1
+        f = CommittedFile(self.root, f"runs-{self.turn:09d}.json")
         f.write(json.dumps(self.levels).encode())
         f.commit()
 

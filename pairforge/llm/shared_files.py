@@ -20,7 +20,9 @@ def locate(uri: str) -> tuple[pafs.FileSystem, str]:
 
 class CommittedFile:
     """A file that appears under its final name only when complete. A second
-    attempt of the same task writes the same bytes and replaces it."""
+    attempt of the same task writes the same bytes: its file takes the place of the
+    first in one step, or, where a store does not rename onto a file, is dropped. At
+    no time is a committed file missing."""
 
     def __init__(self, root: str, name: str):
         self.fs, base = locate(root)
@@ -35,9 +37,11 @@ class CommittedFile:
 
     def commit(self) -> None:
         self.out.close()
-        if self.fs.get_file_info(self.final).type != pafs.FileType.NotFound:
-            self.fs.delete_file(self.final)
-        self.fs.move(self.tmp, self.final)
+        try:
+            self.fs.move(self.tmp, self.final)
+        except OSError:
+            if self.fs.get_file_info(self.final).type != pafs.FileType.File:
+                raise
 
 
 def drop_temporary(root: str) -> None:
