@@ -76,7 +76,7 @@ def materialize_at(df: DataFrame, name: str = "pairs") -> tuple[DataFrame, str]:
     """``materialize``, and the table's path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path), path
 
 
@@ -95,12 +95,17 @@ def build_records(
     system_prompt: str = SYSTEM_PROMPT,
     checkpoint: bool = True,
     group_cols: Sequence[str] | None = None,
+    pairs: DataFrame | None = None,
 ) -> BuildResult:
     """Pairs, chat records and counts. With ``group_cols`` (of ``abstract`` and
-    ``plain_summary``) pairs that agree in them stay on one side of the split."""
-    pairs, path = union_sources(sources), None
-    if checkpoint:
-        pairs, path = materialize_at(pairs)
+    ``plain_summary``) pairs that agree in them stay on one side of the split.
+    Several builds of the same sources may share ``pairs``, their union as a written
+    table, which is then the caller's to drop."""
+    path = None
+    if pairs is None:
+        pairs = union_sources(sources)
+        if checkpoint:
+            pairs, path = materialize_at(pairs)
     texts = pairs.select("pair_key", "abstract", "plain_summary")
     if group_cols:
         records = group_split(texts, val_ratio, seed, group_cols)
@@ -129,21 +134,24 @@ def run_build(
     pairs_dir: str | None = None,
     group_cols: Sequence[str] | None = None,
     versioned: bool = False,
+    pairs: DataFrame | None = None,
+    compression: str = "none",
 ) -> DataFrame:
     """Build and write ``out_dir/split=train|val`` JSON lines, and the pairs below
     ``pairs_dir`` if given; returns the split counts. Empty input writes no splits
     and reports 'no data'. ``versioned`` publishes the splits as a new version of
-    ``out_dir`` (``sources.versions``) in place of overwriting it."""
-    res = build_records(sources, val_ratio, seed, group_cols=group_cols)
+    ``out_dir`` (``sources.versions``) in place of overwriting it. ``pairs``: see
+    ``build_records``; ``compression``: see ``write_splits``."""
+    res = build_records(sources, val_ratio, seed, group_cols=group_cols, pairs=pairs)
     try:
         if pairs_dir is not None:
             write_pairs(res.pairs, pairs_dir)
         rows = split_counts(res.records).collect()  # two rows
         total = sum(r["records"] for r in rows)
         if total > 0 and versioned:
-            publish(spark, out_dir, lambda folder: write_splits(res.records, folder))
+            publish(spark, out_dir, lambda folder: write_splits(res.records, folder, compression=compression))
         elif total > 0:
-            write_splits(res.records, out_dir)
+            write_splits(res.records, out_dir, compression=compression)
     finally:
         # the intermediate union table is not needed once the splits are written
         if res.path is not None:
@@ -159,10 +167,11 @@ def run_pipeline(
     pairs_dir: str | None = None,
     val_ratio: float = VAL_RATIO,
     seed: int = SEED,
+    compression: str = "none",
 ) -> DataFrame:
     """Build, write the pairs (when ``pairs_dir`` is given) and the splits, then
     validate the written files; returns the check's report per split."""
     from pairforge.plans.check import check_split_files
 
-    run_build(spark, sources, out_dir, val_ratio, seed, pairs_dir)
+    run_build(spark, sources, out_dir, val_ratio, seed, pairs_dir, compression=compression)
     return check_split_files(spark, out_dir)

@@ -44,7 +44,7 @@ from pairforge.plans.subsample import subsample_files
 from pairforge.plans.views import chat_records, pairs_conv, pairs_doc, table
 from pairforge.sources.jsonl import INVALID, bad_lines, line_numbers, parse_lines, read_lines
 from pairforge.streaming.validate_stream import validate_files_once
-from pairforge.session import scratch_path
+from pairforge.session import drop_scratch, scratch_path, side_table
 from pairforge.sources.parquet import pick_columns, scan_ordered
 from pairforge.sources.splits import read_json_array, read_splits, write_json_arrays, write_splits
 from pairforge.sources.versions import publish, resolve
@@ -55,6 +55,7 @@ CAP_TEST = {"conv": 100, "doc": 200}
 FILES_CAP = 120
 BATCH_WORDS = 20_000  # padded words of one call of a rewriter
 ARRAY_ROWS = 10_000  # objects of one JSON array file
+COMPRESSION = "gzip"  # of split files
 
 
 def _flat_messages(df: DataFrame, n: int, keep: list[str]) -> DataFrame:
@@ -161,13 +162,18 @@ def q_split_order(spark, sf):
     """The written split files, line by line in file order."""
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     lines = read_lines(spark, out)
     numbered = line_numbers(lines, lines)
-    files = lines.groupBy("split", "file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
-    before = F.sum("n").over(Window.partitionBy("split").orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
-    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
-    return numbered.join(files, "file_path").select("split", (F.col("before") + F.col("line_no") - 1).alias("position"), "value")
+    return numbered.join(_rows_before(lines, "split"), "file_path").select("split", (F.col("before") + F.col("line_no") - 1).alias("position"), "value")
+
+
+def _rows_before(rows: DataFrame, *within: str) -> DataFrame:
+    """(file_path, before): the rows of the files before each one (of the same
+    ``within``), a row per file."""
+    files = rows.groupBy(*within, "file_path").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*within).orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    return side_table(files.select("file_path", F.coalesce(before, F.lit(0)).alias("before")), "rows-before")
 
 
 def _in_ranges(df: DataFrame, *order: str) -> DataFrame:
@@ -225,10 +231,7 @@ def q_json_array_split(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.col("doc_id").alias("id"), "text")
     write_json_arrays(docs, "doc_id", root, ARRAY_ROWS, "none")
     rows = read_json_array(spark, root, "id bigint, text string")
-    files = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
-    before = F.sum("n").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
-    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
-    return rows.join(files, "file_path").select("id", "text", (F.col("before") + F.col("element")).alias("position"))
+    return rows.join(_rows_before(rows), "file_path").select("id", "text", (F.col("before") + F.col("element")).alias("position"))
 
 
 def q_bad_lines(spark, sf):
@@ -237,10 +240,7 @@ def q_bad_lines(spark, sf):
     is blank."""
     out = scratch_path(spark, "hostile")
     _in_ranges(hostile_props(spark, sf), "line_no").select("value").write.text(out)
-    files = read_lines(spark, out).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))  # a row per file
-    before = F.sum("n").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
-    files = files.select("file_path", F.coalesce(before, F.lit(0)).alias("before"))
-    bad = bad_lines(spark, out).filter(F.col("status") == INVALID).join(files, "file_path")
+    bad = bad_lines(spark, out).filter(F.col("status") == INVALID).join(_rows_before(read_lines(spark, out)), "file_path")
     return bad.select((F.col("before") + F.col("line_no")).alias("line_no"), "value")
 
 
@@ -272,14 +272,14 @@ def q_validate_hostile(spark, sf):
 def q_report_empty_val(spark, sf):
     """Build with an empty validation split, write pairs and files, check them."""
     root = scratch_path(spark, "report")
-    return B.run_pipeline(spark, B.default_sources(spark, sf), f"{root}/splits", f"{root}/pairs", val_ratio=0.0).select("file", "records", "invalid", "status")
+    return B.run_pipeline(spark, B.default_sources(spark, sf), f"{root}/splits", f"{root}/pairs", val_ratio=0.0, compression=COMPRESSION).select("file", "records", "invalid", "status")
 
 
 def q_first_record(spark, sf):
     """The first training line of the written files, in full."""
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     return first_record(spark, out)
 
 
@@ -355,7 +355,7 @@ def q_to_jsonl(spark, sf):
 def q_split_roundtrip(spark, sf):
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     back = read_splits(spark, out)
     return _flat_messages(back, 3, ["split"])
 
@@ -408,7 +408,7 @@ def q_validate_files(spark, sf):
     """Build, write the split JSON lines, and validate the written files."""
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     return check_split_files(spark, out)
 
 
@@ -417,7 +417,8 @@ def q_publish_versions(spark, sf):
     write that fails after its files are there. Records of both versions."""
     out = f"{scratch_path(spark, 'versions')}/splits"
     sources = B.default_sources(spark, sf)
-    B.run_build(spark, sources, out, val_ratio=0.1, versioned=True)
+    pairs, path = B.materialize_at(union_sources(sources))  # read by both builds
+    B.run_build(spark, sources, out, val_ratio=0.1, versioned=True, pairs=pairs, compression=COMPRESSION)
 
     def failing(folder: str) -> None:
         pairs_conv(spark, sf).select("query").write.text(folder)
@@ -427,7 +428,8 @@ def q_publish_versions(spark, sf):
         publish(spark, out, failing)
     except InterruptedError:
         pass
-    B.run_build(spark, sources, out, val_ratio=0.2, versioned=True)
+    B.run_build(spark, sources, out, val_ratio=0.2, versioned=True, pairs=pairs, compression=COMPRESSION)
+    drop_scratch(spark, path)
     parts = [read_splits(spark, resolve(spark, out, v)).select(F.lit(v).cast("bigint").alias("version"), "split", F.size("messages").alias("n")) for v in (1, 2)]
     return parts[0].unionByName(parts[1]).groupBy("version", "split").agg(F.count(F.lit(1)).alias("records"), F.sum("n").alias("messages"))
 
@@ -451,7 +453,7 @@ def q_subsample_files(spark, sf):
     files (seeded, by content), and read the sample back."""
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     small = scratch_path(spark, "splits-sample")
     subsample_files(spark, out, small, SUBSAMPLE_SIZES, B.SEED)
     return spark.read.text(small).select("split", "value")
@@ -462,7 +464,7 @@ def q_stream_validate(spark, sf):
     validator (every file once) and count records and invalid records per split."""
     res = B.build_records(B.default_sources(spark, sf))
     out = scratch_path(spark, "splits")
-    write_splits(res.records, out)
+    write_splits(res.records, out, compression=COMPRESSION)
     return validate_files_once(spark, out, scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")).select(
         "split", F.col("records").cast("bigint"), F.col("invalid").cast("bigint")
     )

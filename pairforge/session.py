@@ -123,6 +123,17 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
     return F.broadcast(df) if df.count() <= max_rows else None
 
 
+def side_table(df: DataFrame, name: str, most_rows: int = 100_000) -> DataFrame:
+    """``df`` (narrow rows, one per file or byte range) written to the scratch folder
+    and marked for broadcasting up to ``most_rows``, so that the rows it is joined
+    with are not shuffled."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    small = checked_broadcast(rows, most_rows)
+    return rows if small is None else small
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark._jvm

@@ -34,10 +34,17 @@ def write_pairs(pairs: DataFrame, path: str, fmt: str = "parquet") -> None:
         w.parquet(path)
 
 
-def write_splits(records: DataFrame, out_dir: str, max_records_per_file: int = 1_000_000) -> None:
+def compressed(codec: str) -> dict[str, str]:
+    """Writer options of a codec for text files."""
+    return {"compression": codec, "zlib.compress.level": "BEST_SPEED"}
+
+
+def write_splits(records: DataFrame, out_dir: str, max_records_per_file: int = 1_000_000, compression: str = "none") -> None:
     """JSON lines below ``split=<name>`` folders. Records that carry the seeded
     permutation (``shuffle_hash``) are written in its order: range partitioned
-    and sorted, so file names, then lines, follow it."""
+    and sorted, so file names, then lines, follow it. Files are plain text unless
+    ``compression`` names a codec (gzip at its fastest level); each is then read by
+    one task."""
     rows = records
     if "shuffle_hash" in records.columns:
         order = ["split", "shuffle_hash", *(c for c in ("pair_key",) if c in records.columns)]
@@ -47,6 +54,7 @@ def write_splits(records: DataFrame, out_dir: str, max_records_per_file: int = 1
         rows.select("split", "messages")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
+        .options(**compressed(compression))
         .partitionBy("split")
         .json(out_dir)
     )
