@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions.text import py_strip
+from pairforge.session import side_table
 
 # characters of a string that try_parse_json takes
 STRING_LIMIT = 20_000_000
@@ -50,13 +51,14 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def line_numbers(all_lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (a subset of ``all_lines`` with the same order columns) with a
-    ``line_no`` column: the 1-based physical line in its file."""
+    ``line_no`` column: the 1-based physical line in its file. One pass counts the
+    lines of each byte range; the lines themselves are not shuffled."""
     blocks = all_lines.groupBy("file_path", "block_start").agg(
         F.min("lid").alias("first_lid"), F.count(F.lit(1)).alias("n_lines")
     )
     w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("offset", F.coalesce(F.sum("n_lines").over(w), F.lit(0)))
-    return wanted.join(offsets, ["file_path", "block_start"], "inner").withColumn(
+    return wanted.join(side_table(offsets, "line-offsets"), ["file_path", "block_start"], "inner").withColumn(
         "line_no", (F.col("offset") + F.col("lid") - F.col("first_lid") + 1).cast("bigint")
     ).drop("first_lid", "n_lines", "offset")
 
