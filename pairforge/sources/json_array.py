@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ _RANGE = ["file_path", "block_start"]
 _INDEX = "file_path string, block_start bigint, parity int, delta0 bigint, delta1 bigint, depths0 array<bigint>, ends0 array<bigint>, depths1 array<bigint>, ends1 array<bigint>"
 _ELEMENTS = "file_path string, element bigint, part bigint, whole boolean, value string"
 _BLANK = b" \t\n\r"
+RUN_BYTES = 1 << 20  # of text that a task looks at together: its marks take several times that
 
 
 class JsonArrayError(ValueError):
@@ -60,17 +62,19 @@ class _Marks:
         offs = np.frombuffer(values.buffers()[1], np.int64 if pa.types.is_large_string(values.type) else np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
         data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[offs[0] : offs[-1]]
         offs = offs - offs[0]
-        place = np.arange(len(data))
         quotes = np.flatnonzero(data == 34)
-        if len(quotes) and (data == 92).any():
-            solid = np.maximum.accumulate(np.where(data != 92, place, -1))  # last place that is no backslash
-            before = np.where(quotes > 0, solid[np.maximum(quotes - 1, 0)], -1)
-            quotes = quotes[(quotes - 1 - before) % 2 == 0]
+        slashes = np.flatnonzero(data == 92)
+        if len(quotes) and len(slashes):
+            # the run of backslashes that ends right before a quote: its place less its first one's
+            first = np.maximum.accumulate(np.where(np.diff(slashes, prepend=-2) > 1, np.arange(len(slashes)), 0))
+            last = np.searchsorted(slashes, quotes) - 1
+            run = np.where((last >= 0) & (slashes[last] == quotes - 1), last - first[last] + 1, 0)
+            quotes = quotes[run % 2 == 0]
         at = np.searchsorted(quotes, offs)
         self.odd = (at[:-1] + odd) % 2 == 1
         self.odd_end = (at[1:] + odd) % 2 == 1
         self.inner, self.brace = [], []
-        change = np.zeros(256, np.int64)
+        change = np.zeros(256, np.int8)
         change[[123, 91]], change[[125, 93]] = 1, -1
         brackets = np.flatnonzero(change[data])
         in_odd = (np.searchsorted(quotes, brackets) + odd) % 2 == 1
@@ -86,11 +90,13 @@ def _string_column(b: pa.RecordBatch) -> pa.Array:
 
 
 def _ranges(b: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
-    """((file, byte range), first, end) of the batch's runs of pieces."""
+    """((file, byte range), first, end) of the batch's runs of pieces, cut so that
+    none but a single piece has more than ``RUN_BYTES``."""
     files, blocks = b.column(b.schema.get_field_index("file_path")).to_pylist(), b.column(b.schema.get_field_index("block_start")).to_pylist()
+    upto = np.cumsum(pc.fill_null(pc.binary_length(_string_column(b)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     i = 0
     for j in range(1, len(files) + 1):
-        if j == len(files) or blocks[j] != blocks[i] or files[j] != files[i]:
+        if j == len(files) or blocks[j] != blocks[i] or files[j] != files[i] or upto[j] - (upto[i - 1] if i else 0) > RUN_BYTES:
             yield (files[i], blocks[i]), i, j
             i = j
 
@@ -128,13 +134,13 @@ def _fail(file: str, element: int, what: str) -> None:
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, odd, depth, element = None, False, 0, 0
     for b in batches:
-        out: list[tuple] = []
         lid = b.column(b.schema.get_field_index("lid"))
         starts = [b.column(b.schema.get_field_index(c)) for c in ("in_string", "depth", "element")]
         for key, i, j in _ranges(b):
             if key != now:
                 now, odd = key, False
                 inside, depth, element = (c[i].as_py() for c in starts)
+            out: list[tuple] = []
             values = _string_column(b).slice(i, j - i)
             m = _Marks(values, odd)
             h = int(inside)
@@ -156,9 +162,9 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     text = brace + rest
                 out.append((now[0], e, k, o and c, text + "}"))
             odd, depth, element = bool(m.odd_end[-1]), int(after[-1]), int(number[-1] + closes[-1])
-        cols = list(zip(*out)) if out else [[]] * 5
-        types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in _ELEMENTS.split(", ")])
+            cols = list(zip(*out)) if out else [[]] * 5
+            types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in _ELEMENTS.split(", ")])
 
 
 def array_index(spark: SparkSession, path: str) -> DataFrame:
