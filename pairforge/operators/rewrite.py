@@ -2,8 +2,9 @@
 
 A rewriter is supplied as a *factory*: a picklable callable returning a
 function ``pd.Series[str] -> pd.Series[str]``. The factory runs once per task
-(inside ``mapInPandas``), so an expensive model is loaded once per task and
-then fed Arrow batches. ``compare_rewrites`` runs the base and the tuned
+(inside ``mapInArrow``), so an expensive model is loaded once per task and
+then fed slices of Arrow batches, of ``SLICE_BYTES`` of text or a single longer
+one; only the texts become Python objects. ``compare_rewrites`` runs the base and the tuned
 rewriter over the same batch in one pass, base first.
 
 A rewriter that is a rule over text can be a ``ColumnRule`` instead: a function from
@@ -24,7 +25,10 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ EMPTY_NOTICE = "Please paste some medical text above to see the rewrite."
 
 RewriterFactory = Callable[[], Callable[[pd.Series], pd.Series]]
 
+SLICE_BYTES = 1 << 20
+
 _SENTENCE_END = r"([.!?]) "
 
 
@@ -84,30 +90,33 @@ def guard_input(df: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def _guarded(factories: dict[str, RewriterFactory], text_col: str):
-    """Like ``_apply``, but rows that need no rewrite keep the guard's values."""
+def _slices(b: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``SLICE_BYTES`` of text, or of one row."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(b[text_col]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(upto):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + SLICE_BYTES, "right")))
+        yield b.slice(i, j - i)
+        i = j
 
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        funcs = {name: f() for name, f in factories.items()}  # once per task
-        for b in batches:
-            todo = b["needs_rewrite"]
-            src = b.loc[todo, text_col].astype(object)
-            for name, f in funcs.items():
-                if len(src):
-                    b.loc[todo, name] = f(src)
-            yield b.drop(columns="needs_rewrite")
-
-    return fn
 
+def _apply(factories: dict[str, RewriterFactory], text_col: str, guard: str | None = None):
+    """The batches with a column for each factory, or with its values in that column
+    where ``guard`` (which goes) is true."""
 
-def _apply(factories: dict[str, RewriterFactory], text_col: str):
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         funcs = {name: f() for name, f in factories.items()}  # once per task
         for b in batches:
-            src = b[text_col].astype(object)
-            for name, f in funcs.items():
-                b[name] = f(src)
-            yield b
+            for part in _slices(b, text_col):
+                todo = np.ones(len(part), bool) if guard is None else part[guard].to_numpy(zero_copy_only=False).astype(bool)
+                src = pd.Series(part[text_col].to_pylist(), dtype=object)[todo]
+                cols = {name: part.column(i) for i, name in enumerate(part.schema.names) if name != guard}
+                for name, f in funcs.items():
+                    values = pd.Series(cols[name].to_pylist() if name in cols else None, index=range(len(part)), dtype=object)
+                    if len(src):
+                        values[todo] = f(src)
+                    cols[name] = pa.array(values, pa.string(), from_pandas=True)
+                yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return fn
 
@@ -125,7 +134,7 @@ def batch_rewrite(
     if isinstance(rewriter, ColumnRule):
         return base.withColumn(out_col, rewriter.expr(F.col(text_col)))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields] + [f"`{out_col}` string"])
-    return base.mapInPandas(_apply({out_col: rewriter}, text_col), schema)
+    return base.mapInArrow(_apply({out_col: rewriter}, text_col), schema)
 
 
 def compare_rewrites(
@@ -147,4 +156,4 @@ def compare_rewrites(
     if not models:
         return g.drop("needs_rewrite")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in g.schema.fields if f.name != "needs_rewrite")
-    return g.mapInPandas(_guarded(models, text_col), schema)
+    return g.mapInArrow(_apply(models, text_col, "needs_rewrite"), schema)
