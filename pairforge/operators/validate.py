@@ -80,8 +80,11 @@ def messages_of(record: Column) -> Column:
 
 def record_problems(record: Column) -> Column:
     """``array<string>`` of problems of one record (empty when valid)."""
-    absent = _field(record, "messages").isNull()
-    msgs = messages_of(record)
+    return message_problems(_field(record, "messages").isNull(), messages_of(record))
+
+
+def message_problems(absent: Column, msgs: Column) -> Column:
+    """The same from the record's messages, and whether it has no such key."""
     roles_ok = F.size(msgs) == F.lit(len(EXPECTED_ROLES))
     for i, role in enumerate(EXPECTED_ROLES):
         roles_ok = roles_ok & F.coalesce(_as_string(_field(msgs[i], "role")) == F.lit(role), F.lit(False))
@@ -155,10 +158,13 @@ def validate_records(df: DataFrame, record_col: str = "record") -> DataFrame:
     ``messages`` array."""
     if _is_typed(df, record_col):
         return df.withColumn("problems", typed_problems(F.col(record_col)))
-    problems = record_problems(F.col(record_col))
+    # read from the record once: each of the many uses would copy all messages
+    found = F.struct(_field(F.col(record_col), "messages").isNull().alias("__absent"), messages_of(F.col(record_col)).alias("__messages"))
+    names, df = df.columns, df.select("*", F.inline(F.array(found)))
+    problems = message_problems(F.col("__absent"), F.col("__messages"))
     if "too_long" in df.columns:  # from ``parse_lines``: such a line has no record to check
         problems = F.when(F.col("too_long"), F.array(F.lit(TOO_LONG))).otherwise(problems)
-    return df.withColumn("problems", problems)
+    return df.withColumn("problems", problems).select(*[n for n in names if n != "problems"], "problems")
 
 
 def invalid_records(validated: DataFrame) -> DataFrame:
