@@ -24,9 +24,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,14 +39,19 @@ from pairforge.session import scratch_path
 END_ID = 1
 TOKENS_PER_FILE = 1 << 23
 MAX_CACHED = 350_000  # pieces: some 85 MB of a Python worker while it tokenizes
-JOINED = 32
+JOINED = 1024  # pieces that go to the tokenizer in one string
+RUN_CHARS = 1 << 21  # of texts split at once, beyond the last one
 HEAD = "<qIII"  # doc_id, flags, values, data bytes
 HEAD_BYTES = struct.calcsize(HEAD)
 
 # Texts of these characters only are split here as the tokenizer splits them
 # (letters, single digits, runs of others); all other texts go to it whole.
 PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-įı-ſ]*")
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\\sa-z0-9À-ÖØ-öø-ſ]+")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)  # of the bytes of a plain text in lower case
+_KIND[list(b"\t\n\r ")] = _SPACE
+_KIND[97:123] = _KIND[128:] = _LETTER  # PLAIN has no other characters beyond ASCII
+_KIND[48:58] = _DIGIT
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -86,6 +93,36 @@ def vbyte_decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 # ---- tokenizing ------------------------------------------------------------
 
 
+def split_pieces(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The tokenizer's pieces ('s|'t|'re|'ve|'m|'ll|'d|letters|digit|others) of
+    plain texts, one after another, and each text's bounds among them."""
+    raw = [t.lower().encode() for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b"\n\n"]), np.uint8)  # so that two bytes follow each quote
+    kind = _KIND[data]
+    begin = kind != _SPACE
+    begin[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    q = np.flatnonzero(begin & (data == ord("'")))
+    one, two = data[q + 1], data[q + 2]
+    size = np.isin(one, list(b"stmd")) + 2 * ((two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (two == ord("l")) & (one == ord("l")))
+    q, size = q[size > 0], size[size > 0]
+    begin[q + 1] = False
+    after = q + 1 + size
+    begin[after] |= kind[after] == _LETTER
+    starts = np.cumsum([0, *(len(x) + 1 for x in raw)])
+    bounds = np.searchsorted(np.flatnonzero(begin), starts)
+    solid = kind != _SPACE
+    first = np.flatnonzero(begin[solid])
+    solid = data[solid]
+    offsets = np.append(first, len(solid)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(solid)), bounds
+
+
+def _strings(pieces: pa.StringArray) -> list[str]:
+    """``pieces.to_pylist()``, faster; they have no white space."""
+    one = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+    return pc.binary_join(one, " ")[0].as_py().split()
+
+
 class _Index(dict):
     """Numbers new pieces as they are looked up."""
 
@@ -106,10 +143,17 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit, Sequence
 
-        # one tokenizer for whole texts and for pieces; those are in lower case
-        # and of PLAIN characters, so its normalizer leaves them as they are
+        # one tokenizer for whole texts and for pieces. Pieces are in lower case and
+        # of PLAIN characters, so its normalizer would leave them as they are, and
+        # they are split already: it gets them without both steps
         self.tok = Tokenizer.from_file(path)
+        self.whole = self.tok.normalizer, self.tok.pre_tokenizer
+        self.split = None, Sequence([CharDelimiterSplit(" "), self.tok.pre_tokenizer[1]])
+        suffix = self.tok.model.end_of_word_suffix
+        self.last = np.zeros(self.tok.get_vocab_size(), bool)
+        self.last[[i for token, i in self.tok.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -126,49 +170,56 @@ class Encoder:
             self.offset, self.length = self.offset[:MAX_CACHED], self.length[:MAX_CACHED]
             self.ids = self.ids[: self.offset[-1] + self.length[-1]]
 
-    def _encode_whole(self, text: str) -> list[int]:
-        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _encode_whole(self, texts: list[str]) -> list[list[int]]:
+        self.tok.normalizer, self.tok.pre_tokenizer = self.whole
+        return [self.tok.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in texts]
 
     def _learn(self) -> None:
-        """Encode the new pieces, some in a string; word_ids tells them apart."""
+        """Encode the new pieces, some in a string; the tokenizer marks the last id
+        of a piece (``</w>``)."""
         new, step = self.index.pending, JOINED
-        got = self.tok.encode_batch([" ".join(new[i : i + step]) for i in range(0, len(new), step)], add_special_tokens=False)
-        ids: list[int] = []
-        piece: list[int] = []
-        for k, e in enumerate(got):
-            ids += e.ids
-            piece += [w + k * step for w in e.word_ids]
-        length = np.bincount(np.array(piece, np.int64), minlength=len(new))
+        self.tok.normalizer, self.tok.pre_tokenizer = self.split
+        got = [self.tok.encode_batch_fast([" ".join(new[k : k + step])], add_special_tokens=False)[0].ids for k in range(0, len(new), step)]
+        ids = np.concatenate([np.array(x, np.uint32) for x in got])
+        stop = np.flatnonzero(self.last[ids]) + 1
+        if len(stop) != len(new) or stop[-1] != len(ids):
+            raise ValueError(f"{len(new)} pieces gave {len(stop)} last ids")
         new.clear()
-        self.offset = np.concatenate([self.offset, len(self.ids) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
+        self.offset = np.concatenate([self.offset, len(self.ids) + np.append(0, stop[:-1])])
+        self.length = np.concatenate([self.length, np.diff(stop, prepend=0)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        self._shrink()
+        pieces, bounds = split_pieces(texts)
+        coded = pieces.dictionary_encode()
+        unique = _strings(coded.dictionary)
+        known = np.fromiter(map(self.index.__getitem__, unique), np.int64, len(unique))
+        if self.index.pending:
+            self._learn()
+        code = coded.indices.to_numpy()
+        length = self.length[known][code]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        flat = self.ids[np.arange(ends[-1]) + np.repeat(self.offset[known][code] - ends[:-1], length)]
+        return [np.append(flat[a:b], np.uint32(END_ID)) for a, b in pairwise(ends[bounds])]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text with the end id."""
-        self._shrink()
         out: list[np.ndarray | None] = [None] * len(texts)
-        at: list[np.ndarray] = [np.zeros(0, np.int32)]
-        bounds, where = [0], []
+        plain, other = [], []
         for i, text in enumerate(texts):
             if not text:
                 out[i] = np.array([END_ID], np.uint32)
-            elif "<|" not in text and PLAIN.fullmatch(text):
-                found = PIECES.findall(text.lower())
-                at.append(np.fromiter(map(self.index.__getitem__, found), np.int32, len(found)))
-                bounds.append(bounds[-1] + len(found))
-                where.append(i)
             else:
-                out[i] = np.array([*self._encode_whole(text), END_ID], np.uint32)
-        if self.index.pending:
-            self._learn()
-        pieces = np.concatenate(at)
-        length = self.length[pieces]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        step = np.arange(ends[-1]) + np.repeat(self.offset[pieces] - ends[:-1], length)
-        flat = self.ids[step]
-        for i, a, b in zip(where, bounds, bounds[1:]):
-            out[i] = np.append(flat[ends[a] : ends[b]], np.uint32(END_ID))
+                (plain if "<|" not in text and PLAIN.fullmatch(text) else other).append(i)
+        size = np.cumsum([len(texts[i]) for i in plain]) // RUN_CHARS
+        for _, run in groupby(range(len(plain)), size.__getitem__):
+            where = [plain[j] for j in run]
+            for i, ids in zip(where, self._encode_plain([texts[i] for i in where])):
+                out[i] = ids
+        if other:
+            for i, ids in zip(other, self._encode_whole([texts[i] for i in other])):
+                out[i] = np.array([*ids, END_ID], np.uint32)
         return out
 
 

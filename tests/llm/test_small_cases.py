@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import random
+import re
 import struct
 import zlib
 
@@ -315,6 +316,41 @@ def test_encoder_equals_the_tokenizer():
         assert got.tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1]
 
 
+def test_pieces_equal_the_tokenizers_rule():
+    rule = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\\sa-z0-9À-ÖØ-öø-ſ]+")
+    r = random.Random(2)
+    texts = ["".join(r.choice("'''sStTmdrRevElLaéŒſ09 \n\t.,#") for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    texts += ["'", "''", "'r", "'re", "it's", "'sé", "'s's9", "", " ", "a'"]
+    for part in (texts, texts[-1:], texts[-3:-1], []):
+        pieces, bounds = tokens.split_pieces(part)
+        got = pieces.to_pylist()
+        assert [got[a:b] for a, b in zip(bounds, bounds[1:])] == [rule.findall(t.lower()) for t in part]
+        assert tokens._strings(pieces) == got
+
+
+def test_encoder_looks_a_piece_up_once_a_run(monkeypatch):
+    asked, enc = [], tokens.Encoder(tokens.tokenizer_path())
+
+    class Counting(tokens._Index):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    enc.index = Counting()
+    tok = enc.tok.from_file(tokens.tokenizer_path())
+    texts = ["The cat, the dog and it's 12 cats. " * 500] * 20
+    want = [*tok.encode(texts[0], add_special_tokens=False).ids, 1]
+    assert all(x.tolist() == want for x in enc.encode(texts))
+    assert len(asked) == len(set(asked)) == 11  # of 6,000 pieces a text
+    # the bounds on a run's texts and on the pieces kept change no id
+    monkeypatch.setattr(tokens, "RUN_CHARS", 100)
+    monkeypatch.setattr(tokens, "MAX_CACHED", 5)
+    mixed = [None, "", "’ the cat", *texts[:2], "<|endoftext|> a's", "new words, the old ones", "12"]
+    want = [[*tok.encode(t or "", add_special_tokens=False).ids, 1] for t in mixed]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(mixed)] == want
+
+
 def test_variable_length_code():
     r = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
